@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillwatch import schemas as S
 from tillwatch.functions import features as X
 from tillwatch.functions.cleaners import numeric_or_null, rounded
+from tillwatch.sources.static import local_table
 
 
 def with_time_features(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
@@ -57,11 +58,9 @@ def with_derived_risk(df: DataFrame) -> DataFrame:
 
 def with_merchant_risk(df: DataFrame, category: str = "mcc_group") -> DataFrame:
     """Base risk of the merchant category and the flag derived from it."""
-    table = F.broadcast(
-        df.sparkSession.createDataFrame(list(S.MERCHANT_BASE_RISK.items()), f"{category} string, _risk double")
-    )
+    risks = local_table(df.sparkSession, list(S.MERCHANT_BASE_RISK.items()), f"{category} string, _risk double")
     risk = F.least(F.greatest(F.coalesce("_risk", F.lit(S.MERCHANT_DEFAULT_RISK)), F.lit(0.0)), F.lit(1.0))
-    return df.join(table, category, "left").withColumn("merchant_risk", rounded(risk, 3)).drop("_risk").withColumn(
+    return df.join(F.broadcast(risks), category, "left").withColumn("merchant_risk", rounded(risk, 3)).drop("_risk").withColumn(
         "is_high_risk", X.high_risk_flag(F.col("merchant_risk"))
     )
 

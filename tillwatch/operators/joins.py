@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tillwatch.operators.latest import latest_by_key
+from tillwatch.sources.static import local_table
 
 ROWS_PER_TASK = 5_000_000
 # Size of the frequency sketch. It finds every key above about 3.5 / SKETCH_ITEMS
@@ -88,7 +89,7 @@ def _hot_table(df: DataFrame, key: str, hot: list[tuple]) -> DataFrame:
     """The hot keys as a broadcast table; ``hot_keys`` bounds its length."""
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _copies int"
     rows = [(item, copies) for item, copies in hot if item is not None]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    return F.broadcast(local_table(df.sparkSession, rows, schema))
 
 
 def _spread(df: DataFrame, key: str, hot: list[tuple], by: Sequence[str]) -> DataFrame:

@@ -18,5 +18,7 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[s
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     payload = [name for name in df.columns if name not in keys]
+    if not payload:
+        return df.distinct()
     kept = F.max_by(F.struct(*payload), F.struct(*order_by)).alias("_kept")
     return df.groupBy(*keys).agg(kept).select(*keys, "_kept.*").select(*df.columns)

@@ -50,11 +50,9 @@ def series_points(scored: DataFrame, ts: str, width: str = "1 second") -> DataFr
 
 
 def daily_counter(scored: DataFrame, ts: str, value: Column, name: str) -> DataFrame:
-    return (
-        flagged_only(scored)
-        .groupBy(X.day_key(F.col(ts)).alias("day"), value.alias(name))
-        .agg(F.count("*").alias("n"))
-    )
+    """Flagged transactions per UTC day and value. Groups by date, formats the few results."""
+    counts = flagged_only(scored).groupBy(F.to_date(ts).alias("_date"), value.alias(name)).agg(F.count("*").alias("n"))
+    return counts.select(X.day_key(F.col("_date")).alias("day"), name, "n")
 
 
 def fraud_by_category(scored: DataFrame, ts: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,21 +17,17 @@ class Dataset:
     spark: SparkSession
     directory: str
 
-    def users(self) -> DataFrame:
-        return latest_entities(
-            serving.serve_users(cleaning.clean_users(tables.raw_users(self.spark, self.directory))), "party_id"
-        )
+    def users(self, columns: Sequence[str] | None = None) -> DataFrame:
+        clean = cleaning.clean_users(tables.raw_users(self.spark, self.directory))
+        return latest_entities(serving.serve_users(clean), "party_id", columns)
 
-    def cards(self) -> DataFrame:
-        return latest_entities(
-            serving.serve_cards(cleaning.clean_cards(tables.raw_cards(self.spark, self.directory))), "card_ref"
-        )
+    def cards(self, columns: Sequence[str] | None = None) -> DataFrame:
+        clean = cleaning.clean_cards(tables.raw_cards(self.spark, self.directory))
+        return latest_entities(serving.serve_cards(clean), "card_ref", columns)
 
-    def merchants(self) -> DataFrame:
-        return latest_entities(
-            serving.serve_merchants(cleaning.clean_merchants(tables.raw_merchants(self.spark, self.directory))),
-            "merchant_id",
-        )
+    def merchants(self, columns: Sequence[str] | None = None) -> DataFrame:
+        clean = cleaning.clean_merchants(tables.raw_merchants(self.spark, self.directory))
+        return latest_entities(serving.serve_merchants(clean), "merchant_id", columns)
 
     def card_versions(self) -> DataFrame:
         return cleaning.clean_cards(tables.raw_card_versions(self.spark, self.directory))
@@ -41,5 +38,7 @@ class Dataset:
     def line_txns(self) -> DataFrame:
         return cleaning.clean_transactions(tables.raw_line_txns(self.spark, self.directory))
 
-    def entities(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.cards(), self.users(), self.merchants()
+    def entities(self, columns: Mapping[str, Sequence[str]] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Cards, users, merchants, with all columns or with the given ones."""
+        wanted = columns or {}
+        return self.cards(wanted.get("cards")), self.users(wanted.get("users")), self.merchants(wanted.get("merchants"))

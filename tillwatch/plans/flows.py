@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,6 +15,22 @@ from tillwatch.operators.scoring import logistic, mean_probability, with_decisio
 # The rule score stays below 0.215, so its cut-off is its own parameter.
 RULE_THRESHOLD = 0.1
 
+# Event time first, then arrival; the unique event id settles ties.
+VERSION_ORDER = ("event_ts", "batch_id", "kafka_offset", "event_id")
+
+# What the rule score reads of each entity.
+RULE_COLUMNS = {
+    "cards": ["party_id", "daily_limit_minor", "days_since_issuance"],
+    "users": ["home_latitude", "home_longitude"],
+    "merchants": ["category", "merch_lat", "merch_long"],
+}
+# What the formula scorer reads on top of that.
+FORMULA_COLUMNS = {
+    "cards": RULE_COLUMNS["cards"],
+    "users": [*RULE_COLUMNS["users"], "dob"],
+    "merchants": [*RULE_COLUMNS["merchants"], "risk_score_merchant", "is_high_risk"],
+}
+
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -49,7 +65,12 @@ def score_transactions(
     return scorer(enrich(txns, cards, users, merchants, **lookup_options))
 
 
-def latest_entities(served: DataFrame, key: str) -> DataFrame:
-    """Latest served row per key, ordered by whatever version columns the rows have."""
-    order = [name for name in ("event_ts", "batch_id", "kafka_offset", "event_id") if name in served.columns]
+def latest_entities(served: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Latest served row per key, ordered by whatever version columns the rows have.
+
+    ``columns`` are the ones the flow reads; nothing else is then shuffled.
+    """
+    order = [name for name in VERSION_ORDER if name in served.columns]
+    if columns is not None:
+        served = served.select(key, *[name for name in columns if name != key], *order)
     return latest_by_key(served, key, order)

@@ -218,7 +218,7 @@ def iso_hour(d: Dataset) -> DataFrame:
 
 @query
 def age_at_txn(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.event_txns(), *d.entities())
+    enriched = E.enrich(d.event_txns(), *d.entities(flows.FORMULA_COLUMNS))
     return features.with_age_at(enriched).select("event_id", "dob", "age")
 
 
@@ -255,7 +255,7 @@ def amount_category(d: Dataset) -> DataFrame:
 
 @query
 def limit_and_deviation(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.line_txns(), *d.entities())
+    enriched = E.enrich(d.line_txns(), *d.entities(flows.RULE_COLUMNS))
     return features.with_card_age(features.with_limit_features(enriched)).groupBy("channel_code").agg(
         F.sum("exceeds_daily_limit").alias("over_limit"),
         F.max("amount_deviation_ratio").alias("max_deviation"),
@@ -267,7 +267,7 @@ def limit_and_deviation(d: Dataset) -> DataFrame:
 
 @query
 def rule_score(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.event_txns(), *d.entities())
+    enriched = E.enrich(d.event_txns(), *d.entities(flows.RULE_COLUMNS))
     return features.with_derived_risk(enriched).select(
         "event_id", "distance_from_home_km", "exceeds_daily_limit", "amount_deviation_ratio",
         "days_since_card_issued", "txn_fraud_probability",
@@ -348,18 +348,19 @@ def asof_enrich(d: Dataset) -> DataFrame:
 
 @query
 def semi_gate(d: Dataset) -> DataFrame:
-    return E.matched_only(d.event_txns(), d.cards()).select("event_id", "card_ref", "amount_minor")
+    return E.matched_only(d.event_txns(), d.cards(columns=[])).select("event_id", "card_ref", "amount_minor")
 
 
 @query
 def orphan_audit(d: Dataset) -> DataFrame:
-    audit = E.miss_audit(E.enrich(d.event_txns(), *d.entities()))
+    keys_only = {"cards": ["party_id"], "users": [], "merchants": []}
+    audit = E.miss_audit(E.enrich(d.event_txns(), *d.entities(keys_only)))
     return audit.withColumn("miss_rate", rounded(F.col("miss_rate"), 6))
 
 
 @query
 def orphan_cards(d: Dataset) -> DataFrame:
-    return E.orphans(d.event_txns(), d.cards(), "card_ref", "card_ref").select("event_id", "card_ref")
+    return E.orphans(d.event_txns(), d.cards(columns=[]), "card_ref", "card_ref").select("event_id", "card_ref")
 
 
 # --------------------------------------------------------------------- scoring
@@ -369,15 +370,22 @@ FEATURES = [
 ]
 
 
+MODEL_COLUMNS = {
+    "cards": ["party_id", "daily_limit_minor"],
+    "users": ["dob", "age", "gender"],
+    "merchants": ["category", "risk_score_merchant"],
+}
+
+
 @query
 def align_features(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.event_txns(), *d.entities())
+    enriched = E.enrich(d.event_txns(), *d.entities(MODEL_COLUMNS))
     return features.feature_frame(enriched, FEATURES, keep=["event_id"])
 
 
 @query
 def align_features_numeric(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.event_txns(), *d.entities())
+    enriched = E.enrich(d.event_txns(), *d.entities(MODEL_COLUMNS))
     return features.feature_frame(enriched, FEATURES, keep=["event_id"], coerce_numeric=True)
 
 
@@ -394,7 +402,8 @@ def numeric_coercion(d: Dataset) -> DataFrame:
 
 
 def _formula_scored(d: Dataset) -> DataFrame:
-    return flows.score_transactions(d.event_txns(), *d.entities(), scorer=flows.score_by_formulas)
+    entities = d.entities(flows.FORMULA_COLUMNS)
+    return flows.score_transactions(d.event_txns(), *entities, scorer=flows.score_by_formulas)
 
 
 @query
@@ -407,7 +416,7 @@ def ensemble_score(d: Dataset) -> DataFrame:
 
 @query
 def threshold_flag(d: Dataset) -> DataFrame:
-    scored = flows.score_transactions(d.event_txns(), *d.entities())
+    scored = flows.score_transactions(d.event_txns(), *d.entities(flows.RULE_COLUMNS))
     return scored.select("event_id", "fraud_probability", "predicted_fraud")
 
 
@@ -449,7 +458,7 @@ ML_CATEGORICAL = ["category", "entry_mode"]
 @query
 def ml_ensemble_score(d: Dataset) -> DataFrame:
     """Fit the Spark ML ensemble on the order lines, with reversals as labels, and score them."""
-    enriched = E.enrich(d.line_txns(), *d.entities())
+    enriched = E.enrich(d.line_txns(), *d.entities(MODEL_COLUMNS))
     keep = ["event_id", "amount_sign", "card_found"]
     frame = features.feature_frame(enriched, ML_NUMERIC + ML_CATEGORICAL, keep=keep)
     frame = frame.withColumn("label", (F.col("amount_sign") == -1).cast("int"))
@@ -460,7 +469,7 @@ def ml_ensemble_score(d: Dataset) -> DataFrame:
 
 # ------------------------------------------------------------ counters, alerts
 def _rule_scored_lines(d: Dataset) -> DataFrame:
-    return flows.score_transactions(d.line_txns(), *d.entities())
+    return flows.score_transactions(d.line_txns(), *d.entities(flows.RULE_COLUMNS))
 
 
 @query

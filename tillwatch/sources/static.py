@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillwatch import schemas as S
 
@@ -12,6 +16,13 @@ CITY_COLUMNS = (
 )
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """A small table held in the plan itself, so that its size is known to the optimizer."""
+    names = StructType.fromDDL(columns).fieldNames()
+    values = list(zip(*rows)) if rows else [()] * len(names)
+    return spark.createDataFrame(pa.table({n: list(v) for n, v in zip(names, values)}), StructType.fromDDL(columns))
+
+
 def city_table(spark: SparkSession) -> DataFrame:
     """The fixed city dimension."""
-    return spark.createDataFrame(S.CITIES, CITY_COLUMNS)
+    return local_table(spark, S.CITIES, CITY_COLUMNS)
