@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
+import tillwatch
 from tillwatch import schemas as S
 
 
@@ -47,17 +50,28 @@ def opaque_ensemble(
 ) -> Callable[..., Column]:
     """Mean ``predict_proba`` of models Spark knows nothing about, batch by batch over Arrow.
 
-    The models are shipped once per executor as a broadcast variable. The result
-    is a function of columns: ``opaque_ensemble(...)(*feature_columns)``.
+    The models are shipped once per executor as a broadcast variable and unpacked
+    once per task. The result is a function of columns:
+    ``opaque_ensemble(...)(*feature_columns)``.
     """
-    shared = spark.sparkContext.broadcast((list(models), list(feature_names), preprocess))
+    names = list(feature_names)
+    shared = spark.sparkContext.broadcast(_packed((list(models), preprocess)))
 
     @F.pandas_udf(DoubleType())
     def probability(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        members, names, prepare = shared.value
+        members, prepare = pickle.loads(shared.value)
         for frame in batches:
             frame = frame.set_axis(names, axis="columns")
             inputs = frame if prepare is None else prepare(frame)
             yield pd.Series(sum(member.predict_proba(inputs)[:, 1] for member in members) / len(members))
 
     return lambda *columns: probability(F.struct(*columns))
+
+
+def _packed(value: Any) -> bytes:
+    """Pickled so that executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(tillwatch)
+    try:
+        return cloudpickle.dumps(value)
+    finally:
+        cloudpickle.unregister_pickle_by_value(tillwatch)
