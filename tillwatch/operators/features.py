@@ -58,7 +58,8 @@ def with_derived_risk(df: DataFrame) -> DataFrame:
 
 def with_merchant_risk(df: DataFrame, category: str = "mcc_group") -> DataFrame:
     """Base risk of the merchant category and the flag derived from it."""
-    risks = local_table(df.sparkSession, list(S.MERCHANT_BASE_RISK.items()), f"{category} string, _risk double")
+    schema = S.struct(strings=category, doubles="_risk")
+    risks = local_table(df.sparkSession, list(S.MERCHANT_BASE_RISK.items()), schema)
     risk = F.least(F.greatest(F.coalesce("_risk", F.lit(S.MERCHANT_DEFAULT_RISK)), F.lit(0.0)), F.lit(1.0))
     return df.join(F.broadcast(risks), category, "left").withColumn("merchant_risk", rounded(risk, 3)).drop("_risk").withColumn(
         "is_high_risk", X.high_risk_flag(F.col("merchant_risk"))

@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillwatch.operators.latest import latest_by_key
 from tillwatch.sources.static import local_table
@@ -72,22 +73,25 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> lis
             F.count_if(F.col("_key").isNull()).alias("_nulls"),
         )
     )
-    merged = partial.agg(
+    # Grouped by a constant, since an empty input has no sketch to combine.
+    merged = partial.groupBy(F.lit(1).alias("_one")).agg(
         F.expr(f"approx_top_k_combine(_sketch, {SKETCH_ITEMS})").alias("_sketch"), F.sum("_nulls").alias("_nulls")
     ).select(
         F.expr(f"filter(approx_top_k_estimate(_sketch, {SKETCH_ITEMS}), x -> x.count > {rows_per_task})").alias("top"),
         "_nulls",
     )
     found = merged.first()
-    counts = [(row["item"], row["count"]) for row in found["top"] or []]
-    if (found["_nulls"] or 0) > rows_per_task:
+    if found is None:
+        return []
+    counts = [(row["item"], row["count"]) for row in found["top"] if row["item"] is not None]
+    if found["_nulls"] > rows_per_task:
         counts.append((None, found["_nulls"]))
     return [(item, math.ceil(count / rows_per_task)) for item, count in counts]
 
 
 def _hot_table(df: DataFrame, key: str, hot: list[tuple]) -> DataFrame:
     """The hot keys as a broadcast table; ``hot_keys`` bounds its length."""
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _copies int"
+    schema = StructType([df.schema[key], StructField("_copies", IntegerType())])
     rows = [(item, copies) for item, copies in hot if item is not None]
     return F.broadcast(local_table(df.sparkSession, rows, schema))
 

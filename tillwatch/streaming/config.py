@@ -9,29 +9,29 @@ from pyspark.sql.types import StructType
 from tillwatch import schemas as S
 from tillwatch.streaming.stores import BatchTable, EntityStore
 
-_ENVELOPE = "kafka_partition int, kafka_offset bigint, event_id string"
-
-USER_STORE = StructType.fromDDL(
-    "party_id string, first string, last string, gender string, street string, state string, zip string, job string, "
-    "dob string, age int, age_group string, income_level string, home_latitude double, home_longitude double, "
-    f"city string, lat double, long double, city_pop int, event_ts string, {_ENVELOPE}"
-)
-MERCHANT_STORE = StructType.fromDDL(
-    "merchant_id string, merchant string, category string, merch_lat double, merch_long double, "
-    "risk_score_merchant double, avg_txn_amount_minor int, merchant_type string, is_high_risk int, " + _ENVELOPE
+USER_STORE = S.struct(
+    strings="party_id first last gender street state zip job dob age_group income_level city event_ts event_id",
+    ints="age city_pop kafka_partition",
+    bigints="kafka_offset",
+    doubles="home_latitude home_longitude lat long",
 )
-CARD_STORE = StructType.fromDDL(
-    "card_ref string, party_id string, cc_last4 string, product_type string, brand string, days_since_issuance int, "
-    "card_age_category string, is_primary_card int, daily_limit_minor int, " + _ENVELOPE
+MERCHANT_STORE = S.struct(
+    strings="merchant_id merchant category merchant_type event_id",
+    ints="avg_txn_amount_minor is_high_risk kafka_partition",
+    bigints="kafka_offset",
+    doubles="merch_lat merch_long risk_score_merchant",
 )
-ALERTS = StructType.fromDDL(
-    "txn_id string, amount_minor bigint, category string, channel string, ts string, day string"
+CARD_STORE = S.struct(
+    strings="card_ref party_id cc_last4 product_type brand card_age_category event_id",
+    ints="days_since_issuance is_primary_card daily_limit_minor kafka_partition",
+    bigints="kafka_offset",
 )
-COUNTERS = StructType.fromDDL("day string, dimension string, value string, n bigint")
-POINTS = StructType.fromDDL("series string, ts timestamp, value bigint")
-LATEST = StructType.fromDDL("event_ts string, event_id string, latest_transaction_amount double")
-REJECTS = StructType.fromDDL("event_id string, card_ref string, merchant_ref string, amount_minor int")
-LATENCIES = StructType.fromDDL("series string, ts timestamp, value bigint")
+ALERTS = S.struct(strings="txn_id category channel ts day", bigints="amount_minor")
+COUNTERS = S.struct(strings="day dimension value", bigints="n")
+POINTS = S.struct(strings="series", timestamps="ts", bigints="value")
+LATEST = S.struct(strings="event_ts event_id", doubles="latest_transaction_amount")
+REJECTS = S.struct(strings="event_id card_ref merchant_ref", ints="amount_minor")
+LATENCIES = POINTS
 
 
 @dataclass(frozen=True)

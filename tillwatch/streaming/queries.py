@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -91,12 +92,18 @@ def start_transactions(
     return _writer(clean, config, S.TXN_TOPIC).foreachBatch(handler).start()
 
 
-def start_archive(spark: SparkSession, config: StreamConfig, topic: str) -> StreamingQuery:
-    """Keep the raw messages as they came, by topic and by the day they arrived."""
+def start_archive(spark: SparkSession, config: StreamConfig, name: str = "archive") -> StreamingQuery:
+    """Keep the raw messages of all topics as they came, by topic and by the day they arrived.
+
+    One query for all topics, since a file sink has a single writer.
+    """
+    raw = reduce(
+        DataFrame.unionByName,
+        [messages(spark, config, topic).withColumn("topic", F.lit(topic)) for topic in S.TOPIC_SCHEMAS],
+    )
     arrived = F.coalesce("kafka_timestamp", F.current_timestamp())
-    raw = messages(spark, config, topic).withColumns({"topic": F.lit(topic), "day": F.to_date(arrived)})
-    writer = _writer(raw, config, f"archive_{topic}").format("parquet").partitionBy("topic", "day")
-    return writer.option("path", config.archive_path).start()
+    writer = _writer(raw.withColumn("day", F.to_date(arrived)), config, name)
+    return writer.format("parquet").partitionBy("topic", "day").option("path", config.archive_path).start()
 
 
 def publish(
@@ -123,22 +130,21 @@ def start_all(
     started = {topic: start_upserts(spark, config, topic) for topic in (S.USER_TOPIC, S.MERCHANT_TOPIC, S.CARD_TOPIC)}
     started[S.TXN_TOPIC] = start_transactions(spark, config, scorer, columns)
     if archive:
-        started |= {f"archive_{topic}": start_archive(spark, config, topic) for topic in S.TOPIC_SCHEMAS}
+        started["archive"] = start_archive(spark, config)
     return started
 
 
-def wait(spark: SparkSession, started: dict[str, StreamingQuery]) -> None:
+def wait(started: dict[str, StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Block until all queries end. The first failure stops the others and is raised."""
     try:
-        while any(running.isActive for running in started.values()):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+        while running := [q for q in started.values() if q.isActive]:
             _raise_failure(started)
+            running[0].awaitTermination(poll_seconds)
         _raise_failure(started)
     finally:
-        for running in started.values():
-            if running.isActive:
-                running.stop()
+        for query in started.values():
+            if query.isActive:
+                query.stop()
 
 
 def _raise_failure(started: dict[str, StreamingQuery]) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tillwatch.operators.joins import lookup
 from tillwatch.plans.flows import latest_entities
+from tillwatch.sources.static import local_table
 
 BATCH = "batch_id"
 
@@ -67,7 +68,7 @@ class BatchTable:
         """All rows with their ``batch_id``, or those of batches later than ``after``."""
         schema = StructType([*self.schema.fields, StructField(BATCH, LongType())])
         if not path_exists(spark, self.path):
-            return spark.createDataFrame([], schema)
+            return local_table(spark, [], schema)
         rows = spark.read.schema(schema).parquet(self.path)
         return rows if after is None else rows.filter(F.col(BATCH) > after)
 
