@@ -142,6 +142,40 @@ def lookup(
     return left.join(_replicate(table, key, hot), [key, "_salt"], how).drop("_salt")
 
 
+def _marked(df: DataFrame, key: str, hot: list[tuple]) -> DataFrame:
+    """Add ``_hot``, whether the row's key is one of the hot keys."""
+    if not hot:
+        return df.withColumn("_hot", F.lit(False))
+    null_is_hot = any(item is None for item, _ in hot)
+    flag = F.when(F.col(key).isNull(), F.lit(null_is_hot)).otherwise(F.col("_copies").isNotNull())
+    return df.join(_hot_table(df, key, hot), key, "left").withColumn("_hot", flag).drop("_copies")
+
+
+def _opening_versions(facts: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """For each (key, bucket) with facts, the last version of an earlier bucket.
+
+    Works on one row per key and bucket: markers of buckets with facts (0) and
+    closing versions of buckets (1). A marker comes before the closing version of
+    its own bucket and so sees earlier ones only.
+    """
+    closing = latest_by_key(known, [key, "_bucket"], ["_time"]).select(
+        key, "_bucket", "_version", F.lit(1).alias("_kind")
+    )
+    version_type = known.schema["_version"].dataType
+    markers = facts.select(key, "_bucket").distinct().select(
+        key, "_bucket", F.lit(None).cast(version_type).alias("_version"), F.lit(0).alias("_kind")
+    )
+    carried = F.expr(
+        f"last(_version, true) over (partition by `{key}` order by _bucket, _kind "
+        "rows between unbounded preceding and current row)"
+    )
+    found = markers.unionByName(closing).withColumn("_version", carried)
+    no_time = F.lit(None).cast(known.schema["_time"].dataType)
+    return found.filter((F.col("_kind") == 0) & F.col("_version").isNotNull()).select(
+        key, "_bucket", no_time.alias("_time"), "_version"
+    )
+
+
 def asof_lookup(
     fact: DataFrame,
     versions: DataFrame,
@@ -150,61 +184,51 @@ def asof_lookup(
     version_time: str,
     tie_break: Sequence[str],
     bucket: str = "day",
+    skew_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join to the version in force at the fact's time: greatest ``version_time <= fact_time``.
 
-    Work is grouped by key *and* time bucket. Each bucket that holds facts gets
-    the last version from before it as an opening row, found on a table with one
-    row per key and bucket. A bucket with too many facts is salted, with its
-    versions copied. No task sees a key's whole history, and no pairs of facts
-    and versions are formed.
+    Facts and versions of a key are put on one timeline and each fact takes the
+    version last seen; no pairs of facts and versions are formed. For a hot key,
+    be it hot among facts or among versions, the timeline is cut into time
+    buckets, each opened by the last version from before it, and a bucket with
+    too many facts is salted with its versions copied. So no task has to hold
+    the whole history of such a key. ``skew_from`` is as in ``lookup``.
     """
     version_columns = [c for c in versions.columns if c != key]
-    group = ["_group", "_bucket", key]
-    start = lambda column: F.date_trunc(bucket, F.col(column))
-    group_hash = F.xxhash64(key, "_bucket").alias("_group")
-
-    facts = fact.withColumn("_bucket", start(fact_time))
-    facts = facts.select("*", group_hash)
-    known = latest_by_key(versions.filter(F.col(key).isNotNull()), [key, version_time], tie_break)
-    known = known.withColumn("_bucket", start(version_time)).select(
-        group_hash, "_bucket", key, F.col(version_time).alias("_time"), F.struct(*version_columns).alias("_version")
-    )
+    hot = {item: copies for item, copies in hot_keys(versions, key, rows_per_task)}
+    hot |= dict(hot_keys(fact if skew_from is None else skew_from, key, rows_per_task))
+    hot = list(hot.items())
 
-    closing = latest_by_key(known, group, ["_time"]).select("_bucket", key, "_version", F.lit(1).alias("_kind"))
-    wanted = facts.select("_bucket", key).distinct().select(
-        "_bucket", key, F.lit(None).cast(known.schema["_version"].dataType).alias("_version"), F.lit(0).alias("_kind")
-    )
-    # Within a bucket the fact marker (0) precedes the closing version (1), so a
-    # marker sees versions of earlier buckets only.
-    carried = F.expr(
-        f"last(_version, true) over (partition by `{key}` order by _bucket, _kind "
-        "rows between unbounded preceding and current row)"
-    )
-    opening = (
-        wanted.unionByName(closing)
-        .withColumn("_version", carried)
-        .filter((F.col("_kind") == 0) & F.col("_version").isNotNull())
-        .select(group_hash, "_bucket", key, F.lit(None).cast(known.schema["_time"].dataType).alias("_time"), "_version")
-    )
+    def bucketed(df: DataFrame, time: str) -> DataFrame:
+        return _marked(df, key, hot).withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, F.col(time))))
 
-    hot = hot_keys(facts, "_group", rows_per_task)
-    entries = opening.unionByName(known)
+    usable = versions.filter(F.col(key).isNotNull() & F.col(version_time).isNotNull())
+    known = bucketed(latest_by_key(usable, [key, version_time], tie_break), version_time).select(
+        key, "_hot", "_bucket", F.col(version_time).alias("_time"), F.struct(*version_columns).alias("_version")
+    )
+    facts = bucketed(fact, fact_time)
+    group = F.xxhash64(key, "_bucket").alias("_group")
     if hot:
-        facts, entries = _spread(facts, "_group", hot, fact.columns), _replicate(entries, "_group", hot)
+        hot_facts = facts.filter("_hot")
+        opening = _opening_versions(hot_facts, known.filter("_hot"), key)
+        entries = known.drop("_hot").unionByName(opening).select("*", group)
+        facts = facts.select("*", group)
+        crowded = hot_keys(hot_facts.select(group), "_group", rows_per_task)
+        facts, entries = _spread(facts, "_group", crowded, fact.columns), _replicate(entries, "_group", crowded)
     else:
-        facts, entries = facts.withColumn("_salt", F.lit(0)), entries.withColumn("_salt", F.lit(0))
+        facts, entries = facts.withColumn("_salt", F.lit(0)), known.withColumn("_salt", F.lit(0))
 
-    timeline = entries.select(*group, "_salt", "_time", "_version", F.lit(0).alias("_kind")).unionByName(
+    place = [key, "_bucket", "_salt"]
+    timeline = entries.select(*place, "_time", "_version", F.lit(0).alias("_kind")).unionByName(
         facts.select(
-            *group, "_salt", F.col(fact_time).alias("_time"), F.struct(*fact.columns).alias("_fact"),
-            F.lit(1).alias("_kind"),
+            *place, F.col(fact_time).alias("_time"), F.struct(*fact.columns).alias("_fact"), F.lit(1).alias("_kind")
         ),
         allowMissingColumns=True,
     )
     in_force = F.expr(
-        f"last(_version, true) over (partition by _group, _bucket, `{key}`, _salt "
+        f"last(_version, true) over (partition by `{key}`, _bucket, _salt "
         "order by _time nulls first, _kind rows between unbounded preceding and current row)"
     )
     return (

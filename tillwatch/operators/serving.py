@@ -19,6 +19,8 @@ USER_COLUMNS = {
 }
 USER_CARRIED = ["age", "age_group", "income_level", "home_latitude", "home_longitude"]
 
+CITY_COLUMNS = ["city", "lat", "long", "city_pop"]
+
 MERCHANT_COLUMNS = {
     "merchant_display_name": "merchant",
     "mcc_group": "category",
@@ -72,9 +74,13 @@ def with_city(users: DataFrame, cities: DataFrame | None = None, home_from_city:
 
 def serve_users(clean: DataFrame, cities: DataFrame | None = None, home_from_city: bool = False) -> DataFrame:
     located = with_city(with_usable_key(clean, "party_id"), cities, home_from_city)
-    return located.select(
-        "party_id", *_renamed(USER_COLUMNS, USER_CARRIED), "city", "lat", "long", "city_pop", *_ordering(clean)
-    )
+    return located.select("party_id", *_renamed(USER_COLUMNS, USER_CARRIED), *CITY_COLUMNS, *_ordering(clean))
+
+
+def serve_users_without_city(clean: DataFrame) -> DataFrame:
+    """Served users for readers that do not need the city columns."""
+    keyed = with_usable_key(clean, "party_id")
+    return keyed.select("party_id", *_renamed(USER_COLUMNS, USER_CARRIED), *_ordering(clean))
 
 
 def serve_merchants(clean: DataFrame) -> DataFrame:

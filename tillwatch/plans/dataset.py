@@ -18,8 +18,11 @@ class Dataset:
     directory: str
 
     def users(self, columns: Sequence[str] | None = None) -> DataFrame:
-        clean = cleaning.clean_users(tables.raw_users(self.spark, self.directory))
-        return latest_entities(serving.serve_users(clean), "party_id", columns)
+        whole = columns is None
+        raw = tables.raw_users(self.spark, self.directory, region_names=whole or "state" in columns)
+        with_city = whole or not set(columns).isdisjoint(serving.CITY_COLUMNS)
+        serve = serving.serve_users if with_city else serving.serve_users_without_city
+        return latest_entities(serve(cleaning.clean_users(raw)), "party_id", columns)
 
     def cards(self, columns: Sequence[str] | None = None) -> DataFrame:
         clean = cleaning.clean_cards(tables.raw_cards(self.spark, self.directory))

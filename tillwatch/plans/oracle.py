@@ -401,6 +401,15 @@ TXN_COLUMNS = """event_id, event_ts, event_epoch_sec, card_ref, merchant_ref, am
   distance_from_home_km, amount_category, exceeds_daily_limit, amount_deviation_ratio, days_since_card_issued,
   trans_date_trans_time"""
 
+AS_OF = _with([*LINE_TXNS, """
+versions AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS card_ref, o_orderdate AS valid_from,
+    concat('o-', lpad(CAST(max(o_orderkey) AS VARCHAR), 12, '0')) AS card_event_id,
+    arg_max(CAST(floor(o_totalprice / 4) AS INTEGER), o_orderkey) AS daily_limit_minor
+  FROM orders GROUP BY o_custkey, o_orderdate)"""], """
+        SELECT t.event_id, t.card_ref, t.ts, t.amount_minor, v.valid_from, v.card_event_id, v.daily_limit_minor
+        FROM t ASOF LEFT JOIN versions v ON t.card_ref = v.card_ref AND t.ts >= v.valid_from""")
+
 # ------------------------------------------------------------------ one per query
 ORACLE_SQL: dict[str, str] = {
     "json_decode": _with([MESSAGE_STATE], "SELECT * FROM decoded"),
@@ -519,14 +528,8 @@ ORACLE_SQL: dict[str, str] = {
     "merge_last_wins": _with(EVENT_JOINED, """
         SELECT event_id, currency, CASE WHEN merchant_found THEN 'merchant' WHEN card_found THEN 'card' END AS tier,
           cc_last4 AS brand FROM j"""),
-    "asof_enrich": _with([*LINE_TXNS, """
-versions AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS card_ref, o_orderdate AS valid_from,
-    concat('o-', lpad(CAST(max(o_orderkey) AS VARCHAR), 12, '0')) AS card_event_id,
-    arg_max(CAST(floor(o_totalprice / 4) AS INTEGER), o_orderkey) AS daily_limit_minor
-  FROM orders GROUP BY o_custkey, o_orderdate)"""], """
-        SELECT t.event_id, t.card_ref, t.ts, t.amount_minor, v.valid_from, v.card_event_id, v.daily_limit_minor
-        FROM t ASOF LEFT JOIN versions v ON t.card_ref = v.card_ref AND t.ts >= v.valid_from"""),
+    "asof_enrich": AS_OF,
+    "asof_enrich_split": AS_OF,
     "semi_gate": _with([*EVENT_TXNS, RAW_CARDS, CARDS], """
         SELECT event_id, card_ref, amount_minor FROM t WHERE card_ref IN (SELECT card_ref FROM cs)"""),
     "orphan_audit": _with(EVENT_JOINED, """

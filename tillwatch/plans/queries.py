@@ -346,6 +346,18 @@ def asof_enrich(d: Dataset) -> DataFrame:
     return asof_lookup(txns, versions, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month")
 
 
+@query
+def asof_enrich_split(d: Dataset) -> DataFrame:
+    """The as-of lookup with most timelines cut into months and crowded months salted."""
+    txns = d.line_txns().select("event_id", "card_ref", "ts", "amount_minor")
+    versions = d.card_versions().select(
+        "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor"
+    )
+    return asof_lookup(
+        txns, versions, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month", rows_per_task=3
+    )
+
+
 @query
 def semi_gate(d: Dataset) -> DataFrame:
     return E.matched_only(d.event_txns(), d.cards(columns=[])).select("event_id", "card_ref", "amount_minor")

@@ -12,15 +12,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+# Declared, so that no job has to look into the files to plan a query.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{directory}/{name}.parquet")
 
 
-def raw_users(spark: SparkSession, directory: str) -> DataFrame:
-    """One user profile per customer."""
+def raw_users(spark: SparkSession, directory: str, region_names: bool = True) -> DataFrame:
+    """One user profile per customer.
+
+    ``region_names=False`` leaves the nation table out for readers that do not
+    need ``region_code``, which is null then. An unused left join is not removed
+    by the optimizer, which does not know that nations are unique.
+    """
     customers = read_table(spark, directory, "customer")
-    nations = read_table(spark, directory, "nation").select("n_nationkey", "n_name")
-    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").selectExpr(
+    if region_names:
+        nations = read_table(spark, directory, "nation").select("n_nationkey", "n_name")
+        named = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    else:
+        named = customers.withColumn("n_name", F.lit(None).cast("string"))
+    return named.selectExpr(
         "concat('u-', c_custkey) AS event_id",
         "concat(cast(date_add(DATE'2023-01-01', cast(c_custkey % 365 AS int)) AS string), 'T08:00:00+00:00') "
         "AS event_ts",
