@@ -1,16 +1,18 @@
 import json
 import logging
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import as_set, column
 from tillwatch import schemas as S
-from tillwatch.operators import cleaning, rollups, serving
+from tillwatch.operators import cleaning, ml, rollups, serving
 from tillwatch.operators.validation import has_required
 from tillwatch.plans import flows
+from tillwatch.plans.panels import panels
 from tillwatch.sources import tables, topics
-from tillwatch.streaming import handlers, queries as Q
+from tillwatch.streaming import app, handlers, queries as Q
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.latency import LatencyListener, read_latency
 from tillwatch.streaming.stores import numbered_directories
@@ -258,6 +260,9 @@ def test_kafka_reader_options():
 def write_txns(path, name, rows):
     path.mkdir(exist_ok=True)
     (path / name).write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    # The file source takes files by age; files written at once need distinct ages.
+    stamp = 1_700_000_000 + int(name.split(".")[0])
+    os.utime(path / name, (stamp, stamp))
 
 
 def test_watermark_windows_and_duplicates(spark, tmp_path):
@@ -292,3 +297,53 @@ def test_running_daily_counts_agree_with_the_batch(spark, tmp_path, inputs):
     expected = cleaning.clean_transactions(batch).filter("amount_minor > 5000").groupBy(
         F.date_format("trans_date_trans_time", "yyyyMMdd").alias("day"), "channel_code").count()
     assert as_set(spark.table("daily")) == as_set(expected)
+
+
+def test_application_runs_from_its_arguments(spark, inputs, tmp_path):
+    argv = ["--root", str(tmp_path), "--files", str(inputs), "--available-now", "--archive", "--max-per-trigger", "2",
+            "--threshold", "0.4"]
+    app.main(argv)
+    cfg = app.stream_config(app.arguments(argv))
+    app.main([*argv, "--compact"])
+    assert numbered_directories(spark, f"{cfg.cards.path}/snapshot", "upto") == [0]
+
+    # Entities and transactions raced; scoring the archive again settles it.
+    scored = app.rescore_archive(spark, cfg, lambda df: flows.score_by_formulas(df, cfg.threshold), flows.FORMULA_COLUMNS)
+    flagged = {r["event_id"] for r in scored.filter("predicted_fraud = 1").select("event_id").collect()}
+    assert flagged and set(column(cfg.alerts.read(spark), "txn_id")) <= flagged
+    assert app.rescore_archive(spark, cfg, flows.score_by_rules, flows.RULE_COLUMNS,
+                               days=F.col("day") < "2000-01-01").count() == 0
+
+    shown = panels(cfg.points.read(spark), read_latency(spark, cfg.latency_path))
+    assert len(shown) == 10
+    assert sum(column(shown["throughput"], "value")) == 1000 - rejected(spark, cfg)
+    assert shown["fraud_gauge"].count() == 1 and shown["latency_card_txn_auth"].count() >= 1
+
+
+def rejected(spark, cfg):
+    return cfg.rejects.read(spark).filter("event_id IS NOT NULL").count()
+
+
+def test_stream_scores_with_a_saved_ensemble(spark, inputs, tmp_path):
+    cfg = config(inputs, tmp_path)
+    run_entities(spark, cfg)
+    training = flows.with_model_features(batch_enriched(spark, cfg, inputs)).withColumn(
+        "label", (F.col("risk_score_online") > 0.3).cast("int"))
+    fitted = ml.fit_ensemble(training, "label", ["amt", "risk_score_online", "hour"], ["category"], trees=2, depth=2)
+    fitted.save(str(tmp_path / "model"))
+    ensemble = ml.load_ensemble(str(tmp_path / "model"))
+    Q.wait({S.TXN_TOPIC: Q.start_transactions(spark, cfg, lambda df: flows.score_by_ensemble(df, ensemble), None)})
+    assert cfg.alerts.read(spark).count() > 0
+
+
+def batch_enriched(spark, cfg, inputs):
+    raw = topics.read_topic(spark, S.TXN_TOPIC, source="files", location=str(inputs / S.TXN_TOPIC), streaming=False)
+    return handlers.score_batch(cleaning.clean_transactions(raw), cfg, lambda df: df, None)
+
+
+def test_arguments_need_a_source():
+    with pytest.raises(SystemExit):
+        app.arguments(["--root", "x"])
+    cfg = app.stream_config(app.arguments(["--root", "x", "--servers", "h:1", "--max-per-trigger", "5"]))
+    assert cfg.source == "kafka" and set(cfg.locations.values()) == {"h:1"}
+    assert cfg.reader_options == {"maxOffsetsPerTrigger": "5"}

@@ -10,6 +10,7 @@ from tillwatch import schemas as S
 from tillwatch.operators.enrich import enrich
 from tillwatch.operators.features import with_age_at, with_derived_risk, with_time_features
 from tillwatch.operators.latest import latest_by_key
+from tillwatch.operators.ml import Ensemble
 from tillwatch.operators.scoring import logistic, mean_probability, with_decision
 
 # The rule score stays below 0.215, so its cut-off is its own parameter.
@@ -47,12 +48,23 @@ def formula_members() -> list[Column]:
     ]
 
 
+def with_model_features(enriched: DataFrame) -> DataFrame:
+    """The columns models read, added to the enriched transaction."""
+    featured = with_age_at(with_time_features(enriched))
+    return featured.withColumn("amt", F.coalesce("amount_major", F.lit(0.0)))
+
+
 def score_by_formulas(enriched: DataFrame, threshold: float = S.FRAUD_THRESHOLD) -> DataFrame:
-    featured = with_derived_risk(with_age_at(with_time_features(enriched)))
-    featured = featured.withColumn("amt", F.coalesce("amount_major", F.lit(0.0)))
+    featured = with_derived_risk(with_model_features(enriched))
     return with_decision(featured, mean_probability(formula_members()), threshold)
 
 
+def score_by_ensemble(enriched: DataFrame, ensemble: Ensemble, threshold: float = S.FRAUD_THRESHOLD) -> DataFrame:
+    """Score with a fitted or loaded Spark ML ensemble."""
+    scored = ensemble.score(with_model_features(enriched))
+    return with_decision(scored, F.col("fraud_probability"), threshold)
+
+
 def score_transactions(
     txns: DataFrame,
     cards: DataFrame,
