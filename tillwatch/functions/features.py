@@ -100,13 +100,13 @@ def rule_score(is_unusual: Column, is_over_limit: Column, distance_km: Column, c
         return F.when(condition, F.lit(thousandths)).otherwise(F.lit(0))
 
     total = (
-        F.lit(5)
-        + points(is_unusual == 1, 50)
-        + points(is_over_limit == 1, 80)
-        + points(distance_km > S.FAR_FROM_HOME_KM, 50)
-        + points(category.isin("LARGE", "XLARGE"), 30)
+        F.lit(S.RULE_BASE_POINTS)
+        + points(is_unusual == 1, S.RULE_UNUSUAL_HOUR_POINTS)
+        + points(is_over_limit == 1, S.RULE_OVER_LIMIT_POINTS)
+        + points(distance_km > S.FAR_FROM_HOME_KM, S.RULE_FAR_POINTS)
+        + points(category.isin(S.LARGE_CATEGORIES), S.RULE_LARGE_AMOUNT_POINTS)
     )
-    return F.least(total, F.lit(990)) / F.lit(1000.0)
+    return F.least(total, F.lit(S.RULE_MAX_POINTS)) / F.lit(1000.0)
 
 
 def high_risk_flag(risk: Column) -> Column:

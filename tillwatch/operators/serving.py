@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwatch.operators.validation import with_usable_key
 from tillwatch.sources.static import city_table
 
+# Event column to served column.
 USER_COLUMNS = {
     "given_name": "first",
     "family_name": "last",
