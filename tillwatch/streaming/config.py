@@ -60,8 +60,8 @@ class StreamConfig:
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
-    def table(self, name: str, schema: StructType, *partition_by: str) -> BatchTable:
-        return BatchTable(f"{self.base}/{name}", schema, partition_by)
+    def table(self, name: str, schema: StructType) -> BatchTable:
+        return BatchTable(f"{self.base}/{name}", schema)
 
     @property
     def users(self) -> EntityStore:
@@ -77,7 +77,7 @@ class StreamConfig:
 
     @property
     def alerts(self) -> BatchTable:
-        return self.table("alerts", ALERTS, "day")
+        return self.table("alerts", ALERTS)
 
     @property
     def counters(self) -> BatchTable:

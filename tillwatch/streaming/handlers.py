@@ -21,6 +21,12 @@ log = logging.getLogger(__name__)
 
 Handler = Callable[[DataFrame, int], None]
 
+# What the writes of a scored batch read; nothing else is held in memory for them.
+REPORTED = [
+    "event_id", "event_ts", "trans_date_trans_time", "amount_minor", "channel_code", "category", "fraud_probability",
+    "predicted_fraud",
+]
+
 
 def upsert_handler(store: EntityStore, serve: Callable[[DataFrame], DataFrame]) -> Handler:
     """Append the batch's served rows to the entity's change log."""
@@ -95,7 +101,7 @@ def transaction_handler(
                 # A required amount that was null is 0 once it is clean, so the reader tags rows first.
                 accepted = batch.filter("is_valid")
                 config.rejects.write(batch.filter("NOT is_valid"), batch_id)
-            scored = score_batch(accepted.drop("is_valid"), config, score, columns)
+            scored = score_batch(accepted.drop("is_valid"), config, score, columns).select(*REPORTED)
             scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
 
             day = day_key(F.col("trans_date_trans_time")).alias("day")

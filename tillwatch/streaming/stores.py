@@ -50,7 +50,7 @@ def numbered_directories(spark: SparkSession, path: str, prefix: str) -> list[in
 
 @dataclass(frozen=True)
 class BatchTable:
-    """A table that grows by micro-batches; ``partition_by`` splits each batch further.
+    """A table that grows by micro-batches.
 
     Batch ids restart when a query gets a new checkpoint, so give a new
     checkpoint a new ``path``.
@@ -58,11 +58,10 @@ class BatchTable:
 
     path: str
     schema: StructType
-    partition_by: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         columns = df.select(*self.schema.fieldNames())
-        columns.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{BATCH}={batch_id}")
+        columns.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
     def read(self, spark: SparkSession, after: int | None = None) -> DataFrame:
         """All rows with their ``batch_id``, or those of batches later than ``after``."""
