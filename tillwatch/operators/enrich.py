@@ -9,6 +9,9 @@ from tillwatch.operators.serving import ORDER_COLUMNS
 
 UNKNOWN_CATEGORY = "UNK"
 
+# Varied columns that flows read anyway; rows of hot keys are spread by them.
+SPREAD_BY = ["event_epoch_sec", "amount_minor"]
+
 
 def _without_order(df: DataFrame) -> DataFrame:
     """Drop the version-ordering columns, which would clash with the transaction's own."""
@@ -74,14 +77,16 @@ def enrich(
         entities[name] = df.withColumnsRenamed({column: f"_{name}_{column}" for column in held})
     merchants, cards, users = entities["merchant"], entities["card"], entities["user"]
 
+    spread_by = [name for name in SPREAD_BY if name in txns.columns]
     if fits_broadcast(cards, limit) and fits_broadcast(users, limit):
         out = txns.join(F.broadcast(cards), "card_ref", "left").join(F.broadcast(users), "party_id", "left")
     else:
         holders = lookup(cards, users, "party_id", rows_per_task=rows_per_task, limit=limit)
         # The estimate of a join is the product of its sides, so it is not asked again.
-        out = lookup(txns, holders, "card_ref", skew_from=skew, rows_per_task=rows_per_task, limit=-1)
+        out = lookup(txns, holders, "card_ref", skew_from=skew, rows_per_task=rows_per_task, limit=-1,
+                     spread_by=spread_by)
     out = lookup(out, merchants, "merchant_id", skew_from=skew if skew is not None else txns,
-                 rows_per_task=rows_per_task, limit=limit)
+                 rows_per_task=rows_per_task, limit=limit, spread_by=spread_by)
     flags = {name: F.coalesce(name, F.lit(False)) for name in ("card_found", "user_found", "merchant_found")}
     out = out.withColumns(flags).withColumnRenamed("merchant_id", "merchant_ref")
     if not clashes:

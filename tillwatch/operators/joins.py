@@ -127,18 +127,21 @@ def lookup(
     skew_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     limit: int | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``fact`` with ``table``, which has one row per ``key``.
 
     ``skew_from`` is a cheaper DataFrame with the same ``key`` distribution (say,
-    the table the fact was derived from) to look for hot keys in.
+    the table the fact was derived from) to look for hot keys in. ``spread_by``
+    are the columns salts are hashed from, by default all; a salt keeps its
+    columns from being pruned, so name varied ones that are read anyway.
     """
     if fits_broadcast(table, limit):
         return fact.join(F.broadcast(table), key, how)
     hot = hot_keys(fact if skew_from is None else skew_from, key, rows_per_task)
     if not hot:
         return fact.join(table, key, how)
-    left = _spread(fact, key, hot, fact.columns)
+    left = _spread(fact, key, hot, spread_by or fact.columns)
     return left.join(_replicate(table, key, hot), [key, "_salt"], how).drop("_salt")
 
 
