@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.operators.joins import ROWS_PER_TASK, fits_broadcast, lookup
@@ -45,7 +47,7 @@ def enrich(
     cards: DataFrame,
     users: DataFrame,
     merchants: DataFrame,
-    skew_from: DataFrame | None = None,
+    skew_from: Mapping[str, DataFrame] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     limit: int | None = None,
 ) -> DataFrame:
@@ -58,15 +60,16 @@ def enrich(
 
     When card and user are both small they are broadcast one after the other.
     Otherwise they are joined to each other first, so the transactions are
-    shuffled once for both and not twice. ``skew_from`` needs the columns
-    ``card_ref`` and ``merchant_ref``.
+    shuffled once for both and not twice. ``skew_from`` maps ``card_ref`` and
+    ``merchant_ref`` to cheaper DataFrames to look for their hot keys in.
     """
     cards, users, merchants = _without_order(cards), _without_order(users), _without_order(merchants)
     cards = cards.withColumn("card_found", F.lit(True))
     users = users.withColumn("user_found", F.lit(True))
     merchants = merchants.withColumn("merchant_found", F.lit(True))
     txns = with_merchant_key(txns)
-    skew = with_merchant_key(skew_from) if skew_from is not None else None
+    skew_from = skew_from or {}
+    card_skew, merchant_skew = skew_from.get("card_ref"), with_merchant_key(skew_from.get("merchant_ref", txns))
 
     entities = {"merchant": merchants, "card": cards, "user": users}
     keys = {"merchant_id", "card_ref", "party_id"}
@@ -83,9 +86,9 @@ def enrich(
     else:
         holders = lookup(cards, users, "party_id", rows_per_task=rows_per_task, limit=limit)
         # The estimate of a join is the product of its sides, so it is not asked again.
-        out = lookup(txns, holders, "card_ref", skew_from=skew, rows_per_task=rows_per_task, limit=-1,
+        out = lookup(txns, holders, "card_ref", skew_from=card_skew, rows_per_task=rows_per_task, limit=-1,
                      spread_by=spread_by)
-    out = lookup(out, merchants, "merchant_id", skew_from=skew if skew is not None else txns,
+    out = lookup(out, merchants, "merchant_id", skew_from=merchant_skew,
                  rows_per_task=rows_per_task, limit=limit, spread_by=spread_by)
     flags = {name: F.coalesce(name, F.lit(False)) for name in ("card_found", "user_found", "merchant_found")}
     out = out.withColumns(flags).withColumnRenamed("merchant_id", "merchant_ref")

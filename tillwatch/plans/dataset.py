@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.operators import cleaning, serving
 from tillwatch.plans.flows import latest_entities
@@ -41,6 +41,14 @@ class Dataset:
     def line_txns(self) -> DataFrame:
         return cleaning.clean_transactions(tables.raw_line_txns(self.spark, self.directory))
 
+    def line_keys(self) -> dict[str, DataFrame]:
+        """The keys of ``line_txns`` straight from the tables that hold them, to find hot ones without the join."""
+        sources = {"card_ref": ("orders", "o_custkey"), "merchant_ref": ("lineitem", "l_suppkey")}
+        return {
+            key: tables.read_table(self.spark, self.directory, table).select(F.col(column).cast("string").alias(key))
+            for key, (table, column) in sources.items()
+        }
+
     def entities(self, columns: Mapping[str, Sequence[str]] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Cards, users, merchants, with all columns or with the given ones."""
         wanted = columns or {}

@@ -410,6 +410,10 @@ versions AS (
         SELECT t.event_id, t.card_ref, t.ts, t.amount_minor, v.valid_from, v.card_event_id, v.daily_limit_minor
         FROM t ASOF LEFT JOIN versions v ON t.card_ref = v.card_ref AND t.ts >= v.valid_from""")
 
+CATEGORY_DAYS = _with(LINE_RULES, """
+        SELECT strftime(ts, '%Y%m%d') AS day, coalesce(category, 'UNK') AS category, count(*) AS n
+        FROM s WHERE predicted_fraud = 1 GROUP BY 1, 2""")
+
 # ------------------------------------------------------------------ one per query
 ORACLE_SQL: dict[str, str] = {
     "json_decode": _with([MESSAGE_STATE], "SELECT * FROM decoded"),
@@ -568,9 +572,8 @@ s AS (
       + 1 / (1 + exp(-(risk_score_online * 2.2 - 1.0)))
       + 1 / (1 + exp(-(amount_major * 0.001 + risk_score_online * 1.1 + is_unusual_hour * 0.4 - 1.2)))) / 3 AS p
     FROM t))"""], SCORED_SELECT),
-    "fraud_by_category_day": _with(LINE_RULES, """
-        SELECT strftime(ts, '%Y%m%d') AS day, coalesce(category, 'UNK') AS category, count(*) AS n
-        FROM s WHERE predicted_fraud = 1 GROUP BY 1, 2"""),
+    "fraud_by_category_day": CATEGORY_DAYS,
+    "fraud_by_category_day_shuffled": CATEGORY_DAYS,
     "fraud_by_channel_day": _with(LINE_RULES, """
         SELECT strftime(ts, '%Y%m%d') AS day, channel_code AS channel, count(*) AS n
         FROM s WHERE predicted_fraud = 1 GROUP BY 1, 2"""),

@@ -255,7 +255,7 @@ def amount_category(d: Dataset) -> DataFrame:
 
 @query
 def limit_and_deviation(d: Dataset) -> DataFrame:
-    enriched = E.enrich(d.line_txns(), *d.entities(flows.RULE_COLUMNS))
+    enriched = E.enrich(d.line_txns(), *d.entities(flows.RULE_COLUMNS), skew_from=d.line_keys())
     return features.with_card_age(features.with_limit_features(enriched)).groupBy("channel_code").agg(
         F.sum("exceeds_daily_limit").alias("over_limit"),
         F.max("amount_deviation_ratio").alias("max_deviation"),
@@ -321,11 +321,20 @@ def enrich_txn(d: Dataset) -> DataFrame:
 def enrich_txn_shuffled(d: Dataset) -> DataFrame:
     """The same lookups without broadcasts and with frequent keys salted."""
     txns = d.event_txns()
-    enriched = E.enrich(txns, *d.entities(), skew_from=txns.select("card_ref", "merchant_ref"),
-                        rows_per_task=80, limit=-1)
+    keys = {key: txns.select(key) for key in ("card_ref", "merchant_ref")}
+    enriched = E.enrich(txns, *d.entities(), skew_from=keys, rows_per_task=80, limit=-1)
     return enriched.select(*_enriched_columns())
 
 
+@query
+def fraud_by_category_day_shuffled(d: Dataset) -> DataFrame:
+    """The daily counter as planned for entities too large to broadcast, with hot cards and merchants salted."""
+    scored = flows.score_transactions(
+        d.line_txns(), *d.entities(flows.RULE_COLUMNS), skew_from=d.line_keys(), rows_per_task=12, limit=-1
+    )
+    return rollups.fraud_by_category(scored, "ts")
+
+
 @query
 def merge_last_wins(d: Dataset) -> DataFrame:
     """Where transaction and entity share a column, the transaction's value stays."""
@@ -343,7 +352,10 @@ def asof_enrich(d: Dataset) -> DataFrame:
     versions = d.card_versions().select(
         "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor"
     )
-    return asof_lookup(txns, versions, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month")
+    return asof_lookup(
+        txns, versions, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month",
+        skew_from=d.line_keys()["card_ref"],
+    )
 
 
 @query
@@ -470,7 +482,7 @@ ML_CATEGORICAL = ["category", "entry_mode"]
 @query
 def ml_ensemble_score(d: Dataset) -> DataFrame:
     """Fit the Spark ML ensemble on the order lines, with reversals as labels, and score them."""
-    enriched = E.enrich(d.line_txns(), *d.entities(MODEL_COLUMNS))
+    enriched = E.enrich(d.line_txns(), *d.entities(MODEL_COLUMNS), skew_from=d.line_keys())
     keep = ["event_id", "amount_sign", "card_found"]
     frame = features.feature_frame(enriched, ML_NUMERIC + ML_CATEGORICAL, keep=keep)
     frame = frame.withColumn("label", (F.col("amount_sign") == -1).cast("int"))
@@ -481,7 +493,7 @@ def ml_ensemble_score(d: Dataset) -> DataFrame:
 
 # ------------------------------------------------------------ counters, alerts
 def _rule_scored_lines(d: Dataset) -> DataFrame:
-    return flows.score_transactions(d.line_txns(), *d.entities(flows.RULE_COLUMNS))
+    return flows.score_transactions(d.line_txns(), *d.entities(flows.RULE_COLUMNS), skew_from=d.line_keys())
 
 
 @query
