@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import mixing, urls
+from tillwatch.llm import decontaminate, mixing, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,14 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_pseudonymise(spark: SparkSession, directory: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, directory, "documents")).select("doc_id", "text", *pii.COLUMNS)
+
+
+def op3_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix(table(spark, directory, "documents")).select("doc_id", *mixing.COLUMNS)
 
@@ -24,6 +32,8 @@ def op9_filter_urls(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pseudonymise": op1_pseudonymise,
+    "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": op4_mix_sources,
     "op9_filter_urls": op9_filter_urls,
 }
