@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwatch.llm import decontaminate, mixing, pii, urls
+from tillwatch.llm import cascade, decontaminate, fm, langid, licenses, mixing, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,13 @@ def op1_pseudonymise(spark: SparkSession, directory: str) -> DataFrame:
     return pii.pseudonymise(table(spark, directory, "documents")).select("doc_id", "text", *pii.COLUMNS)
 
 
+def op2_identify_language(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    filters = langid.learn(docs.filter(~langid.held_out(F.col("doc_id"))))
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(rows, filters).drop("text")
+
+
 def op3_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
 
@@ -27,17 +34,37 @@ def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix(table(spark, directory, "documents")).select("doc_id", *mixing.COLUMNS)
 
 
+def op6_score_quality(spark: SparkSession, directory: str) -> DataFrame:
+    docs, labels = table(spark, directory, "documents"), table(spark, directory, "labels")
+    held_out = langid.held_out(F.col("doc_id"), 4, 2)
+    machine = fm.learn(docs, labels.filter(~held_out))
+    return fm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), machine).drop("text")
+
+
+def op7_judge_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return cascade.judge(table(spark, directory, "documents").select("doc_id", "text")).drop("text")
+
+
+def op8_scan_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan(table(spark, directory, "documents").select("doc_id", "text")).drop("text")
+
+
 def op9_filter_urls(spark: SparkSession, directory: str) -> DataFrame:
     return urls.judge(table(spark, directory, "pages")).select("page_id", *urls.COLUMNS)
 
 
 QUERIES: dict[str, Query] = {
     "op1_pseudonymise": op1_pseudonymise,
+    "op2_identify_language": op2_identify_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": op4_mix_sources,
+    "op6_score_quality": op6_score_quality,
+    "op7_judge_quality": op7_judge_quality,
+    "op8_scan_licenses": op8_scan_licenses,
     "op9_filter_urls": op9_filter_urls,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mix_sources": mixing.SQL,
+    "op7_judge_quality": cascade.SQL,
 }
