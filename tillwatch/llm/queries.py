@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwatch.llm import cascade, decontaminate, fm, langid, licenses, mixing, pii, urls
+from tillwatch.llm import cascade, decontaminate, fm, jaccard, langid, licenses, lm, mixing, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix(table(spark, directory, "documents")).select("doc_id", *mixing.COLUMNS)
 
 
+def op5_score_likelihood(spark: SparkSession, directory: str) -> DataFrame:
+    return lm.scored(table(spark, directory, "documents").select("doc_id", "text")).drop("text")
+
+
 def op6_score_quality(spark: SparkSession, directory: str) -> DataFrame:
     docs, labels = table(spark, directory, "documents"), table(spark, directory, "labels")
     held_out = langid.held_out(F.col("doc_id"), 4, 2)
@@ -53,15 +57,21 @@ def op9_filter_urls(spark: SparkSession, directory: str) -> DataFrame:
     return urls.judge(table(spark, directory, "pages")).select("page_id", *urls.COLUMNS)
 
 
+def op10_join_ngrams(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard.classes(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pseudonymise": op1_pseudonymise,
     "op2_identify_language": op2_identify_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": op4_mix_sources,
+    "op5_score_likelihood": op5_score_likelihood,
     "op6_score_quality": op6_score_quality,
     "op7_judge_quality": op7_judge_quality,
     "op8_scan_licenses": op8_scan_licenses,
     "op9_filter_urls": op9_filter_urls,
+    "op10_join_ngrams": op10_join_ngrams,
 }
 
 ORACLE_SQL: dict[str, str] = {
