@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tillwatch.llm.arrays import Piece, mixed, pieces
-from tillwatch.llm.shared import unit_hash, without
+from tillwatch.llm.shared import set_aside, unit_hash, without
 
 SAMPLE_ROWS = 3000  # of each language
 MIN_SHARE = 1e-5  # bounds what is learned to 100,000 n-grams a language
@@ -200,5 +200,6 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
 def identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """``docs`` whose language is told by at least ``least_score`` of their n-grams, after learning from them."""
     filters = learn(docs.filter(labelled(F.col("doc_id"), F.col("lang"))))
-    judged = predict(docs, filters)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)
+    plain, back = set_aside(docs, *COLUMNS)
+    judged = predict(plain, filters).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return judged.select(*plain.columns).withColumnsRenamed(back)

@@ -32,6 +32,13 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns of these names renamed, and how to rename them back with ``withColumnsRenamed``."""
+    taken = {n.lower() for n in names}
+    back = {f"_own_{c}": c for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed({c: name for name, c in back.items()}), back
+
+
 def word_count(text: Column) -> Column:
     """Number of words between ASCII blanks; 0 for null."""
     trimmed = F.nullif(F.btrim(text, F.lit(BLANKS)), F.lit(""))
