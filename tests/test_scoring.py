@@ -43,8 +43,8 @@ def test_ml_ensemble_learns_saves_and_loads_once(spark, tmp_path):
     fitted = ml.fit_ensemble(rows, "label", ["x"], ["kind"], trees=3, depth=2)
     path = str(tmp_path / "ensemble")
     fitted.save(path)
-    loaded = ml.load_ensemble(path)
-    assert ml.load_ensemble(path) is loaded
+    loaded = ml.load_ensemble(spark, path)
+    assert ml.load_ensemble(spark, path) is loaded
     scored = loaded.score(rows.filter("x IS NOT NULL"))
     wrong = scoring.with_decision(scored, F.col("fraud_probability")).filter("predicted_fraud <> label").count()
     assert wrong == 0

@@ -333,7 +333,7 @@ def test_stream_scores_with_a_saved_ensemble(spark, inputs, tmp_path):
         "label", (F.col("risk_score_online") > 0.3).cast("int"))
     fitted = ml.fit_ensemble(training, "label", ["amt", "risk_score_online", "hour"], ["category"], trees=2, depth=2)
     fitted.save(str(tmp_path / "model"))
-    ensemble = ml.load_ensemble(str(tmp_path / "model"))
+    ensemble = ml.load_ensemble(spark, str(tmp_path / "model"))
     Q.wait({S.TXN_TOPIC: Q.start_transactions(spark, cfg, lambda df: flows.score_by_ensemble(df, ensemble), None)})
     assert cfg.alerts.read(spark).count() > 0
 

@@ -91,22 +91,25 @@ def deviation_ratio(amount_minor: Column, base_minor: Column) -> Column:
 
 # -------------------------------------------------------------------------- risk
 def rule_score(is_unusual: Column, is_over_limit: Column, distance_km: Column, category: Column) -> Column:
-    """Transparent additive fraud probability, in thousandths until the last step.
+    """Transparent additive fraud probability.
 
-    Integer thousandths make the sum independent of the order of the terms.
+    Summed in whole thousandths, so that the result does not depend on the order of the terms.
     """
 
-    def points(condition: Column, thousandths: int) -> Column:
-        return F.when(condition, F.lit(thousandths)).otherwise(F.lit(0))
+    def thousandths(weight: float) -> int:
+        return round(weight * 1000)
+
+    def points(condition: Column, weight: float) -> Column:
+        return F.when(condition, F.lit(thousandths(weight))).otherwise(F.lit(0))
 
     total = (
-        F.lit(S.RULE_BASE_POINTS)
-        + points(is_unusual == 1, S.RULE_UNUSUAL_HOUR_POINTS)
-        + points(is_over_limit == 1, S.RULE_OVER_LIMIT_POINTS)
-        + points(distance_km > S.FAR_FROM_HOME_KM, S.RULE_FAR_POINTS)
-        + points(category.isin(S.LARGE_CATEGORIES), S.RULE_LARGE_AMOUNT_POINTS)
+        F.lit(thousandths(S.RULE_BASE))
+        + points(is_unusual == 1, S.RULE_UNUSUAL_HOUR)
+        + points(is_over_limit == 1, S.RULE_OVER_LIMIT)
+        + points(distance_km > S.FAR_FROM_HOME_KM, S.RULE_FAR)
+        + points(category.isin(S.LARGE_CATEGORIES), S.RULE_LARGE_AMOUNT)
     )
-    return F.least(total, F.lit(S.RULE_MAX_POINTS)) / F.lit(1000.0)
+    return F.least(total, F.lit(thousandths(S.RULE_MAX))) / F.lit(1000.0)
 
 
 def high_risk_flag(risk: Column) -> Column:

@@ -58,7 +58,7 @@ def enrich(
     A column that several sides have is taken from the transaction, else from
     the merchant, the card or the user, whichever of them is found first.
 
-    When card and user are both small they are broadcast one after the other.
+    When card and user are both small they are joined one after the other.
     Otherwise they are joined to each other first, so the transactions are
     shuffled once for both and not twice. ``skew_from`` maps ``card_ref`` and
     ``merchant_ref`` to cheaper DataFrames to look for their hot keys in.
@@ -82,12 +82,12 @@ def enrich(
 
     spread_by = [name for name in SPREAD_BY if name in txns.columns]
     if fits_broadcast(cards, limit) and fits_broadcast(users, limit):
-        out = txns.join(F.broadcast(cards), "card_ref", "left").join(F.broadcast(users), "party_id", "left")
+        out = txns.join(cards, "card_ref", "left").join(users, "party_id", "left")
     else:
         holders = lookup(cards, users, "party_id", rows_per_task=rows_per_task, limit=limit)
-        # The estimate of a join is the product of its sides, so it is not asked again.
-        out = lookup(txns, holders, "card_ref", skew_from=card_skew, rows_per_task=rows_per_task, limit=-1,
-                     spread_by=spread_by)
+        # The estimate of a join is the product of its sides, so it is not asked again: nothing is below 0.
+        out = lookup(txns, holders, "card_ref", skew_from=card_skew, rows_per_task=rows_per_task,
+                     limit=min(0, limit or 0), spread_by=spread_by)
     out = lookup(out, merchants, "merchant_id", skew_from=merchant_skew,
                  rows_per_task=rows_per_task, limit=limit, spread_by=spread_by)
     flags = {name: F.coalesce(name, F.lit(False)) for name in ("card_found", "user_found", "merchant_found")}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tillwatch import schemas as S
 from tillwatch.functions import features as X
@@ -58,7 +59,7 @@ def with_derived_risk(df: DataFrame) -> DataFrame:
 
 def with_merchant_risk(df: DataFrame, category: str = "mcc_group") -> DataFrame:
     """Base risk of the merchant category and the flag derived from it."""
-    schema = S.struct(strings=category, doubles="_risk")
+    schema = StructType([StructField(category, StringType()), StructField("_risk", DoubleType())])
     risks = local_table(df.sparkSession, list(S.MERCHANT_BASE_RISK.items()), schema)
     risk = F.least(F.greatest(F.coalesce("_risk", F.lit(S.MERCHANT_DEFAULT_RISK)), F.lit(0.0)), F.lit(1.0))
     return df.join(F.broadcast(risks), category, "left").withColumn("merchant_risk", rounded(risk, 3)).drop("_risk").withColumn(

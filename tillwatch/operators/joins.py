@@ -1,10 +1,10 @@
 """Lookup joins from a large fact side into keyed tables.
 
-A lookup table whose size is checked to be below Spark's own broadcast threshold
-is broadcast. A larger one is shuffled, and keys that
-hold too many fact rows are salted: their fact rows are spread over several
-tasks and their single lookup row is copied to each of them. The salt only
-moves rows; the joined rows are the same.
+How a lookup is carried out is left to Spark, which broadcasts what it knows or
+at run time finds to be small. Where the lookup table is not known to be small,
+keys that hold too many fact rows are salted: their fact rows are spread over
+several tasks and their single lookup row is copied to each of them. The salt
+only moves rows; the joined rows are the same.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ from tillwatch.operators.latest import latest_by_key
 from tillwatch.sources.static import local_table
 
 ROWS_PER_TASK = 5_000_000
-# Size of the frequency sketch. It finds every key above about 3.5 / SKETCH_ITEMS
-# of the rows, and bounds the list of hot keys that is held in memory.
-SKETCH_ITEMS = 10_000
-SKETCH_GROUPS = 64
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -42,51 +38,25 @@ def _input_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether a DataFrame is known to be small enough to broadcast.
+    """Whether a lookup table is small enough that no keys need salting; no job is run.
 
     The optimizer's estimate decides if it is small. With joins inside it is the
-    product of their sides and says little; then, if all inputs together are
-    small, the rows are counted, and if the inputs are large the answer is no.
+    product of their sides and says little; then the inputs together decide. Nothing
+    is broadcast on the strength of this: Spark measures the table at run time.
     """
     limit = broadcast_limit(df) if limit is None else limit
-    if limit < 0:
-        return False
-    if plan_bytes(df) <= limit:
-        return True
-    if _input_bytes(df) > limit:
-        return False
-    return df.count() * df._jdf.schema().defaultSize() <= limit
+    return limit >= 0 and (plan_bytes(df) <= limit or _input_bytes(df) <= limit)
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
     """``(key, copies)`` of keys with more rows than one task should hold, null included.
 
-    Only the key column is read. Frequency sketches are built map-side and merged
-    in two steps, so nothing is shuffled but sketches, and the result has at
-    most ``SKETCH_ITEMS`` entries.
+    Only the key column is read, and counts are combined before the shuffle. The
+    counts are exact, so every such key is found; there are at most as many as
+    ``rows_per_task`` fits into the number of rows.
     """
-    partial = (
-        df.select(F.col(key).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
-        .groupBy("_group")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(_key, {SKETCH_ITEMS})").alias("_sketch"),
-            F.count_if(F.col("_key").isNull()).alias("_nulls"),
-        )
-    )
-    # Grouped by a constant, since an empty input has no sketch to combine.
-    merged = partial.groupBy(F.lit(1).alias("_one")).agg(
-        F.expr(f"approx_top_k_combine(_sketch, {SKETCH_ITEMS})").alias("_sketch"), F.sum("_nulls").alias("_nulls")
-    ).select(
-        F.expr(f"filter(approx_top_k_estimate(_sketch, {SKETCH_ITEMS}), x -> x.count > {rows_per_task})").alias("top"),
-        "_nulls",
-    )
-    found = merged.first()
-    if found is None:
-        return []
-    counts = [(row["item"], row["count"]) for row in found["top"] if row["item"] is not None]
-    if found["_nulls"] > rows_per_task:
-        counts.append((None, found["_nulls"]))
-    return [(item, math.ceil(count / rows_per_task)) for item, count in counts]
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
+    return [(row["_key"], math.ceil(row["_n"] / rows_per_task)) for row in counts.collect()]
 
 
 def _hot_table(df: DataFrame, key: str, hot: list[tuple]) -> DataFrame:
@@ -131,18 +101,21 @@ def lookup(
 ) -> DataFrame:
     """Join ``fact`` with ``table``, which has one row per ``key``.
 
+    ``limit`` is the size in bytes up to which a table counts as small, by default
+    Spark's own for broadcasts; below 0 both sides are shuffled in any case.
     ``skew_from`` is a cheaper DataFrame with the same ``key`` distribution (say,
     the table the fact was derived from) to look for hot keys in. ``spread_by``
     are the columns salts are hashed from, by default all; a salt keeps its
     columns from being pruned, so name varied ones that are read anyway.
     """
     if fits_broadcast(table, limit):
-        return fact.join(F.broadcast(table), key, how)
-    hot = hot_keys(fact if skew_from is None else skew_from, key, rows_per_task)
-    if not hot:
         return fact.join(table, key, how)
-    left = _spread(fact, key, hot, spread_by or fact.columns)
-    return left.join(_replicate(table, key, hot), [key, "_salt"], how).drop("_salt")
+    shuffled = limit is not None and limit < 0
+    hot = hot_keys(fact if skew_from is None else skew_from, key, rows_per_task)
+    keys = [key, "_salt"] if hot else [key]
+    if hot:
+        fact, table = _spread(fact, key, hot, spread_by or fact.columns), _replicate(table, key, hot)
+    return fact.join(table.hint("merge") if shuffled else table, keys, how).drop("_salt")
 
 
 def _marked(df: DataFrame, key: str, hot: list[tuple]) -> DataFrame:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def instant(text: str) -> Column:
+    """The moment that an ISO 8601 text names, so that offsets and fractions of any length compare; null if none."""
+    return F.col(text).try_cast("timestamp")
+
+
+def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """One row per key, the one with the greatest ``order_by`` values.
 
     ``max_by`` keeps one row per key and task before the shuffle, so a key that

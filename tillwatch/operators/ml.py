@@ -8,9 +8,9 @@ from functools import lru_cache
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.operators.scoring import mean_probability
 
@@ -37,6 +37,14 @@ class Ensemble:
         return out.select(*original, mean_probability(members).alias("fraud_probability"))
 
 
+def _bounded(rows: DataFrame, max_rows: int) -> DataFrame:
+    """About ``max_rows`` of the rows if there are more, chosen by a hash of their content."""
+    n = rows.count()
+    if n <= max_rows:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
+
+
 def fit_ensemble(
     df: DataFrame,
     label: str,
@@ -45,26 +53,32 @@ def fit_ensemble(
     trees: int = 20,
     depth: int = 5,
     seed: int = 7,
+    max_rows: int = 2_000_000,
+    hash_width: int = 256,
 ) -> Ensemble:
-    """Fit the preprocessor and the three classifiers on all rows of ``df``.
+    """Fit the preprocessor and the three classifiers on about ``max_rows`` labelled rows of ``df`` at most.
 
-    The prepared rows are persisted for the iterative fits, spilling to disk.
+    Categories are hashed into ``hash_width`` indicator columns. So there may be
+    any number of them, no list of them is made, and the linear model sees them as
+    indicators. The prepared rows are persisted for the iterative fits, spilling to disk.
     """
-    indexed = [f"{name}_index" for name in categorical]
     imputed = [f"{name}_filled" for name in numeric]
     stages = [Imputer(inputCols=list(numeric), outputCols=imputed, strategy="mean")]
+    inputs = list(imputed)
     if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=imputed + indexed, outputCol="features", handleInvalid="keep"))
+        stages.append(FeatureHasher(
+            inputCols=list(categorical), outputCol="_categories", numFeatures=hash_width,
+            categoricalCols=list(categorical)))
+        inputs.append("_categories")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
 
-    rows = df.select(F.col(label).cast("double").alias("label"), *numeric, *categorical)
+    rows = _bounded(df.select(F.col(label).cast("double").alias("label"), *numeric, *categorical), max_rows)
     preprocessor = Pipeline(stages=stages).fit(rows)
     prepared = preprocessor.transform(rows).select("label", "features").persist()
-    bins = 64
 
     estimators = {
-        "boosted": GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=bins, seed=seed),
-        "forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed),
+        "boosted": GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed),
+        "forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),
         "linear": LogisticRegression(maxIter=25, regParam=0.01),
     }
     for name, estimator in estimators.items():
@@ -78,9 +92,15 @@ def fit_ensemble(
     return Ensemble(preprocessor, members)
 
 
+def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
+    """Load a saved ensemble; the same objects again in this process, until it is saved anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MEMBERS[-1]}/metadata")
+    status = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(folder)
+    return _loaded(path, status.getModificationTime())
+
+
 @lru_cache(maxsize=8)
-def load_ensemble(path: str) -> Ensemble:
-    """Load a saved ensemble; further calls in this process return the same objects."""
+def _loaded(path: str, saved_at: int) -> Ensemble:
     return Ensemble(
         PipelineModel.load(f"{path}/preprocessor"),
         {name: PipelineModel.load(f"{path}/{name}") for name in MEMBERS},

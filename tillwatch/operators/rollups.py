@@ -8,6 +8,7 @@ from tillwatch import schemas as S
 from tillwatch.functions import features as X
 from tillwatch.functions.cleaners import banded
 from tillwatch.operators.enrich import UNKNOWN_CATEGORY, category_of_row
+from tillwatch.operators.latest import instant
 from tillwatch.operators.validation import flagged_only
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "count": F.count, "avg": F.avg}
@@ -141,18 +142,32 @@ def gauge(points: DataFrame, series: str = S.SERIES_FRAUD) -> DataFrame:
     )
 
 
-def trailing(df: DataFrame, ts: str = "ts", span: str = S.TRAILING_VIEW, now: Column | None = None) -> DataFrame:
-    """Rows of the last ``span`` up to ``now``, by default up to the newest row."""
-    until = df.agg(F.max(ts)).scalar() if now is None else now
+def trailing(
+    df: DataFrame, ts: str = "ts", span: str = S.TRAILING_VIEW, now: Column | None = None,
+    newest_from: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the last ``span`` up to ``now``, by default up to the newest row.
+
+    ``newest_from`` is a cheaper DataFrame with the same newest ``ts`` to look for it in.
+    """
+    newest = df if newest_from is None else newest_from
+    until = newest.agg(F.max(ts)).scalar() if now is None else now
     return df.filter((F.col(ts) >= until - F.expr(f"interval {span}")) & (F.col(ts) <= until))
 
 
-def retained(points: DataFrame, retention_ms: int = S.SERIES_RETENTION_MS) -> DataFrame:
-    """Drop points older than the retention, counted from the newest point of each series."""
+def retained(
+    points: DataFrame, retention_ms: int = S.SERIES_RETENTION_MS, newest_from: DataFrame | None = None
+) -> DataFrame:
+    """Drop points older than the retention, counted from the newest point of each series.
+
+    Where all series end at the same moment, ``newest_from`` is a cheaper DataFrame with it as its newest ``ts``.
+    """
+    oldest = F.expr(f"interval {retention_ms} milliseconds")
+    if newest_from is not None:
+        return points.filter(F.col("ts") >= newest_from.agg(F.max("ts")).scalar() - oldest)
     newest = points.groupBy("series").agg(F.max("ts").alias("_newest"))
-    # One row per series name, of which the domain has a fixed set.
-    joined = points.join(F.broadcast(newest), "series")
-    oldest = F.col("_newest") - F.expr(f"interval {retention_ms} milliseconds")
+    joined = points.join(newest, "series")
+    oldest = F.col("_newest") - oldest
     return joined.filter(F.col("ts") >= oldest).drop("_newest")
 
 
@@ -174,5 +189,5 @@ def alerts(scored: DataFrame, *carried: str) -> DataFrame:
 
 
 def recent_alerts(feed: DataFrame, length: int = S.ALERT_FEED_LENGTH) -> DataFrame:
-    """The newest alerts, exactly ``length`` of them if there are as many."""
-    return feed.orderBy(F.desc("ts"), F.desc("txn_id")).limit(length)
+    """The newest alerts by the moment they name, exactly ``length`` of them if there are as many."""
+    return feed.orderBy(instant("ts").desc(), F.desc("txn_id")).limit(length)

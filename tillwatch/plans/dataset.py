@@ -42,11 +42,11 @@ class Dataset:
         return cleaning.clean_transactions(tables.raw_line_txns(self.spark, self.directory))
 
     def line_keys(self) -> dict[str, DataFrame]:
-        """The keys of ``line_txns`` straight from the tables that hold them, to find hot ones without the join."""
-        sources = {"card_ref": ("orders", "o_custkey"), "merchant_ref": ("lineitem", "l_suppkey")}
+        """The keys of ``line_txns``, a row for each line, to find hot ones in without the cleaning."""
+        lines = tables.read_table(self.spark, self.directory, "lineitem")
         return {
-            key: tables.read_table(self.spark, self.directory, table).select(F.col(column).cast("string").alias(key))
-            for key, (table, column) in sources.items()
+            "card_ref": tables.raw_line_txns(self.spark, self.directory).select("card_ref"),
+            "merchant_ref": lines.select(F.col("l_suppkey").cast("string").alias("merchant_ref")),
         }
 
     def entities(self, columns: Mapping[str, Sequence[str]] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

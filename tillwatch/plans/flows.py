@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwatch import schemas as S
 from tillwatch.operators.enrich import enrich
 from tillwatch.operators.features import with_age_at, with_derived_risk, with_time_features
-from tillwatch.operators.latest import latest_by_key
+from tillwatch.operators.latest import instant, latest_by_key
 from tillwatch.operators.ml import Ensemble
 from tillwatch.operators.scoring import logistic, mean_probability, with_decision
 
@@ -85,4 +85,5 @@ def latest_entities(served: DataFrame, key: str, columns: Sequence[str] | None =
     order = [name for name in VERSION_ORDER if name in served.columns]
     if columns is not None:
         served = served.select(key, *[name for name in columns if name != key], *order)
-    return latest_by_key(served, key, order)
+    by = [instant(name) if name == "event_ts" else F.col(name) for name in order]
+    return latest_by_key(served, key, by)

@@ -319,7 +319,7 @@ def enrich_txn(d: Dataset) -> DataFrame:
 
 @query
 def enrich_txn_shuffled(d: Dataset) -> DataFrame:
-    """The same lookups without broadcasts and with frequent keys salted."""
+    """The same lookups shuffled, whatever their size, with frequent keys salted."""
     txns = d.event_txns()
     keys = {key: txns.select(key) for key in ("card_ref", "merchant_ref")}
     enriched = E.enrich(txns, *d.entities(), skew_from=keys, rows_per_task=80, limit=-1)
@@ -477,6 +477,7 @@ def opaque_ensemble_score(d: Dataset) -> DataFrame:
 
 ML_NUMERIC = ["amt", "hour", "day_of_week", "age", "risk_score_online", "risk_score_merchant", "daily_limit_minor"]
 ML_CATEGORICAL = ["category", "entry_mode"]
+ML_ROWS = 200_000  # labelled rows the models are fitted to
 
 
 @query
@@ -486,7 +487,7 @@ def ml_ensemble_score(d: Dataset) -> DataFrame:
     keep = ["event_id", "amount_sign", "card_found"]
     frame = features.feature_frame(enriched, ML_NUMERIC + ML_CATEGORICAL, keep=keep)
     frame = frame.withColumn("label", (F.col("amount_sign") == -1).cast("int"))
-    ensemble = ml.fit_ensemble(frame, "label", ML_NUMERIC, ML_CATEGORICAL, trees=5, depth=3)
+    ensemble = ml.fit_ensemble(frame, "label", ML_NUMERIC, ML_CATEGORICAL, max_rows=ML_ROWS)
     scored = scoring.with_decision(ensemble.score(frame), F.col("fraud_probability"))
     return scored.select("event_id", "fraud_probability", "predicted_fraud")
 
@@ -544,6 +545,11 @@ def _points(d: Dataset) -> DataFrame:
     return rollups.series_points(_formula_scored(d), "ts")
 
 
+def _point_times(d: Dataset) -> DataFrame:
+    """The times of ``_points`` without the scoring."""
+    return d.event_txns().select(F.date_trunc("second", "ts").alias("ts"))
+
+
 def _tumbling(d: Dataset, value: str) -> DataFrame:
     return rollups.tumbling(_formula_scored(d), "ts", F.col(value).cast("bigint"), "sum")
 
@@ -589,7 +595,7 @@ def gauge_band(d: Dataset) -> DataFrame:
 
 @query
 def trailing_5m(d: Dataset) -> DataFrame:
-    return rollups.trailing(_points(d))
+    return rollups.trailing(_points(d), newest_from=_point_times(d))
 
 
 @query
@@ -599,7 +605,7 @@ def trailing_day(d: Dataset) -> DataFrame:
 
 @query
 def retention_10m(d: Dataset) -> DataFrame:
-    return rollups.retained(_points(d))
+    return rollups.retained(_points(d), newest_from=_point_times(d))
 
 
 @query

@@ -9,28 +9,31 @@ from pyspark.sql.types import StructType
 from tillwatch import schemas as S
 from tillwatch.streaming.stores import BatchTable, EntityStore
 
-USER_STORE = S.struct(
-    strings="party_id first last gender street state zip job dob age_group income_level city event_ts event_id",
-    ints="age city_pop kafka_partition",
-    bigints="kafka_offset",
-    doubles="home_latitude home_longitude lat long",
+USER_STORE = StructType.fromDDL(
+    "party_id STRING, first STRING, last STRING, gender STRING, street STRING, state STRING, zip STRING, job STRING, "
+    "dob STRING, age_group STRING, income_level STRING, city STRING, event_ts STRING, event_id STRING, age INT, "
+    "city_pop INT, kafka_partition INT, kafka_offset BIGINT, home_latitude DOUBLE, home_longitude DOUBLE, lat DOUBLE, "
+    "long DOUBLE"
 )
-MERCHANT_STORE = S.struct(
-    strings="merchant_id merchant category merchant_type event_id",
-    ints="avg_txn_amount_minor is_high_risk kafka_partition",
-    bigints="kafka_offset",
-    doubles="merch_lat merch_long risk_score_merchant",
+MERCHANT_STORE = StructType.fromDDL(
+    "merchant_id STRING, merchant STRING, category STRING, merchant_type STRING, event_id STRING, "
+    "avg_txn_amount_minor INT, is_high_risk INT, kafka_partition INT, kafka_offset BIGINT, merch_lat DOUBLE, "
+    "merch_long DOUBLE, risk_score_merchant DOUBLE"
 )
-CARD_STORE = S.struct(
-    strings="card_ref party_id cc_last4 product_type brand card_age_category event_id",
-    ints="days_since_issuance is_primary_card daily_limit_minor kafka_partition",
-    bigints="kafka_offset",
+CARD_STORE = StructType.fromDDL(
+    "card_ref STRING, party_id STRING, cc_last4 STRING, product_type STRING, brand STRING, card_age_category STRING, "
+    "event_id STRING, days_since_issuance INT, is_primary_card INT, daily_limit_minor INT, kafka_partition INT, "
+    "kafka_offset BIGINT"
+)
+ALERTS = StructType.fromDDL(
+    "txn_id STRING, category STRING, channel STRING, ts STRING, day STRING, amount_minor BIGINT"
+)
+COUNTERS = StructType.fromDDL("day STRING, dimension STRING, value STRING, n BIGINT")
+POINTS = StructType.fromDDL("series STRING, ts TIMESTAMP, value BIGINT")
+LATEST = StructType.fromDDL("event_ts STRING, event_id STRING, latest_transaction_amount DOUBLE")
+REJECTS = StructType.fromDDL(
+    "value STRING, missing ARRAY<STRING>, kafka_partition INT, kafka_offset BIGINT, event_id STRING"
 )
-ALERTS = S.struct(strings="txn_id category channel ts day", bigints="amount_minor")
-COUNTERS = S.struct(strings="day dimension value", bigints="n")
-POINTS = S.struct(strings="series", timestamps="ts", bigints="value")
-LATEST = S.struct(strings="event_ts event_id", doubles="latest_transaction_amount")
-REJECTS = S.struct(strings="event_id card_ref merchant_ref", ints="amount_minor")
 LATENCIES = POINTS
 
 
