@@ -1,6 +1,7 @@
 import json
 import logging
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,7 +101,11 @@ def test_stream_equals_batch(spark, inputs, finished):
 def test_malformed_rows_are_set_aside(spark, finished):
     rejects = finished.rejects.read(spark)
     assert rejects.filter("event_id IS NULL").count() == 2
-    assert rejects.filter("event_id IS NOT NULL AND amount_minor IS NOT NULL AND amount_minor <> 0").count() == 0
+    kept = {r["value"]: r["missing"] for r in rejects.collect()}
+    assert kept["not json"] == kept["[1]"] == S.REQUIRED_FIELDS[S.TXN_TOPIC]
+    for value, missing in kept.items():
+        if value.startswith("{"):
+            assert missing == [f for f in S.REQUIRED_FIELDS[S.TXN_TOPIC] if json.loads(value).get(f) is None] != []
 
 
 def test_latest_register_is_from_the_last_batch(spark, finished):
@@ -111,7 +116,8 @@ def test_latest_register_is_from_the_last_batch(spark, finished):
 def test_a_replayed_batch_changes_nothing(spark, inputs, finished):
     before = as_set(finished.alerts.read(spark)), as_set(handlers.daily_counters(finished.counters.read(spark)))
     raw = handlers.tag_before_cleaning(topics.decode(topics.read_messages(
-        spark, S.TXN_TOPIC, source="files", location=str(inputs / S.TXN_TOPIC / "0.json"), streaming=False), S.TXN_SCHEMA))
+        spark, S.TXN_TOPIC, source="files", location=str(inputs / S.TXN_TOPIC / "0.json"), streaming=False), S.TXN_SCHEMA,
+        raw=True))
     clean = cleaning.clean_transactions(raw)
     txn_file = {tuple(r) for r in clean.filter("is_valid").select("event_id").collect()}
     batch_id = next(
@@ -289,6 +295,72 @@ def test_watermark_windows_and_duplicates(spark, tmp_path):
     assert got == {0: 4, 60: 2}
 
 
+def test_no_row_is_lost_while_repeats_are_dropped(spark, tmp_path):
+    source = tmp_path / "txns"
+    row = lambda i, second, **more: {"event_id": str(i), "event_epoch_sec": 1700000000 + second, "amount_minor": 100,
+                                     "card_ref": "c", "merchant_ref": "m", **more}
+    write_txns(source, "0.json", [row(1, 0), row(2, 7200), row(1, 0), {"event_id": "x"}])
+    (source / "0.json").open("a").write("not json\n[1]\n{}\n")
+    os.utime(source / "0.json", (1_700_000_000, 1_700_000_000))
+    write_txns(source, "1.json", [row(3, 9000), row(2, 7200), row(4, 10, auth_code="late"), row(0, 5, event_id=None)])
+    write_txns(source, "2.json", [row(1, 0), row(5, 9001), row(3, 9000), row(5, 9001)])
+    cfg = StreamConfig(str(tmp_path / "app"), {S.TXN_TOPIC: str(source)}, source="files", available_now=True,
+                       deduplicate_within="1 hour", reader_options={"maxFilesPerTrigger": "1"})
+    run_txns(spark, cfg)
+    points = cfg.points.read(spark).filter(F.col("series") == S.SERIES_COUNT)
+    assert points.agg(F.sum("value")).first()[0] == 5  # 1, 2, 3, 5 and the late 4
+    assert sorted(column(cfg.seen.read(spark), "event_id")) == ["1", "2", "3", "4", "5"]
+    rejects = cfg.rejects.read(spark)
+    assert rejects.count() == 5 and rejects.filter("value = 'not json'").count() == 1
+    handlers.compact(spark, cfg)
+    assert sorted(column(cfg.seen.read(spark), "event_id")) == ["2", "3", "5"]
+    write_txns(source, "3.json", [row(5, 9001), row(6, 9002)])
+    run_txns(spark, cfg)
+    assert cfg.points.read(spark).filter(F.col("series") == S.SERIES_COUNT).orderBy(F.desc("batch_id")).first()["value"] == 1
+
+
+def test_stores_are_compacted_trimmed_and_expired(spark, inputs, tmp_path, monkeypatch):
+    cfg = config(inputs, tmp_path, reader_options={"maxFilesPerTrigger": "1"})
+    run_entities(spark, cfg)
+    run_txns(spark, cfg)
+    totals = as_set(handlers.daily_counters(cfg.counters.read(spark)))
+    latest = as_set(handlers.latest_register(cfg.latest.read(spark)))
+    newest = as_set(rollups.recent_alerts(cfg.alerts.read(spark), 3).drop("batch_id"))
+    monkeypatch.setattr(rollups.recent_alerts, "__defaults__", (3,))
+    handlers.compact(spark, cfg)
+    handlers.compact(spark, cfg)  # nothing new: nothing happens
+    assert as_set(handlers.daily_counters(cfg.counters.read(spark))) == totals
+    assert as_set(handlers.latest_register(cfg.latest.read(spark))) == latest and cfg.latest.read(spark).count() == 1
+    assert as_set(cfg.alerts.read(spark).drop("batch_id")) == newest
+    old = spark.createDataFrame([("s", None, 1)], "series string, ts timestamp, value bigint").withColumn(
+        "ts", F.expr("current_timestamp() - interval 1 day"))
+    cfg.points.write(old.unionByName(old.withColumn("ts", F.current_timestamp())), 10)
+    handlers.compact(spark, cfg)
+    assert cfg.points.read(spark).filter("series = 's'").count() == 1
+    assert numbered_directories(spark, cfg.points.path, "batch_id") == [10]  # the ones before the last snapshot are gone
+
+
+def test_a_batch_opens_its_own_buckets(spark, inputs, tmp_path):
+    store = config(inputs, tmp_path).cards
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("card_ref"), F.lit("b").alias("brand"), *[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in store.schema if f.name not in ("card_ref", "brand")])
+    store.upsert(rows, 0)
+    store.compact(spark)
+    found = store.latest(spark, spark.createDataFrame([("5",), ("77",)], "card_ref string"), ["brand"])
+    assert sorted(column(found, "card_ref")) == ["5", "77"]
+    scans = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_bucket#\d+ (IN|=)", scans)
+
+
+def test_times_of_any_form_are_ordered(spark):
+    forms = [("a", "2024-01-01T10:00:00Z", 1), ("b", "2024-01-01T16:30:00+07:00", 2),
+             ("c", "2024-01-01T10:00:00.5Z", 3), ("d", "2024-01-01T09:59:59.999999+00:00", 4), ("e", "never", 5)]
+    feed = spark.createDataFrame(forms, "txn_id string, ts string, amount_minor long")
+    assert column(rollups.recent_alerts(feed), "txn_id") == ["c", "a", "d", "b", "e"]
+    versions = spark.createDataFrame([("k", ts, i) for i, ts, _ in forms], "party_id string, event_ts string, event_id string")
+    assert column(flows.latest_entities(versions, "party_id"), "event_id") == ["c"]
+
+
 def test_running_daily_counts_agree_with_the_batch(spark, tmp_path, inputs):
     cfg = config(inputs, tmp_path)
     txns = cleaning.clean_transactions(Q.records(spark, cfg, S.TXN_TOPIC))

@@ -14,6 +14,12 @@ def has_required(topic: str) -> Column:
     return reduce(Column.__and__, [F.col(name).isNotNull() for name in S.REQUIRED_FIELDS[topic]])
 
 
+def missing_fields(topic: str) -> Column:
+    """Names of the required fields that a row lacks, in the order in which they are required."""
+    names = [F.when(F.col(name).isNull(), F.lit(name)) for name in S.REQUIRED_FIELDS[topic]]
+    return F.array_compact(F.array(*names))
+
+
 def tag_valid(df: DataFrame, topic: str) -> DataFrame:
     return df.withColumn("is_valid", has_required(topic))
 

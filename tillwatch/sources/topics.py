@@ -55,9 +55,10 @@ def read_messages(
     raise ValueError(f"unknown source {source!r}")
 
 
-def decode(messages: DataFrame, schema: StructType, envelope: bool = True) -> DataFrame:
-    """JSON text to typed columns. Unknown fields go; fields that do not parse are null."""
+def decode(messages: DataFrame, schema: StructType, envelope: bool = True, raw: bool = False) -> DataFrame:
+    """JSON text to typed columns. Unknown fields go; fields that do not parse are null. ``raw`` keeps the text."""
     kept = [name for name in ENVELOPE if name in messages.columns] if envelope else []
+    kept += ["value"] if raw else []
     return messages.select(F.from_json("value", schema).alias("data"), *kept).select("data.*", *kept)
 
 

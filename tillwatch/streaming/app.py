@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwatch import schemas as S
 from tillwatch.operators import cleaning
+from tillwatch.operators.latest import instant, latest_by_key
 from tillwatch.operators.ml import load_ensemble
 from tillwatch.operators.validation import has_required
 from tillwatch.plans import flows
@@ -36,10 +37,12 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--threshold", type=float, default=S.FRAUD_THRESHOLD)
     parser.add_argument("--trigger-seconds", type=int)
     parser.add_argument("--max-per-trigger", type=int, help="offsets or files per micro-batch")
-    parser.add_argument("--watermark", help="drop repeated event ids within this delay, such as '10 minutes'")
+    parser.add_argument("--deduplicate-within", help="drop event ids seen within this span, such as '10 minutes'")
+    parser.add_argument("--count-malformed", action="store_true", help="score and count rows that lack required fields")
+    parser.add_argument("--hour-from-event-time", action="store_true", help="derive hours instead of trusting the field")
     parser.add_argument("--available-now", action="store_true", help="process what is there and stop")
     parser.add_argument("--archive", action="store_true", help="also keep the raw messages")
-    parser.add_argument("--compact", action="store_true", help="compact the entity stores and exit")
+    parser.add_argument("--compact", action="store_true", help="compact all stores, expire and trim them, and exit")
     parsed = parser.parse_args(argv)
     if not (parsed.servers or parsed.files):
         parser.error("one of --servers and --files is required")
@@ -57,7 +60,9 @@ def stream_config(options: argparse.Namespace) -> StreamConfig:
         threshold=options.threshold,
         available_now=options.available_now,
         trigger_seconds=options.trigger_seconds,
-        watermark=options.watermark,
+        deduplicate_within=options.deduplicate_within,
+        count_malformed=options.count_malformed,
+        hour_from_event_time=options.hour_from_event_time,
         reader_options={limit: str(options.max_per_trigger)} if options.max_per_trigger else {},
     )
 
@@ -78,7 +83,9 @@ def rescore_archive(
     if days is not None:
         archived = archived.filter(days)
     raw = topics.decode(archived, S.TXN_SCHEMA).filter(has_required(S.TXN_TOPIC))
-    clean = cleaning.clean_transactions(raw.dropDuplicates(["event_id"]))
+    # Of repeats the last to arrive counts.
+    once = latest_by_key(raw, "event_id", [instant("event_ts"), "kafka_partition", "kafka_offset", "amount_minor"])
+    clean = cleaning.clean_transactions(once, config.hour_from_event_time)
     return handlers.score_batch(clean, config, scorer, columns)
 
 
@@ -87,12 +94,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("tillwatch")
     config = stream_config(options)
     if options.compact:
-        for store in (config.users, config.merchants, config.cards):
-            store.compact(spark)
+        handlers.compact(spark, config)
         return
     scorer, columns = None, flows.FORMULA_COLUMNS
     if options.model:
-        ensemble = load_ensemble(options.model)
+        ensemble = load_ensemble(spark, options.model)
         scorer, columns = (lambda df: flows.score_by_ensemble(df, ensemble, config.threshold)), None
     listener = LatencyListener(spark, config.latency_path)
     spark.streams.addListener(listener)

@@ -4,36 +4,100 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+)
 
 from tillwatch import schemas as S
 from tillwatch.streaming.stores import BatchTable, EntityStore
 
-USER_STORE = StructType.fromDDL(
-    "party_id STRING, first STRING, last STRING, gender STRING, street STRING, state STRING, zip STRING, job STRING, "
-    "dob STRING, age_group STRING, income_level STRING, city STRING, event_ts STRING, event_id STRING, age INT, "
-    "city_pop INT, kafka_partition INT, kafka_offset BIGINT, home_latitude DOUBLE, home_longitude DOUBLE, lat DOUBLE, "
-    "long DOUBLE"
-)
-MERCHANT_STORE = StructType.fromDDL(
-    "merchant_id STRING, merchant STRING, category STRING, merchant_type STRING, event_id STRING, "
-    "avg_txn_amount_minor INT, is_high_risk INT, kafka_partition INT, kafka_offset BIGINT, merch_lat DOUBLE, "
-    "merch_long DOUBLE, risk_score_merchant DOUBLE"
-)
-CARD_STORE = StructType.fromDDL(
-    "card_ref STRING, party_id STRING, cc_last4 STRING, product_type STRING, brand STRING, card_age_category STRING, "
-    "event_id STRING, days_since_issuance INT, is_primary_card INT, daily_limit_minor INT, kafka_partition INT, "
-    "kafka_offset BIGINT"
-)
-ALERTS = StructType.fromDDL(
-    "txn_id STRING, category STRING, channel STRING, ts STRING, day STRING, amount_minor BIGINT"
-)
-COUNTERS = StructType.fromDDL("day STRING, dimension STRING, value STRING, n BIGINT")
-POINTS = StructType.fromDDL("series STRING, ts TIMESTAMP, value BIGINT")
-LATEST = StructType.fromDDL("event_ts STRING, event_id STRING, latest_transaction_amount DOUBLE")
-REJECTS = StructType.fromDDL(
-    "value STRING, missing ARRAY<STRING>, kafka_partition INT, kafka_offset BIGINT, event_id STRING"
-)
+USER_STORE = StructType([
+    StructField("party_id", StringType()),
+    StructField("first", StringType()),
+    StructField("last", StringType()),
+    StructField("gender", StringType()),
+    StructField("street", StringType()),
+    StructField("state", StringType()),
+    StructField("zip", StringType()),
+    StructField("job", StringType()),
+    StructField("dob", StringType()),
+    StructField("age_group", StringType()),
+    StructField("income_level", StringType()),
+    StructField("city", StringType()),
+    StructField("event_ts", StringType()),
+    StructField("event_id", StringType()),
+    StructField("age", IntegerType()),
+    StructField("city_pop", IntegerType()),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+    StructField("home_latitude", DoubleType()),
+    StructField("home_longitude", DoubleType()),
+    StructField("lat", DoubleType()),
+    StructField("long", DoubleType()),
+])
+MERCHANT_STORE = StructType([
+    StructField("merchant_id", StringType()),
+    StructField("merchant", StringType()),
+    StructField("category", StringType()),
+    StructField("merchant_type", StringType()),
+    StructField("event_id", StringType()),
+    StructField("avg_txn_amount_minor", IntegerType()),
+    StructField("is_high_risk", IntegerType()),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+    StructField("merch_lat", DoubleType()),
+    StructField("merch_long", DoubleType()),
+    StructField("risk_score_merchant", DoubleType()),
+])
+CARD_STORE = StructType([
+    StructField("card_ref", StringType()),
+    StructField("party_id", StringType()),
+    StructField("cc_last4", StringType()),
+    StructField("product_type", StringType()),
+    StructField("brand", StringType()),
+    StructField("card_age_category", StringType()),
+    StructField("event_id", StringType()),
+    StructField("days_since_issuance", IntegerType()),
+    StructField("is_primary_card", IntegerType()),
+    StructField("daily_limit_minor", IntegerType()),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+])
+ALERTS = StructType([
+    StructField("txn_id", StringType()),
+    StructField("category", StringType()),
+    StructField("channel", StringType()),
+    StructField("ts", StringType()),
+    StructField("day", StringType()),
+    StructField("amount_minor", LongType()),
+])
+COUNTERS = StructType([
+    StructField("day", StringType()),
+    StructField("dimension", StringType()),
+    StructField("value", StringType()),
+    StructField("n", LongType()),
+])
+POINTS = StructType([
+    StructField("series", StringType()),
+    StructField("ts", TimestampType()),
+    StructField("value", LongType()),
+])
+LATEST = StructType([
+    StructField("event_ts", StringType()),
+    StructField("event_id", StringType()),
+    StructField("latest_transaction_amount", DoubleType()),
+])
+REJECTS = StructType([
+    StructField("value", StringType()),
+    StructField("missing", ArrayType(StringType())),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+    StructField("event_id", StringType()),
+])
+SEEN = StructType([
+    StructField("event_id", StringType()),
+    StructField("event_time", TimestampType()),
+])
 LATENCIES = POINTS
 
 
@@ -52,7 +116,8 @@ class StreamConfig:
     threshold: float = S.FRAUD_THRESHOLD
     available_now: bool = False
     trigger_seconds: int | None = None
-    watermark: str | None = None
+    deduplicate_within: str | None = None
+    hour_from_event_time: bool = False
     count_malformed: bool = False
     reader_options: dict[str, str] = field(default_factory=dict)
 
@@ -64,7 +129,7 @@ class StreamConfig:
         return f"{self.base}/checkpoints/{name}"
 
     def table(self, name: str, schema: StructType) -> BatchTable:
-        return BatchTable(f"{self.base}/{name}", schema)
+        return BatchTable(f"{self.base}/{name}", schema, f"{self.base}/{name}_snapshot")
 
     @property
     def users(self) -> EntityStore:
@@ -98,6 +163,11 @@ class StreamConfig:
     def rejects(self) -> BatchTable:
         return self.table("rejects", REJECTS)
 
+    @property
+    def seen(self) -> BatchTable:
+        """Event ids of the batches so far; only kept to drop repeats."""
+        return self.table("seen", SEEN)
+
     @property
     def archive_path(self) -> str:
         return f"{self.base}/archive"

@@ -5,14 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tillwatch import schemas as S
 from tillwatch.functions.features import day_key
 from tillwatch.operators import rollups
 from tillwatch.operators.enrich import enrich
-from tillwatch.operators.validation import has_required
+from tillwatch.operators.latest import instant, latest_by_key
+from tillwatch.operators.validation import missing_fields
 from tillwatch.plans import flows
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.stores import EntityStore
@@ -47,7 +48,9 @@ def score_batch(
     """The batch with its entities as of now, scored."""
     spark = batch.sparkSession
     wanted = columns or {}
-    cards = config.cards.latest(spark, _distinct(batch, "card_ref", "card_ref"), wanted.get("cards"))
+    # Read once, for the join and for the ids of the users.
+    cards = config.cards.latest(spark, _distinct(batch, "card_ref", "card_ref"), wanted.get("cards")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     users = config.users.latest(spark, _distinct(cards, "party_id", "party_id"), wanted.get("users"))
     merchants = config.merchants.latest(spark, _distinct(batch, "merchant_ref", "merchant_id"), wanted.get("merchants"))
     return scorer(enrich(batch, cards, users, merchants))
@@ -72,9 +75,25 @@ def daily_counters(counters: DataFrame) -> DataFrame:
 
 def latest_register(latest: DataFrame) -> DataFrame:
     """The overwritten scalar: the last amount any batch has seen."""
-    return latest.agg(F.max_by("latest_transaction_amount", F.struct("batch_id", "event_ts", "event_id")).alias(
-        "latest_transaction_amount"
-    ))
+    order = F.struct("batch_id", instant("event_ts"), "event_id")
+    return latest.agg(F.max_by("latest_transaction_amount", order).alias("latest_transaction_amount"))
+
+
+def compact(spark: SparkSession, config: StreamConfig) -> None:
+    """Compact every store: the last version of each entity, totals, the newest alerts and points within retention."""
+    for store in (config.users, config.merchants, config.cards):
+        store.compact(spark)
+    newest = F.max("batch_id").alias("batch_id")
+    config.counters.compact(spark, lambda c: c.groupBy("day", "dimension", "value").agg(F.sum("n").alias("n"), newest))
+    config.points.compact(spark, rollups.retained)
+    config.alerts.compact(spark, rollups.recent_alerts)
+    config.rejects.compact(spark)
+    config.latest.compact(spark, lambda rows: rows.orderBy(
+        F.desc("batch_id"), instant("event_ts").desc(), F.desc("event_id")).limit(1))
+    if config.deduplicate_within:
+        span = F.expr(f"interval {config.deduplicate_within}")
+        config.seen.compact(spark, lambda seen: seen.filter(
+            F.col("event_time").isNull() | (F.col("event_time") >= seen.agg(F.max("event_time")).scalar() - span)))
 
 
 def transaction_handler(
@@ -84,30 +103,37 @@ def transaction_handler(
 ) -> Handler:
     """Score the batch and write alerts, counters, the latest amount and series points.
 
-    Rows without their required fields are set aside, unless malformed rows are
-    to be counted. A failure to write series points is logged and does not fail
+    Rows without their required fields are set aside with their message, unless
+    malformed rows are to be counted. A failure to write series points is logged and does not fail
     the batch; the writes before it do.
     """
     score = scorer or (lambda df: flows.score_by_formulas(df, config.threshold))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         scored = None
         try:
+            if batch.isEmpty():
+                return
             accepted = batch
             if not config.count_malformed:
                 # A required amount that was null is 0 once it is clean, so the reader tags rows first.
                 accepted = batch.filter("is_valid")
                 config.rejects.write(batch.filter("NOT is_valid"), batch_id)
-            scored = score_batch(accepted.drop("is_valid"), config, score, columns).select(*REPORTED)
+            if config.deduplicate_within:
+                with_id = F.col("event_id").isNotNull()
+                fresh = unseen(accepted.filter(with_id), config, batch_id)
+                accepted = fresh.unionByName(accepted.filter(~with_id))
+            scored = score_batch(accepted.drop("is_valid", "missing", "value"), config, score, columns).select(*REPORTED)
             scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
 
             day = day_key(F.col("trans_date_trans_time")).alias("day")
             config.alerts.write(rollups.alerts(scored, day), batch_id)
             config.counters.write(batch_counters(scored), batch_id)
-            order = F.struct("event_ts", "event_id")
+            if config.deduplicate_within:
+                ids = scored.select("event_id", F.col("trans_date_trans_time").alias("event_time"))
+                config.seen.write(ids.filter("event_id IS NOT NULL"), batch_id)
+            order = F.struct(instant("event_ts"), "event_id")
             last = scored.agg(F.max_by(F.struct("event_ts", "event_id", "amount_minor"), order).alias("r"))
             config.latest.write(
                 last.select("r.event_ts", "r.event_id", (F.col("r.amount_minor") / 100.0).alias(
@@ -131,5 +157,19 @@ def transaction_handler(
 
 
 def tag_before_cleaning(raw: DataFrame) -> DataFrame:
-    """Mark transactions that lack a required field, while that can still be seen."""
-    return raw.withColumn("is_valid", has_required(S.TXN_TOPIC))
+    """Name the required fields that transactions lack, while that can still be seen."""
+    return raw.withColumn("missing", missing_fields(S.TXN_TOPIC)).withColumn("is_valid", F.size("missing") == 0)
+
+
+def unseen(batch: DataFrame, config: StreamConfig, batch_id: int) -> DataFrame:
+    """One row of each event id that no earlier batch had within the configured span of event time.
+
+    Late rows stay, however late. The batch's own entry in the log is left out, so
+    that a batch that runs again finds the same.
+    """
+    order = ["trans_date_trans_time", "kafka_partition", "kafka_offset", "value"]
+    once = latest_by_key(batch, "event_id", order)
+    earliest = batch.agg(F.min("trans_date_trans_time")).scalar() - F.expr(f"interval {config.deduplicate_within}")
+    seen = config.seen.read(batch.sparkSession).filter(F.col("batch_id") < batch_id)
+    near = seen.filter(F.col("event_time").isNull() | (F.col("event_time") >= earliest))
+    return once.join(near.select("event_id").distinct(), "event_id", "left_anti")

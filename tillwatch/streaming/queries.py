@@ -45,7 +45,11 @@ def with_watermark(df: DataFrame, delay: str, ts: str = "trans_date_trans_time")
 
 
 def deduplicated(df: DataFrame, delay: str, ts: str = "trans_date_trans_time") -> DataFrame:
-    """Drop repeats of an event id that arrive within the watermark."""
+    """Drop repeats of an event id that arrive within the watermark.
+
+    Rows later than the watermark go, too, and rows without an id count as repeats
+    of each other, so part those first. The application uses ``handlers.unseen``.
+    """
     return with_watermark(df, delay, ts).dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -84,10 +88,9 @@ def start_transactions(
     scorer: flows.Scorer | None = None,
     columns: dict[str, list[str]] | None = flows.FORMULA_COLUMNS,
 ) -> StreamingQuery:
-    raw = handlers.tag_before_cleaning(records(spark, config, S.TXN_TOPIC))
-    clean = cleaning.clean_transactions(raw)
-    if config.watermark:
-        clean = deduplicated(clean, config.watermark)
+    """Score transactions. Repeats are dropped by the handler, which loses neither malformed nor late rows."""
+    decoded = topics.decode(messages(spark, config, S.TXN_TOPIC), S.TXN_SCHEMA, raw=True)
+    clean = cleaning.clean_transactions(handlers.tag_before_cleaning(decoded), config.hour_from_event_time)
     handler = handlers.transaction_handler(config, scorer, columns)
     return _writer(clean, config, S.TXN_TOPIC).foreachBatch(handler).start()
 
