@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwatch import schemas as S
+from tillwatch.functions.cleaners import numeric_or_null
 from tillwatch.operators.enrich import enrich
 from tillwatch.operators.features import with_age_at, with_derived_risk, with_time_features
 from tillwatch.operators.latest import instant, latest_by_key
 from tillwatch.operators.ml import Ensemble
-from tillwatch.operators.scoring import logistic, mean_probability, with_decision
+from tillwatch.operators.scoring import logistic, mean_probability, opaque_ensemble, with_decision
 
 # The rule score stays below 0.215, so its cut-off is its own parameter.
 RULE_THRESHOLD = 0.1
@@ -65,6 +68,31 @@ def score_by_ensemble(enriched: DataFrame, ensemble: Ensemble, threshold: float
     return with_decision(scored, F.col("fraud_probability"), threshold)
 
 
+def opaque_scorer(
+    spark: SparkSession,
+    models: Sequence[Any],
+    feature_names: Sequence[str],
+    preprocess: Callable[[pd.DataFrame], Any] | None = None,
+    threshold: float = S.FRAUD_THRESHOLD,
+    coerce_numeric: bool = False,
+) -> Scorer:
+    """A scorer that runs the caller's own models on the features of a saved list of names.
+
+    Names that no column has are null to the models. ``preprocess`` turns the
+    frame of a batch into what they take.
+    """
+    probability = opaque_ensemble(spark, models, feature_names, preprocess)
+
+    def score(enriched: DataFrame) -> DataFrame:
+        featured = with_model_features(enriched)
+        columns = [F.col(n) if n in featured.columns else F.lit(None).cast("double") for n in feature_names]
+        if coerce_numeric:
+            columns = [numeric_or_null(c) for c in columns]
+        return with_decision(featured, probability(*[c.alias(n) for c, n in zip(columns, feature_names)]), threshold)
+
+    return score
+
+
 def score_transactions(
     txns: DataFrame,
     cards: DataFrame,

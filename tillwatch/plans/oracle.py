@@ -414,6 +414,21 @@ CATEGORY_DAYS = _with(LINE_RULES, """
         SELECT strftime(ts, '%Y%m%d') AS day, coalesce(category, 'UNK') AS category, count(*) AS n
         FROM s WHERE predicted_fraud = 1 GROUP BY 1, 2""")
 
+BATCH_POINTS = [*LINE_RULES, _points("1 day").replace("points AS", "day_points AS"), """
+points AS (
+  SELECT series, TIMESTAMP '2020-01-01' + to_seconds(date_diff('day', DATE '1992-01-01', CAST(ts AS DATE))) AS ts, value
+  FROM day_points)"""]
+VIEW = """
+view AS (
+  SELECT series, ts, value FROM points WHERE ts >= (SELECT max(ts) FROM points) - INTERVAL 5 MINUTE)"""
+
+
+def _panel(series: str, how: str) -> str:
+    return _with([*BATCH_POINTS, VIEW], f"""
+        SELECT time_bucket(INTERVAL '5 seconds', ts) AS bucket_start, CAST({how}(value) AS BIGINT) AS value
+        FROM view WHERE series = '{series}' GROUP BY 1""")
+
+
 # ------------------------------------------------------------------ one per query
 ORACLE_SQL: dict[str, str] = {
     "json_decode": _with([MESSAGE_STATE], "SELECT * FROM decoded"),
@@ -619,4 +634,71 @@ s AS (
         FROM points GROUP BY 1"""),
     "series_range": _with([*EVENT_FORMULAS, _points("1 second")], """
         SELECT ts, value FROM points WHERE series = 'ts:txn:amount_minor' ORDER BY ts"""),
+    "rollup_last_hour": _with([*EVENT_FORMULAS, _points("1 second")], """
+        SELECT series, time_bucket(INTERVAL '1 hour', ts) AS bucket_start, arg_max(value, ts) AS value
+        FROM points GROUP BY 1, 2"""),
+    "retention_batches": _with(BATCH_POINTS, """
+        SELECT series, ts, value FROM points
+        QUALIFY ts >= max(ts) OVER (PARTITION BY series) - INTERVAL 10 MINUTE"""),
+    "trailing_batches": _with([*BATCH_POINTS, VIEW], "SELECT * FROM view"),
+    "series_reducers_with_nulls": _with([*BATCH_POINTS, """
+n AS (SELECT series, ts, CASE WHEN value % 3 <> 0 THEN value END AS value FROM points)"""], """
+        SELECT n.series, max(CASE WHEN n.ts = l.ts THEN n.value END) AS "last", arg_max(n.value, n.ts) AS last_not_null,
+          floor(CAST(sum(n.value) AS BIGINT) / count(n.value) * 1000) / 1000 AS mean, max(n.value) AS max
+        FROM n JOIN (SELECT series, max(ts) AS ts FROM n GROUP BY 1) l ON n.series = l.series GROUP BY 1"""),
+    "panel_fraud_gauge": _with([*BATCH_POINTS, VIEW], """
+        SELECT value, CASE WHEN value < 5 THEN 'green' WHEN value < 10 THEN 'yellow' ELSE 'red' END AS band,
+          least(value, 50) AS display_value
+        FROM (SELECT arg_max(value, ts) AS value FROM view WHERE series = 'ts:txn:fraud')"""),
+    "panel_fraud_over_time": _panel("ts:txn:fraud", "sum"),
+    "panel_fraud_summary": _with([*BATCH_POINTS, VIEW], """
+        SELECT series, arg_max(value, ts) AS "last", arg_max(value, ts) AS last_not_null,
+          floor(CAST(sum(value) AS BIGINT) / count(*) * 1000) / 1000 AS mean, max(value) AS max
+        FROM view WHERE series = 'ts:txn:fraud' GROUP BY 1"""),
+    "panel_amount": _panel("ts:txn:amount_minor", "sum"),
+    "panel_throughput": _panel("ts:txn:count", "sum"),
+    "panel_total_transactions": _panel("ts:txn:count", "max"),
+    "rejected_messages": _with([MESSAGE_STATE], """
+        SELECT event_id AS message_id,
+          CASE WHEN event_type = 'error' AND value > 60 THEN 'not json' WHEN broken THEN '[1]'
+            WHEN event_type = 'error' AND value > 15 THEN '' WHEN absent THEN NULL
+            ELSE concat('{"event_id":"', event_id, '","card_ref":"', user_id, '","fraud_flag":1,"amount_minor":',
+              CASE WHEN event_type = 'view' THEN 3000000000 ELSE CAST(floor(value * 100 + 0.5::DOUBLE) AS BIGINT) END,
+              ',"amount_major":', CASE WHEN event_type = 'click' THEN '"12.34  "' ELSE '2.5' END,
+              ',"hour_of_day":', CASE WHEN event_type = 'signup' THEN '""' ELSE '7' END, '}') END AS value,
+          concat_ws(',', CASE WHEN absent OR broken THEN 'event_id,card_ref' END, 'merchant_ref',
+            CASE WHEN absent OR broken OR event_type = 'view' THEN 'amount_minor' END) AS missing
+        FROM msg"""),
+    "dedup_events": _with([*LINE_TXNS, """
+ids AS (SELECT split_part(event_id, '-', 1) AS event_id, ts, amount_minor FROM t)"""], """
+        SELECT event_id, ts, amount_minor FROM ids WHERE ts >= TIMESTAMP '1995-01-01' AND event_id NOT IN (
+          SELECT event_id FROM ids WHERE ts < TIMESTAMP '1995-01-01'
+            AND ts >= (SELECT min(ts) FROM ids WHERE ts >= TIMESTAMP '1995-01-01') - INTERVAL 30 DAY)
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, amount_minor DESC) = 1"""),
+    "counter_partials": _with(LINE_RULES, """
+        SELECT strftime(ts, '%Y%m%d') AS day, 'category' AS dimension, coalesce(category, 'UNK') AS value,
+          count(*) AS n FROM s WHERE predicted_fraud = 1 GROUP BY 1, 3
+        UNION ALL SELECT strftime(ts, '%Y%m%d'), 'channel', channel_code, count(*)
+        FROM s WHERE predicted_fraud = 1 GROUP BY 1, 3"""),
+    "latest_register": _with(EVENT_TXNS, """
+        SELECT amount_minor / 100.0::DOUBLE AS latest_transaction_amount FROM t
+        ORDER BY ts DESC, event_id DESC LIMIT 1"""),
+    "alert_log": _with(EVENT_FORMULAS, ALERTS.replace(
+        "event_ts AS ts", "event_ts AS ts, strftime(trans_date_trans_time, '%Y%m%d') AS day")),
+    "store_view": """
+        SELECT CAST(o_custkey AS VARCHAR) AS card_ref, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS event_ts,
+          concat('o-', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS event_id,
+          CASE WHEN instr(o_orderpriority, '-') = 0 THEN o_orderpriority
+            ELSE substr(o_orderpriority, instr(o_orderpriority, '-') + 1) END AS brand,
+          CAST(floor(o_totalprice / 4) AS INTEGER) AS daily_limit_minor
+        FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "by_key": """
+        SELECT CAST(user_id AS VARCHAR) AS card_ref, count(*) AS messages, 1 AS partitions FROM events GROUP BY 1""",
+    "opaque_flow_score": _with([*EVENT_JOINED, """
+s AS (
+  SELECT event_id, CASE WHEN card_found THEN p END AS fraud_probability,
+    CASE WHEN card_found AND p >= 0.5 THEN 1 ELSE 0 END AS predicted_fraud
+  FROM (SELECT event_id, card_found,
+      (1 / (1 + exp(-(coalesce(amount_major, 0) * 0.004 + coalesce(risk_score_merchant, 0) * 0.5 - 2.0)))
+      + 1 / (1 + exp(-(risk_score_online * 2.2 - 1.0)))) / 2 AS p FROM j))"""], SCORED_SELECT),
 }

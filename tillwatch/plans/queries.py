@@ -13,11 +13,13 @@ from tillwatch.functions import features as X
 from tillwatch.functions.cleaners import numeric_or_null, rounded, typed_or
 from tillwatch.operators import cleaning, enrich as E, features, ml, quality, rollups, scoring, serving, validation
 from tillwatch.operators.joins import asof_lookup
-from tillwatch.operators.latest import latest_by_key
+from tillwatch.operators.latest import instant, latest_by_key
 from tillwatch.plans import flows
 from tillwatch.plans.dataset import Dataset
+from tillwatch.plans.panels import panels
 from tillwatch.session import apply_runtime_conf
 from tillwatch.sources import static, tables, topics
+from tillwatch.streaming import handlers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -617,3 +619,121 @@ def series_reducers(d: Dataset) -> DataFrame:
 @query
 def series_range(d: Dataset) -> DataFrame:
     return rollups.read_series(_points(d), S.SERIES_AMOUNT)
+
+
+@query
+def rollup_last_hour(d: Dataset) -> DataFrame:
+    """Last of the one-second points of each hour."""
+    return rollups.last_values(_points(d), "1 hour")
+
+
+def _batch_points(d: Dataset) -> DataFrame:
+    """Points as a stream leaves them: each day of order lines is a batch, and batches are a second apart."""
+    points = rollups.series_points(_rule_scored_lines(d), "ts", "1 day")
+    seconds = F.expr("make_dt_interval(0, 0, 0, datediff(cast(ts AS date), DATE'1992-01-01'))")
+    return points.withColumn("ts", F.expr("TIMESTAMP_NTZ'2020-01-01 00:00:00'") + seconds)
+
+
+@query
+def retention_batches(d: Dataset) -> DataFrame:
+    return rollups.retained(_batch_points(d))
+
+
+@query
+def trailing_batches(d: Dataset) -> DataFrame:
+    return rollups.trailing(_batch_points(d))
+
+
+@query
+def series_reducers_with_nulls(d: Dataset) -> DataFrame:
+    """The reducers where every third amount and count is null."""
+    points = _batch_points(d).withColumn("value", F.when(F.col("value") % 3 != 0, F.col("value")))
+    return rollups.reduce_series(points).withColumn("mean", F.floor(F.col("mean") * 1000) / 1000.0)
+
+
+def _register_panel(name: str) -> None:
+    def panel(d: Dataset) -> DataFrame:
+        out = panels(_batch_points(d))[name]
+        return out.withColumn("mean", F.floor(F.col("mean") * 1000) / 1000.0) if "mean" in out.columns else out
+
+    panel.__name__ = f"panel_{name}"
+    query(panel)
+
+
+for _name in ("fraud_gauge", "fraud_over_time", "fraud_summary", "amount", "throughput", "total_transactions"):
+    _register_panel(_name)
+
+
+# --------------------------------------------------------- results of the stream
+@query
+def rejected_messages(d: Dataset) -> DataFrame:
+    """Messages that lack required fields, as they came, with the names of what they lack."""
+    decoded = tables.event_messages(d.spark, d.directory).select(
+        "message_id", "value", F.from_json("value", S.TXN_SCHEMA).alias("data")).select("message_id", "value", "data.*")
+    tagged = decoded.withColumn("missing", validation.missing_fields(S.TXN_TOPIC))
+    return tagged.filter(F.size("missing") > 0).select("message_id", "value", F.array_join("missing", ",").alias("missing"))
+
+
+@query
+def dedup_events(d: Dataset) -> DataFrame:
+    """Order keys as event ids: lines shipped from 1995 on are a batch, and earlier ones what was seen before."""
+    lines = d.line_txns().select(F.split("event_id", "-")[0].alias("event_id"), "ts", "amount_minor")
+    seen = lines.filter("ts < '1995-01-01'").select("event_id", F.col("ts").alias("event_time"))
+    return handlers.unseen(
+        lines.filter("ts >= '1995-01-01'"), seen, "30 days", time="ts", order=["ts", "amount_minor"])
+
+
+@query
+def counter_partials(d: Dataset) -> DataFrame:
+    """Daily counters as totals over partial counts, one batch for each channel."""
+    scored = _rule_scored_lines(d)
+    batches = [scored.filter(F.col("channel_code") == "POS"), scored.filter(F.col("channel_code") != "POS")]
+    return handlers.daily_counters(handlers.batch_counters(batches[0]).unionByName(handlers.batch_counters(batches[1])))
+
+
+@query
+def latest_register(d: Dataset) -> DataFrame:
+    """The last amount, over the last one of each day's batch."""
+    txns = d.event_txns().withColumn("batch_id", F.datediff("ts", F.lit("1970-01-01")).cast("bigint"))
+    last = latest_by_key(
+        txns.select("batch_id", "event_ts", "event_id", X.major_units(F.col("amount_minor")).alias(
+            "latest_transaction_amount")), "batch_id", [instant("event_ts"), "event_id"])
+    return handlers.latest_register(last)
+
+
+@query
+def alert_log(d: Dataset) -> DataFrame:
+    return rollups.alerts(_formula_scored(d), X.day_key(F.col("trans_date_trans_time")).alias("day"))
+
+
+@query
+def store_view(d: Dataset) -> DataFrame:
+    """A snapshot of cards and the change log since, read together."""
+    versions = tables.raw_card_versions(d.spark, d.directory).select(
+        "card_ref", "event_ts", "event_id", "brand", "daily_limit_minor", "valid_from")
+    snapshot = flows.latest_entities(versions.filter("valid_from < '1996-01-01'").drop("valid_from"), "card_ref")
+    log = versions.filter("valid_from >= '1996-01-01'").drop("valid_from")
+    return flows.latest_entities(snapshot.unionByName(log), "card_ref")
+
+
+@query
+def by_key(d: Dataset) -> DataFrame:
+    """Messages of each key and the number of partitions they are in."""
+    spread = topics.by_key(tables.raw_event_txns(d.spark, d.directory).select("card_ref", "event_id"), "card_ref", 16)
+    placed = spread.withColumn("p", F.spark_partition_id())
+    return placed.groupBy("card_ref").agg(
+        F.count("*").alias("messages"), F.count_distinct("p").cast("int").alias("partitions"))
+
+
+FLOW_FEATURES = ["amt", "risk_score_online", "risk_score_merchant", "not_in_any_table"]
+FLOW_MODELS = [NumpyLogit([0.004, 0.0, 0.5, 3.0], -2.0), NumpyLogit([0.0, 2.2, 0.0, 1.0], -1.0)]
+
+
+@query
+def opaque_flow_score(d: Dataset) -> DataFrame:
+    """Models Spark knows nothing about, from enriched events to the decision, cards gating."""
+    scorer = flows.opaque_scorer(d.spark, FLOW_MODELS, FLOW_FEATURES, lambda frame: frame.fillna(0.0))
+    columns = {"cards": ["party_id"], "users": ["dob", "age"], "merchants": ["risk_score_merchant"]}
+    scored = flows.score_transactions(d.event_txns(), *d.entities(columns), scorer=scorer)
+    return scored.select(
+        "event_id", rounded(F.col("fraud_probability"), 6).alias("fraud_probability"), "predicted_fraud")

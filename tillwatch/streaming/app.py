@@ -10,6 +10,7 @@ configuration; none are kept in the code.
 from __future__ import annotations
 
 import argparse
+import pickle
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,6 +23,7 @@ from tillwatch.operators.validation import has_required
 from tillwatch.plans import flows
 from tillwatch.session import build_session
 from tillwatch.sources import topics
+from tillwatch.sources.artifacts import read_artifact
 from tillwatch.streaming import handlers, queries
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.latency import LatencyListener
@@ -34,6 +36,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files", help="instead of Kafka: a directory with one folder of JSON lines per topic")
     parser.add_argument("--run", default="r1", help="name of this generation of checkpoints")
     parser.add_argument("--model", help="saved ensemble; without it the fixed formulas score")
+    parser.add_argument(
+        "--opaque-model", help="pickled (models, feature names, preprocess or None); a file of your own, as it runs code")
     parser.add_argument("--threshold", type=float, default=S.FRAUD_THRESHOLD)
     parser.add_argument("--trigger-seconds", type=int)
     parser.add_argument("--max-per-trigger", type=int, help="offsets or files per micro-batch")
@@ -100,6 +104,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     if options.model:
         ensemble = load_ensemble(spark, options.model)
         scorer, columns = (lambda df: flows.score_by_ensemble(df, ensemble, config.threshold)), None
+    elif options.opaque_model:
+        models, names, preprocess = pickle.loads(read_artifact(spark, options.opaque_model))
+        scorer, columns = flows.opaque_scorer(spark, models, names, preprocess, config.threshold), None
     listener = LatencyListener(spark, config.latency_path)
     spark.streams.addListener(listener)
     try:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -122,7 +122,9 @@ def transaction_handler(
                 config.rejects.write(batch.filter("NOT is_valid"), batch_id)
             if config.deduplicate_within:
                 with_id = F.col("event_id").isNotNull()
-                fresh = unseen(accepted.filter(with_id), config, batch_id)
+                # Without the batch's own entry, so that a batch that runs again finds the same.
+                seen = config.seen.read(batch.sparkSession).filter(F.col("batch_id") < batch_id)
+                fresh = unseen(accepted.filter(with_id), seen, config.deduplicate_within)
                 accepted = fresh.unionByName(accepted.filter(~with_id))
             scored = score_batch(accepted.drop("is_valid", "missing", "value"), config, score, columns).select(*REPORTED)
             scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -161,15 +163,17 @@ def tag_before_cleaning(raw: DataFrame) -> DataFrame:
     return raw.withColumn("missing", missing_fields(S.TXN_TOPIC)).withColumn("is_valid", F.size("missing") == 0)
 
 
-def unseen(batch: DataFrame, config: StreamConfig, batch_id: int) -> DataFrame:
-    """One row of each event id that no earlier batch had within the configured span of event time.
+ARRIVAL = ("trans_date_trans_time", "kafka_partition", "kafka_offset", "value")
 
-    Late rows stay, however late. The batch's own entry in the log is left out, so
-    that a batch that runs again finds the same.
+
+def unseen(
+    batch: DataFrame, seen: DataFrame, within: str, time: str = ARRIVAL[0], order: Sequence[str] = ARRIVAL
+) -> DataFrame:
+    """One row of each event id that ``seen`` (event_id, event_time) does not have within a span before the batch.
+
+    Late rows stay, however late.
     """
-    order = ["trans_date_trans_time", "kafka_partition", "kafka_offset", "value"]
     once = latest_by_key(batch, "event_id", order)
-    earliest = batch.agg(F.min("trans_date_trans_time")).scalar() - F.expr(f"interval {config.deduplicate_within}")
-    seen = config.seen.read(batch.sparkSession).filter(F.col("batch_id") < batch_id)
+    earliest = batch.agg(F.min(time)).scalar() - F.expr(f"interval {within}")
     near = seen.filter(F.col("event_time").isNull() | (F.col("event_time") >= earliest))
     return once.join(near.select("event_id").distinct(), "event_id", "left_anti")
