@@ -77,6 +77,24 @@ def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
     assert not fits_broadcast(joined, limit=5000)
 
 
+def test_every_hot_key_is_found_however_many(spark):
+    """More of them than a frequency sketch of 10,000 entries tells apart."""
+    rows = spark.range(12_000 * 3).select((F.col("id") % 12_000).cast("string").alias("key"))
+    rows = rows.unionByName(spark.range(12_000, 40_000).select(F.col("id").cast("string").alias("key")))
+    found = hot_keys(rows, "key", rows_per_task=2)
+    assert len(found) == 12_000 and {copies for _, copies in found} == {2}
+
+
+def test_shuffled_queries_shuffle(spark, small):
+    from tillwatch.plans.queries import QUERIES
+
+    for name in ("enrich_txn_shuffled", "fraud_by_category_day_shuffled"):
+        merged = [line for line in plan(QUERIES[name](spark, small)).splitlines() if "SortMergeJoin" in line]
+        for key in ("card_ref", "party_id", "merchant_id"):
+            assert any(f"[{key}#" in line and "LeftOuter" in line for line in merged), (name, key)
+        assert any("_salt" in line for line in merged), name
+
+
 def brute_asof(facts, versions):
     out = []
     for fact in facts:

@@ -52,6 +52,24 @@ def test_ml_ensemble_learns_saves_and_loads_once(spark, tmp_path):
     assert before == pytest.approx(column(loaded.score(rows.orderBy("x", "kind")), "fraud_probability"))
 
 
+def test_ensemble_takes_thousands_of_categories(spark):
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 2 AS int) AS label", "cast(id % 2 AS double) + rand(3) AS x", "concat('c', id % 10000) AS kind")
+    fitted = ml.fit_ensemble(rows, "label", ["x"], ["kind"], trees=2, depth=2, max_rows=5_000)
+    assert fitted.score(rows).filter("fraud_probability BETWEEN 0 AND 1").count() == 20_000
+    bounded = ml._bounded(rows, 5_000).count()
+    assert 4_000 < bounded < 6_000 and ml._bounded(rows, 5_000).count() == bounded
+
+
+def test_an_ensemble_saved_anew_is_loaded_anew(spark, tmp_path):
+    rows = spark.range(100).selectExpr("cast(id % 2 AS int) AS label", "cast(id AS double) AS x")
+    path = str(tmp_path / "model")
+    ml.fit_ensemble(rows, "label", ["x"], trees=1, depth=1).save(path)
+    first = ml.load_ensemble(spark, path)
+    ml.fit_ensemble(rows, "label", ["x"], trees=1, depth=1).save(path)
+    assert ml.load_ensemble(spark, path) is not first
+
+
 def test_artifacts_are_read_as_bytes(spark, tmp_path):
     (tmp_path / "model.bin").write_bytes(b"\x00\x01binary")
     (tmp_path / "names.txt").write_text("a,b")

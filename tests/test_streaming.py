@@ -1,9 +1,11 @@
 import json
 import logging
 import os
+import pickle
 import re
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from helpers import as_set, column
@@ -12,7 +14,7 @@ from tillwatch.operators import cleaning, ml, rollups, serving
 from tillwatch.operators.validation import has_required
 from tillwatch.plans import flows
 from tillwatch.plans.panels import panels
-from tillwatch.sources import tables, topics
+from tillwatch.sources import artifacts, tables, topics
 from tillwatch.streaming import app, handlers, queries as Q
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.latency import LatencyListener, read_latency
@@ -415,6 +417,24 @@ def batch_enriched(spark, cfg, inputs):
     return handlers.score_batch(cleaning.clean_transactions(raw), cfg, lambda df: df, None)
 
 
+def test_stream_scores_with_opaque_models_as_the_batch_does(spark, inputs, tmp_path):
+    from tillwatch.plans import queries as plans
+
+    cfg = config(inputs, tmp_path)
+    run_entities(spark, cfg)
+    names = ["amt", "risk_score_online", "risk_score_merchant", "absent"]
+    artifact = tmp_path / "models.bin"
+    artifact.write_bytes(cloudpickle.dumps((plans.FLOW_MODELS, names, lambda frame: frame.fillna(0.0))))
+    loaded = pickle.loads(artifacts.read_artifact(spark, str(artifact)))
+    scorer = flows.opaque_scorer(spark, *loaded, threshold=0.3)
+    Q.wait({S.TXN_TOPIC: Q.start_transactions(spark, cfg, scorer, None)})
+    raw = topics.read_topic(spark, S.TXN_TOPIC, source="files", location=str(inputs / S.TXN_TOPIC), streaming=False)
+    clean = cleaning.clean_transactions(raw.filter(has_required(S.TXN_TOPIC)))
+    expected = handlers.score_batch(clean, cfg, scorer, None).filter("predicted_fraud = 1")
+    got = column(cfg.alerts.read(spark), "txn_id")
+    assert got and sorted(got) == sorted(column(expected, "event_id"))
+
+
 def test_arguments_need_a_source():
     with pytest.raises(SystemExit):
         app.arguments(["--root", "x"])
