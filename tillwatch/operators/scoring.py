@@ -15,6 +15,9 @@ import tillwatch
 from tillwatch import schemas as S
 
 
+MOST_MODEL_BYTES = 1 << 30
+
+
 def logistic(weights: Mapping[str, float], bias: float) -> Column:
     """A logistic model as a column expression; missing features count as 0."""
     margin = F.lit(float(bias))
@@ -51,11 +54,15 @@ def opaque_ensemble(
     """Mean ``predict_proba`` of models Spark knows nothing about, batch by batch over Arrow.
 
     The models are shipped once per executor as a broadcast variable and unpacked
-    once per task. The result is a function of columns:
-    ``opaque_ensemble(...)(*feature_columns)``.
+    once per task; ``MOST_MODEL_BYTES`` bounds their size. The result is a function
+    of columns, ``opaque_ensemble(...)(*feature_columns)``, whose ``release()`` frees
+    the variable once nothing scores with it any more.
     """
     names = list(feature_names)
-    shared = spark.sparkContext.broadcast(_packed((list(models), preprocess)))
+    packed = _packed((list(models), preprocess))
+    if len(packed) > MOST_MODEL_BYTES:
+        raise ValueError(f"models of {len(packed)} bytes are too large to broadcast")
+    shared = spark.sparkContext.broadcast(packed)
 
     @F.pandas_udf(DoubleType())
     def probability(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -65,7 +72,11 @@ def opaque_ensemble(
             inputs = frame if prepare is None else prepare(frame)
             yield pd.Series(sum(member.predict_proba(inputs)[:, 1] for member in members) / len(members))
 
-    return lambda *columns: probability(F.struct(*columns))
+    def scored(*columns: Column) -> Column:
+        return probability(F.struct(*columns))
+
+    scored.release = shared.destroy
+    return scored
 
 
 def _packed(value: Any) -> bytes:

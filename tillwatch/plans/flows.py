@@ -90,6 +90,7 @@ def opaque_scorer(
             columns = [numeric_or_null(c) for c in columns]
         return with_decision(featured, probability(*[c.alias(n) for c, n in zip(columns, feature_names)]), threshold)
 
+    score.release = probability.release
     return score
 
 

@@ -114,6 +114,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     finally:
         spark.streams.removeListener(listener)
         listener.flush()
+        if options.opaque_model:
+            scorer.release()
 
 
 if __name__ == "__main__":
