@@ -35,6 +35,7 @@ from tillwatch.llm.shared import set_aside, unit_hash, without
 SAMPLE_ROWS = 3000  # of each language
 MIN_SHARE = 1e-5  # bounds what is learned to 100,000 n-grams a language
 MOST_RATIO = 20
+MOST_BROADCAST = 10_000  # languages, with their number of rows
 HASHES = 3
 ROWS_PER_GRAM = 8
 SLICE = 64  # languages in a table
@@ -110,6 +111,8 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, min_share: float = MI
     """Filters from ``docs`` (doc_id, lang, text); rows without a language are left out."""
     docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     sizes = docs.groupBy("lang").agg(F.count("*").alias("_n"))
+    if sizes.count() <= MOST_BROADCAST:
+        sizes = F.broadcast(sizes)
     drawn = docs.join(sizes, "lang").filter(unit_hash(F.col("doc_id"), "lang") < F.lit(sample_rows) / F.col("_n"))
     counts = counted(drawn)
     totals = counts.groupBy("lang").agg(F.sum("n").alias("_total"))
