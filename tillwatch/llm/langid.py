@@ -7,9 +7,9 @@ corrected for the false positives of each filter, and the highest share of known
 n-grams decides.
 
 The n-grams are four bytes of the UTF-8 text, ASCII letters in lower case and all
-other ASCII characters as blanks. A language knows an n-gram that makes up at
-least ``MIN_SHARE`` of its n-grams and is not ``MOST_RATIO`` times as frequent in
-another language. The filters are learned from at most about ``SAMPLE_ROWS``
+other ASCII characters as blanks. A language knows an n-gram that at least
+``MIN_SHARE`` of its texts have, unless the share of another language's texts is
+``MOST_RATIO`` times as high. The filters are learned from at most about ``SAMPLE_ROWS``
 labelled texts of each language, drawn by a hash of the id.
 
 Defined cases: a null text and one without a letter is ``und`` with score 0; so
@@ -33,13 +33,14 @@ from tillwatch.llm.arrays import Piece, mixed, pieces
 from tillwatch.llm.shared import set_aside, unit_hash, without
 
 SAMPLE_ROWS = 3000  # of each language
-MIN_SHARE = 1e-5  # bounds what is learned to 100,000 n-grams a language
+MIN_SHARE = 1e-3  # of the texts: bounds what is learned to 1,000 times the n-grams of a text
 MOST_RATIO = 20
 MOST_BROADCAST = 10_000  # languages, with their number of rows
 HASHES = 3
 ROWS_PER_GRAM = 8
 SLICE = 64  # languages in a table
 UNKNOWN = "und"
+LEAST_SCORE = 0.1  # texts of no learned language stay below, and short ones of a thinly learned language above
 COLUMNS = ("lang_pred", "score")
 
 FOLD = np.full(256, 0x20, np.uint8)
@@ -88,7 +89,7 @@ def held_out(id_column: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``docs`` (lang, text) as (lang, gram, n)."""
+    """``docs`` (lang, text) as (lang, gram, n), the number of texts with the n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,8 +97,10 @@ def counted(docs: DataFrame) -> DataFrame:
             codes = langs.indices.to_numpy(zero_copy_only=False).astype(np.uint64)
             for row, piece in pieces(batch.column(1)):
                 packed, offsets = grams(piece)
-                of = np.repeat(codes[row:row + len(piece)], np.diff(offsets))
-                keys, n = np.unique(of << np.uint64(32) | packed, return_counts=True)
+                of = np.repeat(np.arange(len(piece), dtype=np.uint64), np.diff(offsets))
+                once = np.unique(of << np.uint64(32) | packed)
+                lang = codes[row:row + len(piece)][(once >> np.uint64(32)).astype(np.int64)]
+                keys, n = np.unique(lang << np.uint64(32) | once & np.uint64(0xFFFFFFFF), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [langs.dictionary.take(pa.array((keys >> np.uint64(32)).astype(np.int32))),
                      pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))],
@@ -115,7 +118,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, min_share: float = MI
         sizes = F.broadcast(sizes)
     drawn = docs.join(sizes, "lang").filter(unit_hash(F.col("doc_id"), "lang") < F.lit(sample_rows) / F.col("_n"))
     counts = counted(drawn)
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("_total"))
+    totals = drawn.groupBy("lang").agg(F.count("*").alias("_total"))
     shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("_total"))
     top = shares.groupBy("gram").agg(F.max("share").alias("_top"))
     known = (
@@ -200,7 +203,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
+def identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """``docs`` whose language is told by at least ``least_score`` of their n-grams, after learning from them."""
     filters = learn(docs.filter(labelled(F.col("doc_id"), F.col("lang"))))
     plain, back = set_aside(docs, *COLUMNS)
