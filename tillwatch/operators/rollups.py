@@ -38,12 +38,28 @@ def _as_points(totals: DataFrame, ts: Column, *carried: str) -> DataFrame:
     return totals.select(*carried, ts.alias("ts"), F.inline(pairs)).select("series", "ts", "value", *carried)
 
 
-def batch_points(scored: DataFrame, ts: Column, *carried: str) -> DataFrame:
-    """The four transaction series for one batch, stamped ``ts``."""
-    totals = scored.groupBy(*carried).agg(*_txn_totals()) if carried else scored.agg(*_txn_totals())
+def batch_totals(scored: DataFrame, probability: str = "fraud_probability") -> DataFrame:
+    """All that is reported of a batch as a whole, in one pass and one row: totals, score buckets, last transaction."""
+    bucket = score_bucket(F.col(probability))
+    last = F.max_by(F.struct("event_ts", "event_id", "amount_minor"), F.struct(instant("event_ts"), "event_id"))
+    return scored.agg(
+        *_txn_totals(), last.alias("last"),
+        *[F.count_if(bucket == i).alias(f"bucket_{i}") for i in range(S.SCORE_BUCKETS)])
+
+
+def batch_points(scored: DataFrame, ts: Column, *carried: str, totals: DataFrame | None = None) -> DataFrame:
+    """The four transaction series for one batch, stamped ``ts``; from its ``totals``, if they are there already."""
+    if totals is None:
+        totals = scored.groupBy(*carried).agg(*_txn_totals()) if carried else scored.agg(*_txn_totals())
     return _as_points(totals, ts, *carried)
 
 
+def totals_histogram(totals: DataFrame) -> DataFrame:
+    """The score histogram of ``batch_totals``."""
+    pairs = [F.struct(F.lit(i).alias("bucket"), F.col(f"bucket_{i}").alias("n")) for i in range(S.SCORE_BUCKETS)]
+    return totals.select(F.inline(F.array(*pairs)))
+
+
 def series_points(scored: DataFrame, ts: str, width: str = "1 second") -> DataFrame:
     """The four transaction series as one point per event-time interval."""
     totals = scored.groupBy(F.window(ts, width).alias("w")).agg(*_txn_totals())

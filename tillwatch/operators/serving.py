@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwatch.operators.joins import lookup
 from tillwatch.operators.validation import with_usable_key
 from tillwatch.sources.static import city_table
 
@@ -58,7 +59,10 @@ def with_city(users: DataFrame, cities: DataFrame | None = None, home_from_city:
         F.col("location_id").alias("location_id_home"), "city", F.col("lat"), F.col("long"),
         F.col("population").alias("city_pop"),
     )
-    out = users.join(table if cities is not None else F.broadcast(table), "location_id_home", "left").withColumns({
+    # The fixed table has three rows; of a caller's own the size is not known, and few places have many users.
+    placed = users.join(F.broadcast(table), "location_id_home", "left") if cities is None else lookup(
+        users, table, "location_id_home")
+    out = placed.withColumns({
         "city": F.coalesce("city", F.lit("Unknown")),
         "lat": F.coalesce("lat", F.lit(0.0)),
         "long": F.coalesce("long", F.lit(0.0)),

@@ -11,9 +11,9 @@ from pyspark.storagelevel import StorageLevel
 from tillwatch import schemas as S
 from tillwatch.functions.features import day_key
 from tillwatch.operators import rollups
-from tillwatch.operators.enrich import enrich
+from tillwatch.operators.enrich import UNKNOWN_CATEGORY, category_of_row, enrich
 from tillwatch.operators.latest import instant, latest_by_key
-from tillwatch.operators.validation import missing_fields
+from tillwatch.operators.validation import flagged_only, missing_fields
 from tillwatch.plans import flows
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.stores import EntityStore
@@ -58,14 +58,14 @@ def score_batch(
 
 def batch_counters(scored: DataFrame) -> DataFrame:
     """Flagged transactions of the batch per UTC day, by category and by channel."""
-    tagged = [
-        counts.select("day", F.lit(name).alias("dimension"), F.col(name).alias("value"), "n")
-        for name, counts in (
-            ("category", rollups.fraud_by_category(scored, "trans_date_trans_time")),
-            ("channel", rollups.fraud_by_channel(scored, "trans_date_trans_time")),
-        )
-    ]
-    return tagged[0].unionByName(tagged[1])
+    values = {"category": category_of_row(), "channel": F.coalesce(F.col("channel_code"), F.lit(UNKNOWN_CATEGORY))}
+    flagged = flagged_only(scored).select(
+        F.to_date("trans_date_trans_time").alias("_date"), *[value.alias(name) for name, value in values.items()])
+    both = flagged.groupBy("_date", *values).agg(F.count("*").alias("_n"))
+    pairs = F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value")) for name in values])
+    counts = both.select("_date", "_n", F.inline(pairs)).groupBy("_date", "dimension", "value").agg(
+        F.sum("_n").alias("n"))
+    return counts.select(day_key(F.col("_date")).alias("day"), "dimension", "value", "n")
 
 
 def daily_counters(counters: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def transaction_handler(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        scored = None
+        scored = totals = None
         try:
             if batch.isEmpty():
                 return
@@ -135,25 +135,21 @@ def transaction_handler(
             if config.deduplicate_within:
                 ids = scored.select("event_id", F.col("trans_date_trans_time").alias("event_time"))
                 config.seen.write(ids.filter("event_id IS NOT NULL"), batch_id)
-            order = F.struct(instant("event_ts"), "event_id")
-            last = scored.agg(F.max_by(F.struct("event_ts", "event_id", "amount_minor"), order).alias("r"))
-            config.latest.write(
-                last.select("r.event_ts", "r.event_id", (F.col("r.amount_minor") / 100.0).alias(
-                    "latest_transaction_amount")),
-                batch_id,
-            )
+            totals = rollups.batch_totals(scored).persist()  # one row, read by two writes
+            amount = (F.col("last.amount_minor") / 100.0).alias("latest_transaction_amount")
+            config.latest.write(totals.select("last.event_ts", "last.event_id", amount), batch_id)
             try:
                 now = F.current_timestamp()
-                points = rollups.batch_points(scored, now).unionByName(
-                    rollups.histogram_points(rollups.score_histogram(scored), now)
+                points = rollups.batch_points(scored, now, totals=totals).unionByName(
+                    rollups.histogram_points(rollups.totals_histogram(totals), now)
                 )
                 config.points.write(points, batch_id)
             except Exception:
                 log.exception("batch %s: series points were not written", batch_id)
         finally:
-            if scored is not None:
-                scored.unpersist()
-            batch.unpersist()
+            for held in (totals, scored, batch):
+                if held is not None:
+                    held.unpersist()
 
     return handle
 
