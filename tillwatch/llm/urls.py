@@ -24,6 +24,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.llm.shared import ascii_lower, without
+from tillwatch.operators.joins import lookup
 
 # The policy, as (verdict, host and path).
 POLICY = (
@@ -113,11 +114,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Distinct sets of indexed tokens in ``urls`` (_known) with the best mined rule of each."""
+    """Distinct sets of indexed tokens in ``urls`` (_known, as JSON) with the best mined rule of each."""
     index = rules.select("rule_id", "verdict", "confidence", "support", F.size("items").alias("_need"),
                          F.explode("items").alias("_token"))
     found = (
-        urls.select("_known").distinct().withColumn("_token", F.explode("_known"))
+        urls.select("_known").distinct().withColumn("_token", F.explode(F.from_json("_known", "array<string>")))
         .join(index, "_token")
         .groupBy("_known", "rule_id", "verdict", "confidence", "support", "_need")
         .agg(F.count("*").alias("_have"))
@@ -143,10 +144,11 @@ def judge(pages: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, min_supp
     # At most 13 / min_support tokens are frequent, so the index's vocabulary is bounded.
     vocabulary = sorted(r[0] for r in rules.select(F.explode("items")).distinct().collect())
     indexed = F.array(*map(F.lit, vocabulary)).cast("array<string>")
-    known = parsed.withColumn("_known", F.array_sort(F.array_intersect("_tokens", indexed)))
+    known = parsed.withColumn("_known", F.to_json(F.array_sort(F.array_intersect("_tokens", indexed))))
     best = match(known, rules)
+    # Most URLs may have one set of tokens; ``lookup`` splits such keys.
     return (
-        known.join(best, "_known", "left")
+        lookup(known, best, "_known", skew_from=known.select("_known"), spread_by=["url"])
         .withColumns({
             "verdict": F.coalesce("_policy", "_best.verdict", F.lit(DEFAULT)),
             "mined": F.col("_best.rule_id"), "confidence": F.col("_best.confidence")})
