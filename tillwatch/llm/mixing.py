@@ -5,9 +5,13 @@ passes over the source and then a part of one more pass, whose documents are
 drawn without replacement with probability by quality weight: each document
 has an exponential key, -ln(u) / weight, and the smallest keys come first.
 
-No task holds a source. The keys are cut into ranges; words are summed for each
-source and range, the sums are added up along the ranges, and only the documents
-of one range of one source are sorted together.
+No task holds a source. The keys are cut into ranges by the number of documents;
+words are summed for each source and range, the sums are added up along the
+ranges, and only the documents of one range of one source are sorted together.
+
+Documents are taken whole. One that is longer than what is left of the budget is
+skipped, up to ``SKIPS`` times, and later ones of its range fill the rest; the
+last one is taken if at least half of it fits.
 
 Defined cases: null and empty texts have no words, and none are taken; a null
 source is a source of its own, last in order; rows with one doc_id share their
@@ -26,7 +30,8 @@ from tillwatch.llm.shared import unit_hash, without, word_count
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5  # of all words
 MOST_PASSES = 2.0
-KEY_RANGES = 1024
+ROWS_IN_RANGE = 50_000  # of all sources together
+SKIPS = 2
 SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.1
 SEED = "mix"
@@ -69,9 +74,10 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most_passes: float = MOST_PASSES,
-        seed: str = SEED, ranges: int = KEY_RANGES) -> DataFrame:
+        seed: str = SEED, ranges: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target`` and ``taken`` words."""
     docs = without(docs, *COLUMNS)
+    ranges = ranges or max(1, -(-docs.count() // ROWS_IN_RANGE))
     floor = F.lit(LEAST_QUALITY)
     keyed = (
         docs.withColumn("size", word_count(F.col("text")))
@@ -85,19 +91,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     sizes = sums.groupBy("_key").agg(F.sum("_words").alias("source_size"))
     plan = starts.join(targets(sizes, weights, share, most_passes), "_key")
 
-    inside = (
-        Window.partitionBy("_key", "_range").orderBy("_draw", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    together = Window.partitionBy("_key", "_range")
+    inside = together.orderBy("_draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     passes = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    rest = F.col("target") - passes * F.col("source_size")
-    start = F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    drawn = (start + F.col("size") / 2.0 <= rest).cast("long")  # the last one if half of it still fits
-    return (
-        keyed.join(plan, ["_key", "_range"])
-        .withColumn("taken", (F.col("size") * (passes + drawn)).cast("long"))
-        .select(*docs.columns, *COLUMNS)
-    )
+    placed = keyed.join(plan, ["_key", "_range"]).withColumns({
+        "_passes": passes, "_rest": F.col("target") - passes * F.col("source_size"), "_after": F.lit(True),
+        "_drawn": F.lit(False), "_start": F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))})
+    size, start, rest, after = F.col("size"), F.col("_start"), F.col("_rest"), F.col("_after")
+    for skips in range(SKIPS + 1):
+        # ``_start`` counts what is taken before a document, if it comes after all that were skipped.
+        fits = start + (size if skips < SKIPS else size / 2.0) <= rest
+        skipped = F.max(F.when(after & (start < rest) & ~fits, size)).over(together)
+        placed = placed.withColumns({
+            "_drawn": F.col("_drawn") | (after & fits), "_after": after & (start >= rest) & skipped.isNotNull(),
+            "_start": start - F.coalesce(skipped, F.lit(0))})
+    taken = (size * (F.col("_passes") + F.col("_drawn").cast("long"))).cast("long")
+    return placed.withColumn("taken", taken).select(*docs.columns, *COLUMNS)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
@@ -133,13 +142,21 @@ targets AS (
     ELSE weight * max(CASE WHEN cap / weight > level THEN level END) OVER () END AS target
   FROM levels),
 placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
+    floor((1.0::DOUBLE - exp(-d.draw * 0.1::DOUBLE)) * ceil((SELECT count(*) FROM documents) / 50000.0::DOUBLE)) AS range,
     coalesce(floor(t.target / nullif(t.source_size, 0)), 0) AS passes,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+l0 AS (SELECT *, target - passes * source_size AS rest, start + size <= target - passes * source_size AS d0 FROM placed),
+s0 AS (SELECT *, max(CASE WHEN start < rest AND NOT d0 THEN size END) OVER (PARTITION BY source, range) AS c0 FROM l0),
+l1 AS (SELECT *, start >= rest AND c0 IS NOT NULL AS a1, start - coalesce(c0, 0) AS b1 FROM s0),
+s1 AS (
+  SELECT *, max(CASE WHEN a1 AND b1 < rest AND b1 + size > rest THEN size END) OVER (PARTITION BY source, range) AS c1
+  FROM l1),
+l2 AS (SELECT *, a1 AND b1 >= rest AND c1 IS NOT NULL AS a2, b1 - coalesce(c1, 0) AS b2 FROM s1)
 SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
-  cast(size * (passes + CASE WHEN start + size / 2.0 <= target - passes * source_size THEN 1 ELSE 0 END) AS bigint)
-    AS taken
-FROM placed
+  cast(size * (passes + CASE WHEN d0 OR a1 AND b1 + size <= rest OR a2 AND b2 + size / 2.0 <= rest THEN 1 ELSE 0 END)
+    AS bigint) AS taken
+FROM l2
 """
