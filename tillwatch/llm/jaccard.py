@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwatch.llm.arrays import Piece, mixed, pieces
 from tillwatch.llm.shared import staged
+from tillwatch.operators.joins import lookup
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -51,7 +52,10 @@ SEED = 20
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
     """The most rows to a band, so the fewest false candidates, with which that many hashes reach the recall."""
     for rows in range(most_hashes, 0, -1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold**rows < 1 else 1
+        chance = threshold**rows
+        if chance >= 1:
+            return 1, rows
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-chance)) if chance > 0 else math.inf
         if bands * rows <= most_hashes:
             return bands, rows
     return most_hashes, 1
@@ -250,10 +254,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # The middle of a star may have most of the edges; ``lookup`` splits such keys.
+        large = lookup(both.filter("b > a"), least, "a", "inner").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a != b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
+        small = lookup(large, least, "a", "inner").select(
             F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         edges = staged(small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).filter("a != b").distinct(),
                        "edges")
@@ -284,7 +289,7 @@ def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recal
     named = sets.join(counted, ["s1", "s2"], "left").withColumn("node", node("s1", "s2"))
     rooted = named.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    info = rooted.join(ids, "root").select(
+    info = lookup(rooted, ids, "root", "inner").select(
         "s1", "s2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = sketches.filter("n = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_ngrams"))
