@@ -187,6 +187,14 @@ def test_mix_in_ranges(spark, small):
     assert abs(taken[0] - taken[1]) < 0.02 * taken[1]
 
 
+def test_ranges_are_even_for_all_weights(spark):
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "word").otherwise("#### word").alias("text"),
+        F.lit("all").alias("source"))
+    keyed = mixing.keyed(docs, mixing.SEED, 20).groupBy("_range").count().toPandas()
+    assert len(keyed) == 20 and keyed["count"].max() < 3 * 1000
+
+
 def test_mix_takes_smallest_keys_and_fills_the_rest(spark):
     rng = random.Random(8)
     rows = [(i, "word " * rng.choice([1, 3, 10, 40, 200]), f"s{i % 3}") for i in range(300)]

@@ -30,7 +30,8 @@ from tillwatch.llm.shared import unit_hash, without, word_count
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5  # of all words
 MOST_PASSES = 2.0
-ROWS_IN_RANGE = 50_000  # of all sources together
+ROWS_IN_RANGE = 5_000  # of all sources together
+RANGE_WEIGHTS = (1.0, 0.3, 0.1)  # ranges are even for documents of about these weights
 SKIPS = 2
 SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.1
@@ -73,19 +74,24 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return levels.select("_key", "source_size", target.alias("target"))
 
 
+def keyed(docs: DataFrame, seed: str, ranges: int) -> DataFrame:
+    """``docs`` with words, source key, exponential key and the key's range, which rises with the key."""
+    place = sum((F.lit(1.0) - F.exp(-F.col("_draw") * w) for w in RANGE_WEIGHTS), F.lit(0.0)) / len(RANGE_WEIGHTS)
+    return (
+        docs.withColumn("size", word_count(F.col("text")))
+        .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("x")))  # null sorts last
+        .withColumn("_draw", -F.ln(unit_hash(F.col("doc_id"), seed)) / quality_weight(F.col("text")))
+        .withColumn("_range", F.floor(place * ranges).cast("int"))
+    )
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most_passes: float = MOST_PASSES,
         seed: str = SEED, ranges: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target`` and ``taken`` words."""
     docs = without(docs, *COLUMNS)
     ranges = ranges or max(1, -(-docs.count() // ROWS_IN_RANGE))
-    floor = F.lit(LEAST_QUALITY)
-    keyed = (
-        docs.withColumn("size", word_count(F.col("text")))
-        .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("x")))  # null sorts last
-        .withColumn("_draw", -F.ln(unit_hash(F.col("doc_id"), seed)) / quality_weight(F.col("text")))
-        .withColumn("_range", F.floor((F.lit(1.0) - F.exp(-F.col("_draw") * floor)) * ranges).cast("int"))
-    )
-    sums = keyed.groupBy("_key", "_range").agg(F.sum("size").alias("_words"))
+    rows = keyed(docs, seed, ranges)
+    sums = rows.groupBy("_key", "_range").agg(F.sum("size").alias("_words"))
     along = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("_start", F.coalesce(F.sum("_words").over(along), F.lit(0))).drop("_words")
     sizes = sums.groupBy("_key").agg(F.sum("_words").alias("source_size"))
@@ -94,7 +100,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     together = Window.partitionBy("_key", "_range")
     inside = together.orderBy("_draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     passes = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    placed = keyed.join(plan, ["_key", "_range"]).withColumns({
+    placed = rows.join(plan, ["_key", "_range"]).withColumns({
         "_passes": passes, "_rest": F.col("target") - passes * F.col("source_size"), "_after": F.lit(True),
         "_drawn": F.lit(False), "_start": F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))})
     size, start, rest, after = F.col("size"), F.col("_start"), F.col("_rest"), F.col("_after")
@@ -143,7 +149,8 @@ targets AS (
   FROM levels),
 placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
-    floor((1.0::DOUBLE - exp(-d.draw * 0.1::DOUBLE)) * ceil((SELECT count(*) FROM documents) / 50000.0::DOUBLE)) AS range,
+    floor((3.0::DOUBLE - exp(-d.draw) - exp(-d.draw * 0.3::DOUBLE) - exp(-d.draw * 0.1::DOUBLE)) / 3.0::DOUBLE
+      * ceil((SELECT count(*) FROM documents) / 5000.0::DOUBLE)) AS range,
     coalesce(floor(t.target / nullif(t.source_size, 0)), 0) AS passes,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
