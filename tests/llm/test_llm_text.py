@@ -1,7 +1,8 @@
 """Language, quality and licence operators, the language model and the arrays they use."""
 
-import re
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +177,15 @@ def test_licence_places_may_overlap():
     assert phrase.scan("a a a")[1:4] == (2, 0, 1)
 
 
+def test_licence_scan_of_a_long_line():
+    n = 30_000
+    began = time.perf_counter()
+    row = licenses.Scanner().scan("some words cc by SPDX-License-Identifier: MIT or ISC " * n)
+    assert row[:4] == (10 * n, n, 2, 10 * n - 8) and row[5] == "cc-by,spdx:isc,spdx:mit" and row[7] is True
+    assert time.perf_counter() - began < 20
+    assert licenses.evaluated("MIT and\nISC") is None and licenses.evaluated("see MIT\nISC", 4) == ({"mit"}, True)
+
+
 def test_contexts_stop_at_the_text():
     around = lm.contexts(np.array([1, 2, 3, 4]), np.array([0, 0, 0, 1]))
     m = lm.MARGIN

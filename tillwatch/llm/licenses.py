@@ -57,8 +57,7 @@ TAG = "spdx-license-identifier:"
 # End of the fixed values.
 
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
-TOKEN = re.compile(r"[()]|[a-z0-9.+:-]+")
-EXPRESSION = re.compile(r"[ \t]*([^\r\n]*)")
+TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+|[\r\n]")
 STRUCTURE = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256))
@@ -75,12 +74,18 @@ SCHEMA = (
 )
 
 
-def postfix(expression: str) -> list[str] | None:
-    """The expression's tokens in postfix order by the shunting-yard method; None if it is not well formed."""
+def postfix(text: str, start: int = 0) -> list[str] | None:
+    """Tokens of the expression at ``start`` in postfix order by the shunting-yard method; None if not well formed.
+
+    The expression ends with its line. Tokens are read as they are needed, so that a long line with many tags is not
+    read once for each of them.
+    """
     out: list[str] = []
     stack: list[str] = []
     operand_next = True
-    for token in TOKEN.findall(expression.lower()):
+    for token in (found[0].lower() for found in TOKEN.finditer(text, start)):
+        if token in "\r\n":
+            break
         if token == "(":
             if not operand_next:
                 return None
@@ -110,9 +115,12 @@ def postfix(expression: str) -> list[str] | None:
     return out + stack[::-1]
 
 
-def evaluated(expression: str) -> tuple[set[str], bool] | None:
-    """Licences that an expression names, and whether a permissive choice satisfies it; None if not well formed."""
-    order = postfix(expression)
+def evaluated(text: str, start: int = 0) -> tuple[set[str], bool] | None:
+    """Licences that the expression at ``start`` names, and whether a permissive choice satisfies it.
+
+    None if it is not well formed.
+    """
+    order = postfix(text, start)
     if order is None:
         return None
     stack: list[tuple[set[str], bool]] = []
@@ -148,23 +156,26 @@ class Scanner:
         words = raw.translate(STRUCTURE).split(b" ")
         words = [w for w in words if w]
         joined = f" {b' '.join(words).decode('utf-8', 'replace')} "
-        labels, base, starts = set(), set(), []
-        places = 0
+        labels, base = set(), set()
+        places = n_base = 0
+        first, last = len(joined), -1  # characters before the blank that opens a base phrase
         for end, (phrase, (label, is_base)) in self.notices.iter(joined):
             places += 1
             labels.add(label)
             if is_base:
                 base.add(label)
-                starts.append(joined.count(" ", 0, end - len(phrase) + 1))
+                n_base += 1
+                first, last = min(first, end - len(phrase) + 1), max(last, end - len(phrase) + 1)
         tags, allowed = 0, []
         lowered = raw.translate(LOWER).decode("utf-8", "replace")
         for end, _ in self.tags.iter(lowered):
             tags += 1
-            found = evaluated(EXPRESSION.match(lowered, end + 1)[1])
+            found = evaluated(lowered, end + 1)
             labels |= {"spdx:invalid"} if found is None else {f"spdx:{name}" for name in found[0]}
             allowed.append(found is not None and found[1])
         return (
-            len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
+            len(words), n_base, joined.count(" ", 0, first) if n_base else None,
+            joined.count(" ", 0, last) if n_base else None, ",".join(sorted(base)),
             ",".join(sorted(labels | base)), 1 - 0.5 ** min(places + 2 * tags, 60), all(allowed) if allowed else None)
 
 
