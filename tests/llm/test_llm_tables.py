@@ -105,6 +105,28 @@ def test_units_fit_in_batches_of_any_size(spark):
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == near_copies(rows)
 
 
+def test_near_copies_in_tiles_and_slices_of_few_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_GRAMS", 300)
+    monkeypatch.setattr(jaccard, "SLICE_GRAMS", 50)
+    rows = near_copy_rows(5)
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == near_copies(rows)
+
+
+def test_tiles_hold_few_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_GRAMS", 1000)
+    members = spark.range(6).selectExpr("0 band", "1L key", "6L size", "4500L grams", "id s1", "-id s2")
+    units = jaccard.tiles(members).groupBy("part", "other").count().collect()
+    assert max(max(u.part, u.other) for u in units) <= 4 and jaccard.tiles(members).count() == 30
+
+
+def test_near_copies_without_ids(spark):
+    rows = near_copy_rows(6)
+    nameless = [(None if i % 3 else i, text) for i, text in rows]
+    got = jaccard.classes(spark.createDataFrame(nameless, "doc_id long, text string")).collect()
+    assert sorted(r.n_links for r in got) == sorted(n for _, n in near_copies(rows).values())
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(20)] + [("s9", f"s{i}") for i in range(9)] + [("x", "x")]
     random.Random(4).shuffle(edges)

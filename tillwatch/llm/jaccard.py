@@ -8,11 +8,12 @@ wanted at that similarity.
    class and go on as one. The class has the hashes of its bands.
 2. Classes that agree on a band are in one bucket. Buckets with the same members
    as one of an earlier band are left out.
-3. A bucket is cut into tiles of bounded size; each pair of tiles is a task's
-   unit of work. It gets the texts, and verifies all pairs on their full sets
-   with one matrix product. A pair is counted in the first band it shares, so
-   once. No pairs are written: a unit gives the number of links of each member
-   and one edge to its smallest relation, a forest of the links found.
+3. A bucket is cut into tiles of a bounded number of texts and of n-grams; each
+   pair of tiles is a task's unit of work. It gets the texts, and verifies all
+   pairs on their full sets with matrix products over a slice of the hashes each.
+   A pair is counted in the first band it shares, so once. No pairs are written:
+   a unit gives the number of links of each member and one edge to its smallest
+   relation, a forest of the links found.
 4. Connected components of the forest give each document its class id, by
    alternating large-star and small-star steps until nothing changes.
 
@@ -45,6 +46,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 MOST_HASHES = 128
 TILE = 256
+TILE_GRAMS = 1 << 22
+SLICE_GRAMS = 1 << 21
 COLUMN_BLOCK = 4096
 SEED = 20
 
@@ -100,7 +103,10 @@ def signed(values: np.ndarray) -> pa.Array:
 
 
 def sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, n, s1, s2, bands): size, fingerprints and band hashes of each set."""
+    """``docs`` (doc_id, text) as (doc_id, row_id, n, s1, s2, bands).
+
+    A hash of the row, and of its set the size, the fingerprints and the hashes of the bands.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,27 +122,30 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(piece) + 1, dtype=np.int32) * bands), signed(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(piece)), pa.array(sizes.astype(np.int64)), signed(s1), signed(s2),
-                     lists], names=["doc_id", "n", "s1", "s2", "bands"])
+                    [*(batch.column(c).slice(row, len(piece)) for c in ("doc_id", "row_id")),
+                     pa.array(sizes.astype(np.int64)), signed(s1), signed(s2), lists],
+                    names=["doc_id", "row_id", "n", "s1", "s2", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, s1 long, s2 long, bands array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_id")).mapInArrow(
+        run, f"doc_id {kind}, row_id long, n long, s1 long, s2 long, bands array<long>")
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """``sets`` (s1, s2, bands) as members (band, key, size, s1, s2) of the buckets worth looking into."""
-    members = sets.select("s1", "s2", F.posexplode("bands").alias("band", "key"))
+    """``sets`` (s1, s2, n, bands) as members (band, key, size, grams, s1, s2) of the buckets worth looking into."""
+    members = sets.select("s1", "s2", "n", F.posexplode("bands").alias("band", "key"))
     found = members.groupBy("band", "key").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("s1", "s2")).alias("_x"),
+        F.count("*").alias("size"), F.sum("n").alias("grams"), F.bit_xor(F.xxhash64("s1", "s2")).alias("_x"),
         F.bit_xor(F.xxhash64("s2", "s1")).alias("_y"))
     # Buckets with the same members are the same; the first band's stays.
-    firsts = found.filter("size > 1").groupBy("size", "_x", "_y").agg(F.min(F.struct("band", "key")).alias("_b"))
-    return members.join(firsts.select("size", "_b.band", "_b.key"), ["band", "key"])
+    same = found.filter("size > 1").groupBy("size", "grams", "_x", "_y")
+    firsts = same.agg(F.min(F.struct("band", "key")).alias("_b"))
+    return members.drop("n").join(firsts.select("size", "grams", "_b.band", "_b.key"), ["band", "key"])
 
 
 def tiles(members: DataFrame, tile: int = TILE) -> DataFrame:
     """A row (band, key, part, other, side, s1, s2) for each unit of work that a member belongs to."""
-    parts = F.ceil(F.col("size") / tile).cast("int")
+    parts = F.greatest(F.ceil(F.col("size") / tile), F.least(F.ceil(F.col("grams") / TILE_GRAMS), "size")).cast("int")
     dealt = members.withColumns({"_parts": parts, "_part": F.pmod(F.xxhash64("s1", "s2", "band"), parts).cast("int")})
     paired = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     return paired.select("band", "key", F.least("_part", "_with").alias("part"),
@@ -148,20 +157,25 @@ def linked(hashes: np.ndarray, offsets: np.ndarray, threshold: float) -> np.ndar
     """Which of the sets are similar, as a matrix; the products of 0/1 rows count common hashes."""
     m = len(offsets) - 1
     sizes = np.diff(offsets)
-    of = np.repeat(np.arange(m), sizes)
-    _, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    common = times > 1
-    rank = np.cumsum(common) - 1
-    use = common[column]
-    of, column = of[use], rank[column[use]]
-    order = np.argsort(column, kind="stable")
-    of, column = of[order], column[order]
+    owner = np.repeat(np.arange(m, dtype=np.int32), sizes)
     shared = np.zeros((m, m), np.float32)
-    for first in range(0, int(common.sum()), COLUMN_BLOCK):
-        a, b = np.searchsorted(column, [first, first + COLUMN_BLOCK])
-        block = np.zeros((m, min(COLUMN_BLOCK, int(common.sum()) - first)), np.float32)
-        block[of[a:b], column[a:b] - first] = 1
-        shared += block @ block.T
+    slices = 1 + len(hashes) // SLICE_GRAMS
+    part = ((hashes >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int32)
+    for number in range(slices):
+        here = slice(None) if slices == 1 else part == number
+        of = owner[here]
+        _, column, times = np.unique(hashes[here], return_inverse=True, return_counts=True)
+        common = times > 1
+        rank = np.cumsum(common) - 1
+        use = common[column]
+        of, column = of[use], rank[column[use]]
+        order = np.argsort(column, kind="stable")
+        of, column = of[order], column[order]
+        for first in range(0, int(common.sum()), COLUMN_BLOCK):
+            a, b = np.searchsorted(column, [first, first + COLUMN_BLOCK])
+            block = np.zeros((m, min(COLUMN_BLOCK, int(common.sum()) - first)), np.float32)
+            block[of[a:b], column[a:b] - first] = 1
+            shared += block @ block.T
     union = sizes[:, None] + sizes[None, :] - shared
     return shared >= threshold * union - 1e-6
 
@@ -202,7 +216,7 @@ def verify(work: DataFrame, n: int, bands: int, rows: int, threshold: float) ->
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         wanted = np.stack([table[c].to_numpy() for c in ("s1", "s2")], 1)
         s1, s2, keys = signatures(hashes, offsets, bands, rows)
-        # Rows that share the doc_id of a member but not its text go.
+        # Rows that share the hash of a member but not its set go, and so do repeated ones.
         own = (s1.view(np.int64) == wanted[:, 0]) & (s2.view(np.int64) == wanted[:, 1])
         _, firsts = np.unique(wanted[own], axis=0, return_index=True)
         rows_in = np.flatnonzero(own)[firsts]
@@ -276,12 +290,13 @@ def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recal
     bands, rows = bands_and_rows(threshold, recall)
     sketches = staged(sketch(docs, n, bands, rows), "sketches")
     kept = sketches.filter("n > 0")
-    sets = kept.groupBy("s1", "s2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"))
-    distinct = kept.select("s1", "s2", "bands").dropDuplicates(["s1", "s2"])
+    sets = kept.groupBy("s1", "s2").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min("row_id").alias("row_id"))
+    distinct = kept.select("s1", "s2", "n", "bands").dropDuplicates(["s1", "s2"])
     work = staged(tiles(buckets(distinct)).join(sets, ["s1", "s2"]), "tiles")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    verified = staged(
-        verify(work.join(texts, F.col("least_id").eqNullSafe(F.col("_id"))), n, bands, rows, threshold), "links")
+    # By a hash of id and text, as many rows may have one id, null among them.
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row_id"), "text")
+    verified = staged(verify(work.join(texts, "row_id"), n, bands, rows, threshold), "links")
 
     node = lambda a, b: F.concat(F.hex(a), F.lit("-"), F.hex(b))
     edges = verified.select(node("s1", "s2").alias("a"), node("r1", "r2").alias("b"))
