@@ -125,6 +125,8 @@ def test_near_copies_without_ids(spark):
     nameless = [(None if i % 3 else i, text) for i, text in rows]
     got = jaccard.classes(spark.createDataFrame(nameless, "doc_id long, text string")).collect()
     assert sorted(r.n_links for r in got) == sorted(n for _, n in near_copies(rows).values())
+    kept = jaccard.deduplicated(spark.createDataFrame(nameless + nameless, "doc_id long, text string"))
+    assert kept.count() == len({c for c, _ in near_copies(rows).values()})
 
 
 def test_components_of_chains_and_stars(spark):

@@ -282,11 +282,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, class_id, n_links, n_ngrams), a row for each document.
-
-    ``n_links`` is the number of other documents whose similarity reaches the threshold.
-    """
+def members(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
+    """``docs`` (doc_id, text) as (doc_id, row_id, root, class_id, n_links, n_ngrams); ``root`` names the class."""
     bands, rows = bands_and_rows(threshold, recall)
     sketches = staged(sketch(docs, n, bands, rows), "sketches")
     kept = sketches.filter("n > 0")
@@ -305,19 +302,29 @@ def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recal
     rooted = named.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"))
     info = lookup(rooted, ids, "root", "inner").select(
-        "s1", "s2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "s1", "s2", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = sketches.filter("n = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_ngrams"))
+        "doc_id", "row_id", F.hex("row_id").alias("root"), F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_ngrams"))
     return (
-        kept.select("doc_id", "s1", "s2", "n").join(info, ["s1", "s2"])
-        .select("doc_id", "class_id", "n_links", F.col("n").alias("n_ngrams")).union(alone)
+        kept.select("doc_id", "row_id", "s1", "s2", "n").join(info, ["s1", "s2"])
+        .select("doc_id", "row_id", "root", "class_id", "n_links", F.col("n").alias("n_ngrams")).union(alone)
     )
 
 
+def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """``docs`` (doc_id, text) as (doc_id, class_id, n_links, n_ngrams), a row for each document.
+
+    ``n_links`` is the number of other documents whose similarity reaches the threshold.
+    """
+    return members(docs, n, threshold, recall).select("doc_id", "class_id", "n_links", "n_ngrams")
+
+
 def deduplicated(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One document of each class: the one whose doc_id is the class id; of equal rows one stays."""
-    stay = classes(docs, n, threshold, recall).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    stay = stay.select(F.col("doc_id").alias("_stay")).distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    firsts = members(docs, n, threshold, recall).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    stay = firsts.groupBy("root").agg(F.min("row_id").alias("_row")).select("_row").distinct()
+    kept = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stay, "_row", "left_semi")
+    # Rows already lie by their hash, so the texts are not shuffled again.
+    place = F.row_number().over(Window.partitionBy("_row", "doc_id", "text").orderBy("doc_id"))
     return kept.withColumn("_place", place).filter("_place = 1").select(*docs.columns)
