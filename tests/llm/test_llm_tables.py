@@ -367,3 +367,29 @@ def test_pipeline_stages_against_plain_versions(spark, small):
     run = corpus_pipeline.run(spark, small).toPandas()
     columns = ["doc_id", "pass", "text"]
     assert sorted(map(tuple, run[columns].values)) == sorted(map(tuple, mixed[columns].values))
+
+
+# Values beside other numbers, with the part that must not stay.
+NEIGHBOURS = [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111", 1),
+    ("4111 1111 1111 1111 123", "4111 1111 1111 1111", 1),
+    ("4111111111111111 100 EUR", "4111111111111111", 1),
+    ("2 4111-1111-1111-1111", "4111-1111-1111-1111", 1),
+    ("3782 822463 10005 2024 7", "3782 822463 10005", 1),
+    ("7 41111 11111 111111 5", "41111 11111 111111", 1),
+    ("BE68539007547034 2024", "BE68539007547034", 1),
+    ("BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034", 1),
+    ("BE68539007547034 4111-1111-1111-1111", "4111-1111-1111-1111", 2),
+    ("AB12 3456 4111 1111 1111 1111", "4111 1111 1111 1111", 1),
+    ("12 123-45-6789 4000", "123-45-6789", 1),
+    ("317-555-3649 317-555-3650", "317-555-3650", 2),
+    ("1234 5678 9012 3 jo5@mail8.example.com", "jo5@", 1),
+    ("1234 5678 9012 3 70.123.182.155", "70.123.182.155", 1),
+]
+
+
+def test_neighbours_hide_no_value(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(NEIGHBOURS)], "doc_id long, text string")
+    for r in pii.pseudonymise(docs).collect():
+        text, value, n = NEIGHBOURS[r.doc_id]
+        assert r.n_private == n and value not in r.text, (text, r)

@@ -17,7 +17,10 @@ a keyed digest of the other half gives. Everything is built from SQL functions.
 
 Defined cases: a null text stays null and has no values; an empty one stays
 empty; what has the shape of a value but fails its check stays as it is; values
-in very long texts are replaced like others. Dates that are not padded come back
+in very long texts are replaced like others. Card numbers and IBANs are looked
+for among the groups of a run of numbers, in their usual grouping first and then
+in every other one, so neighbours hide none; numbers in a run that pass as a card
+by chance are replaced too, and undoing can then find other values there. Dates that are not padded come back
 padded or not as their own digits require. Repeated rows are kept; an empty
 table gives an empty one; input columns with the name of a result column go.
 """
@@ -36,14 +39,32 @@ UPPER = LOWER.upper()
 
 # Fixed formats.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
          r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)")
-CARD = r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)"
-ANY = f"{EMAIL}|{IBAN}|(?=[+(0-9])(?:{IP}|{DATE}|{SSN}|{CARD}|{PHONE})"
+CARD = r"\d(?:[ -]?\d){12,18}"
+CARD_SHAPES = ((4, r"\d{4}(?:[ -]\d{4}){3}"), (3, r"\d{4}[ -]\d{6}[ -]\d{4,5}"), (1, r"\d{13,19}"))  # by number of groups
+THREE_GROUPS = r"\d{3}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2}"  # numbers and dates that no hyphen may precede or follow
+THREE_PHONE = r"\d{3}[ -]\d{3}[ -]\d{4}"
+# A run is all groups of digits (from an IBAN's start on, of capitals too) over single blanks or hyphens, up to
+# one that starts a value of another shape.
+OTHER = (r"(?![A-Za-z0-9._%+-]{1,256}+@|(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)|\d{1,2}/\d{1,2}/\d{4}(?![\d/-]|\.\d)"
+         r"|\d{1,2}\.\d{1,2}\.\d{4}(?![\d/-]|\.\d)|\d{3}(?:\.\d{3}[ .-]|[ -]\d{3}\.)\d{4}(?!\d))")
+IBAN_RUN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11})[A-Z0-9]++(?![a-z])"
+            rf"(?:[ -]{OTHER}[A-Z0-9]++(?![a-z]))*+")
+CARD_RUN = rf"(?<!\d)(?=\d(?:[ -]?\d){{12}})\d++(?:[ -]{OTHER}\d++)*+"
+RUN = r"^(?:[A-Z][A-Z0-9 -]*+|\d(?:[ -]?\d){12}[\d -]*+)$"
+ANY = f"{EMAIL}|{IBAN_RUN}|(?=[+(0-9])(?:{IP}|{DATE}|{SSN}|{CARD_RUN}|{PHONE})"
+MOST_GROUPS = 19  # of a card number
+IBAN_GROUPS = 9
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 HINT = "[0-9@]"
 FIRST_DAY, DAYS_LEFT, DAYS_RIGHT = "1900-01-01", 150, 487  # 73,050 days
 COLUMNS = ("n_private",)
@@ -214,13 +235,17 @@ def mod97(text: Column) -> Column:
     return F.reduce(F.split(text, ""), F.lit(0), step)
 
 
+def valid_iban(plain: Column) -> Column:
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+    return F.length(plain).between(15, 34) & (mod97(turned) == 1)
+
+
 def iban(m: Column, key: str, inverse: bool) -> Column:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
     new = with_digits(account, permute_text(digits_of(account), key, "iban", inverse))
     check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = mod97(F.concat(account, F.substring(plain, 1, 4))) == 1
-    return F.when(valid & F.length(plain).between(15, 34), with_digits(m, F.concat(check, digits_of(new))))
+    return F.when(valid_iban(plain), with_digits(m, F.concat(check, digits_of(new))))
 
 
 def email(m: Column, key: str, inverse: bool) -> Column:
@@ -238,22 +263,133 @@ def pseudonym(m: Column, key: str = KEY, inverse: bool = False) -> Column:
         .when(whole(IP), ip(m, key, inverse))
         .when(whole(DATE), date(m, key, inverse))
         .when(whole(SSN), ssn(m, key, inverse))
-        .when(whole(CARD), F.coalesce(card(m, key, inverse), F.when(F.startswith(m, F.lit("+")), phone(m, key, inverse))))
+        .when(whole(CARD), card(m, key, inverse))
         .when(whole(PHONE), phone(m, key, inverse))
     )
 
 
+def shape_of(text: Column, pattern: str) -> Column:
+    return F.rlike(text, F.lit(f"^(?:{pattern})$"))
+
+
+def values_of_run(groups: Column) -> Column:
+    """Places (at, n) of the values in a run's ``groups``, each with the separator before it.
+
+    First come IBANs and cards of the usual grouping, then numbers, dates and phones of
+    three groups, then cards in any grouping, the longest first; from left to right.
+    """
+    size = F.size(groups)
+
+    def joined(i: Column, n: Column | int) -> Column:
+        return F.regexp_replace(F.array_join(F.slice(groups, i + 1, n if isinstance(n, Column) else F.lit(n)), ""), "^[ -]", "")
+
+    def longest(i: Column, most: int, fits) -> Column:
+        n = F.sequence(F.least(F.lit(most), size - i), F.lit(1), F.lit(-1))
+        return F.coalesce(F.get(F.filter(n, fits), F.lit(0)), F.lit(0))
+
+    def usual(_: Column, i: Column) -> Column:
+        def is_iban(n: Column, lengths: dict[int, str] | None) -> Column:
+            plain = F.replace(joined(i, n), F.lit(" "), F.lit(""))
+            fits = F.lit(True)
+            if lengths:
+                own = F.lit(None)
+                for length, countries in lengths.items():
+                    own = F.when(F.substring(plain, 1, 2).isin(countries.split()), length).otherwise(own)
+                fits = F.coalesce(F.length(plain) == own, F.lit(False))
+            return F.when(fits & shape_of(joined(i, n), IBAN), valid_iban(plain)).otherwise(False)
+
+        iban_groups = longest(i, IBAN_GROUPS, lambda n: is_iban(n, IBAN_LENGTHS))
+        any_iban = longest(i, IBAN_GROUPS, lambda n: is_iban(n, None))
+        found = F.lit(0)
+        for n, pattern in reversed(CARD_SHAPES):
+            digits = digits_of(joined(i, n))
+            fits = F.when(shape_of(joined(i, n), pattern), luhn_sum(digits) % 10 == 0).otherwise(False)
+            found = F.when(fits, n).otherwise(found)
+        starts = F.rlike(F.get(groups, i), F.lit(r"^[ -]?[A-Z]{2}\d{2}"))
+        return F.when(starts, F.when(iban_groups > 0, iban_groups).otherwise(any_iban)).otherwise(found)
+
+    def clear(taken: Column, i: Column, n: Column | int) -> Column:
+        """Whether no better value starts among the groups after the first."""
+        return F.coalesce(F.array_max(F.slice(taken, i + 2, F.lit(n) - 1 if isinstance(n, int) else n - 1)), F.lit(0)) == 0
+
+    def by_three(first: Column):
+        def of(n: Column, i: Column) -> Column:
+            apart = ~F.startswith(F.get(groups, i), F.lit("-")) & ~F.startswith(
+                F.coalesce(F.get(groups, i + 3), F.lit("")), F.lit("-"))
+            text = joined(i, 3)
+            fits = (shape_of(text, THREE_PHONE) | (shape_of(text, THREE_GROUPS) & apart)) & clear(first, i, 3)
+            return F.when(n > 0, n).when(F.when(fits, pseudonym(text).isNotNull()).otherwise(False), 3).otherwise(0)
+
+        return F.transform(first, of)
+
+    def any_card(better: Column):
+        def of(n: Column, i: Column) -> Column:
+            def is_card(k: Column) -> Column:
+                text = joined(i, k)
+                fits = shape_of(text, CARD) & clear(better, i, k)
+                return F.when(fits, luhn_sum(digits_of(text)) % 10 == 0).otherwise(False)
+
+            return F.when(n > 0, n).otherwise(longest(i, MOST_GROUPS, is_card))
+
+        return F.transform(better, of)
+
+    def once(value: Column, then) -> Column:
+        """``then`` of a value that is worked out one time."""
+        return F.element_at(F.transform(F.array(value), then), 1)
+
+    def pick(s: Column, n: Column) -> Column:
+        free = (n > 0) & (s["at"] >= s["end"])
+        place = F.struct(s["at"].alias("at"), n.alias("n"))
+        return F.struct((s["at"] + 1).alias("at"), F.when(free, s["at"] + n).otherwise(s["end"]).alias("end"),
+                        F.when(free, F.concat(s["found"], F.array(place))).otherwise(s["found"]).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("end"),
+                     F.array().cast("array<struct<at:int,n:int>>").alias("found"))
+    return once(F.transform(groups, usual), lambda first: once(
+        by_three(first), lambda better: F.reduce(any_card(better), start, pick, lambda s: s["found"])))
+
+
+def parted(m: Column) -> Column:
+    """A match as an array of (before, value): the values in it and the text before each; the last value may be null."""
+
+    def of_run(groups: Column, places: Column) -> Column:
+        def part(p: Column, k: Column) -> Column:
+            before = F.when(k > 0, F.get(places, k - 1)["at"] + F.get(places, k - 1)["n"]).otherwise(0)
+            value = F.array_join(F.slice(groups, p["at"] + 1, p["n"]), "")
+            mark = F.regexp_extract(value, "^[ -]?", 0)
+            return F.struct(F.concat(F.array_join(F.slice(groups, before + 1, p["at"] - before), ""), mark).alias("before"),
+                            F.substring(value, F.length(mark) + 1, F.length(value)).alias("value"))
+
+        end = F.coalesce(F.get(places, F.size(places) - 1)["at"] + F.get(places, F.size(places) - 1)["n"], F.lit(0))
+        tail = F.struct(F.array_join(F.slice(groups, end + 1, F.size(groups)), "").alias("before"),
+                        F.lit(None).cast("string").alias("value"))
+        return F.concat(F.transform(places, part), F.array(tail))
+
+    runs = F.transform(F.array(F.split(m, "(?=[ -])")), lambda g: F.struct(g.alias("g"), values_of_run(g).alias("p")))
+    in_run = F.element_at(F.transform(runs, lambda r: of_run(r["g"], r["p"])), 1)
+    alone = F.array(F.struct(F.lit("").alias("before"), m.alias("value")))
+    return F.when(F.rlike(m, F.lit(RUN)), in_run).otherwise(alone)
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False) -> DataFrame:
     """``docs`` with the values in ``text`` replaced and ``n_private``, the number of values replaced."""
     docs = without(docs, *COLUMNS)
     text, some = F.col("text"), F.rlike("text", F.lit(HINT))
+
+    def replaced(parts: Column) -> Column:
+        new = F.transform(parts, lambda p: F.struct(p.alias("old"), pseudonym(p["value"], key, inverse).alias("new")))
+        return F.struct(
+            F.array_join(F.transform(new, lambda p: F.concat(p["old"]["before"], F.coalesce(
+                p["new"], p["old"]["value"], F.lit("")))), "").alias("text"),
+            F.size(F.filter(new, lambda p: p["new"].isNotNull())).alias("n"))
+
     found = docs.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     found = found.withColumn("_new", F.when(
-        F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key, inverse))))
+        F.size("_found") > 0, F.transform(F.transform("_found", parted), replaced)))
     # split() parts the text at the same places where regexp_extract_all() finds values, which are never empty.
-    values = F.transform("_new", lambda v, i: F.coalesce(v, F.get("_found", i)))
-    pieces = F.zip_with(F.split(text, ANY, -1), values, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    pieces = F.zip_with(F.split(text, ANY, -1), F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b["text"], F.lit(""))))
+    total = F.reduce("_new", F.lit(0), lambda s, v: s + v["n"])
     return found.withColumns({
         "text": F.when(F.size("_new") > 0, F.array_join(pieces, "")).otherwise(text),
-        "n_private": F.coalesce(F.size(F.array_compact("_new")), F.lit(0)).cast("long"),
+        "n_private": F.coalesce(total, F.lit(0)).cast("long"),
     }).select(*docs.columns, *COLUMNS)
