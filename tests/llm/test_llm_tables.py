@@ -393,3 +393,13 @@ def test_neighbours_hide_no_value(spark):
     for r in pii.pseudonymise(docs).collect():
         text, value, n = NEIGHBOURS[r.doc_id]
         assert r.n_private == n and value not in r.text, (text, r)
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "法国的首都是哪座城市"), (2, "What is two plus two?"), (3, "東京はどこ"), (4, "เมืองหลวงของไทยคือ"), (5, "Yes")]
+    docs = [(1, "前文。法国的首都是哪座城市？后文"), (2, "so: what IS two, plus two"), (3, "ここで東京はどこですか"),
+            (4, "ถามว่าเมืองหลวงของไทยคืออะไร"), (5, "yes"), (6, "what is two plus three 法国的首都 東京は"), (7, "法国的首都也是那座大城市")]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(1, 6)}
+    assert all(r.n_same == r.n_tokens for r in got)

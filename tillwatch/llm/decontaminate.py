@@ -9,12 +9,14 @@ The two masks together miss no stretch of 13 tokens with up to two substitutions
 (the tests try all). Hashes are made from the scan on, and only hits are
 shuffled: the benchmark's hashes are broadcast if there are at most
 ``MOST_BROADCAST`` of them (16 bytes each and the item's number and place), and
-are joined by shuffle beyond that.
+are joined by shuffle beyond that. Tokens are words of letters and digits; in
+scripts that put no blanks between words, each letter is one.
 
 Defined cases: null and empty texts and items have no tokens and match nothing;
-items with fewer tokens than the longest mask are too short to tell a leak from
-chance and are not searched for; items of less than 13 tokens have to be found
-whole, with the same share of substitutions; rows with one doc_id count as one
+items of less than 13 tokens have to be found whole, with the same share of
+substitutions; those with fewer tokens than the longest mask have to be found
+whole and unchanged, by a hash of all their tokens, so an item of one common
+word matches each document that has it; rows with one doc_id count as one
 document, equal items are all reported; an empty table gives no matches.
 """
 
@@ -29,14 +31,14 @@ MASKS = ("1111011", "110010111")
 STRETCH = 13
 SUBSTITUTIONS = 2  # in a stretch
 MOST_BROADCAST = 250_000
-TOKEN_GAPS = r"[^\p{L}\p{N}]+"
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[\p{{L}}\p{{N}}&&[{UNSPACED}]]\p{{M}}*+|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]++"
 COLUMNS = ("doc_id", "item_id", "doc_start", "item_start", "n_tokens", "n_same")
 
 
 def token_hashes(text: Column) -> Column:
-    """Hashes of the lower-case words of letters and digits."""
-    words = F.filter(F.split(F.lower(text), TOKEN_GAPS), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Hashes of the lower-case words of letters and digits, and of single letters of ``UNSPACED`` scripts."""
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), lambda w: F.xxhash64(w))
 
 
 def seeds(rows: DataFrame, id_column: str, masks: Sequence[str] = MASKS) -> DataFrame:
@@ -54,15 +56,35 @@ def seeds(rows: DataFrame, id_column: str, masks: Sequence[str] = MASKS) -> Data
     return placed.select(id_column, "_at", F.explode(hashes).alias("_seed"))
 
 
+def windows(rows: DataFrame, id_column: str, sizes: Sequence[int]) -> DataFrame:
+    """``rows`` (id, _hashes) as (id, _at, _seed), a row for each run of tokens of one of ``sizes``."""
+    placed = rows.filter(F.size("_hashes") >= min(sizes)).select(
+        id_column, "_hashes", F.explode(F.sequence(F.lit(0), F.size("_hashes") - min(sizes))).alias("_at"))
+
+    def window(size: int) -> Column:
+        under = [F.get("_hashes", F.col("_at") + i) for i in range(size)]
+        return F.when(F.col("_at") + size <= F.size("_hashes"), F.xxhash64(F.lit(size), *under))
+
+    hashes = F.array_compact(F.array(*map(window, sizes)))
+    return placed.select(id_column, "_at", F.explode(hashes).alias("_seed"))
+
+
 def hits(docs: DataFrame, items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
     """Distinct (doc_id, item_id, _shift): item place 0 lies on document place ``_shift``."""
-    wanted = seeds(items, "item_id", masks).withColumnRenamed("_at", "_item_at")
-    if wanted.count() <= MOST_BROADCAST:
-        wanted = F.broadcast(wanted)
-    return (
-        seeds(docs, "doc_id", masks).join(wanted, "_seed")
-        .select("doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")).distinct()
-    )
+
+    def found(placed: DataFrame, wanted: DataFrame) -> DataFrame:
+        wanted = wanted.withColumnRenamed("_at", "_item_at")
+        if wanted.count() <= MOST_BROADCAST:
+            wanted = F.broadcast(wanted)
+        return placed.join(wanted, "_seed").select(
+            "doc_id", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift"))
+
+    both = found(seeds(docs, "doc_id", masks), seeds(items, "item_id", masks))
+    short = items.filter(F.size("_hashes").between(1, max(map(len, masks)) - 1))
+    for size in sorted(r[0] for r in short.select(F.size("_hashes")).distinct().collect()):
+        own = windows(short.filter(F.size("_hashes") == size), "item_id", [size])
+        both = both.union(found(windows(docs, "doc_id", [size]), own))
+    return both.distinct()
 
 
 def verified(pairs: DataFrame) -> DataFrame:
