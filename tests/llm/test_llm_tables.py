@@ -403,3 +403,14 @@ def test_short_items_and_scripts_without_blanks(spark):
                                      spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(1, 6)}
     assert all(r.n_same == r.n_tokens for r in got)
+
+
+def test_deep_tokens_and_long_rules(spark):
+    deep = ["http://a.b.c.d.e.net/x/y/casino/?q=u&r=u&s=u&t=bad"]
+    got = spark.createDataFrame([(u,) for u in deep], "url string").select(
+        urls.tokens(F.col("url"), *urls.host_and_path(F.col("url"))).alias("t")).first().t
+    assert {"host5:b", "host6:a", "path3:casino", "query:t=bad", "labels:6"} <= set(got)
+    five = list("abcde")
+    rows = [(five, "block")] * 30 + [([x for x in five if x != y], "allow") for y in five for _ in range(30)]
+    rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.9).collect()
+    assert [(r["items"], r.verdict) for r in rules] == [(five, "block")]

@@ -12,8 +12,8 @@ matched once for each distinct set of indexed tokens, and not one by one.
 Defined cases: a null URL or one without ``://`` has an empty host and path and
 no tokens, so no rule fits and it is allowed; with no labelled URLs nothing is
 mined and all the rest is allowed; ties between mined rules go to confidence,
-support, fewer tokens, then text order. Repeated rows are kept. A token list has
-a fixed number of places (see ``tokens``), so a long URL is no longer to mine.
+support, fewer tokens, then text order. Repeated rows are kept. All of a URL is
+tokens; FP-growth drops those below the support before it builds its trees.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ VERDICTS = ("allow", "block")
 DEFAULT = "allow"
 MIN_SUPPORT = 0.005  # of the labelled URLs
 MIN_CONFIDENCE = 0.9
-MOST_TOKENS = 4  # in a mined rule, without the verdict
 CLASS = "verdict="
 COLUMNS = ("host", "path", "rule", "verdict", "mined", "confidence")
 
@@ -63,39 +62,41 @@ def policy_rule(host: Column, path: Column, policy: Sequence[tuple[str, str]] =
 def tokens(url: Column, host: Column, path: Column) -> Column:
     """Distinct tokens of a URL, each marked with its place.
 
-    Scheme, four host labels from the right, number of host labels, two path
-    segments and the last one's extension, three query parameters, and whether
+    Scheme, host labels by place from the right, their number, path segments by
+    depth and the last one's extension, query parameters in any order, and whether
     there is a fragment. Runs of digits count as one digit.
     """
     labels = F.reverse(F.split(host, r"\."))
     segments = F.filter(F.split(F.regexp_replace(path, r"\d+", "0"), "/"), lambda s: s != "")
     query = F.split(F.regexp_replace(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1), r"\d+", "0"), "&")
-    at = lambda items, i: F.get(items, F.lit(i))
     marked = lambda mark, value: F.concat(F.lit(mark), F.nullif(value, F.lit("")))
-    found = F.array(
+    placed = lambda mark, items: F.transform(items, lambda v, i: F.concat(
+        F.lit(mark), (i + 1).cast("string"), F.lit(":"), F.nullif(v, F.lit(""))))
+    single = F.array(
         marked("scheme:", ascii_lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))),
-        *[marked(f"host{i + 1}:", at(labels, i)) for i in range(4)],
-        F.concat(F.lit("labels:"), F.least(F.size(labels), F.lit(5)).cast("string")),
-        *[marked(f"path{i + 1}:", at(segments, i)) for i in range(2)],
+        F.concat(F.lit("labels:"), F.size(labels).cast("string")),
         marked("ext:", F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1)),
-        *[marked("query:", at(query, i)) for i in range(3)],
         F.when(F.instr(url, "#") > 0, F.lit("fragment")),
     )
+    found = F.concat(single, placed("host", labels), placed("path", segments),
+                     F.transform(query, lambda q: marked("query:", q)))
     return F.when(host != "", F.array_distinct(F.array_compact(found))).otherwise(F.array().cast("array<string>"))
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         most_tokens: int = MOST_TOKENS) -> DataFrame:
+         most_tokens: int | None = None) -> DataFrame:
     """``labelled`` (tokens, verdict) as rules (rule_id, items, verdict, confidence, support).
 
     A rule goes if it is no surer than the same verdict without one of its tokens.
-    The number of rules is bounded by support, as a URL has 13 tokens at most.
+    Rules have any number of tokens unless ``most_tokens`` is given. Support bounds the
+    single tokens; tokens that are frequent together have a rule for each subset of them.
     """
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(CLASS), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules
-        .filter(F.startswith(F.element_at("consequent", 1), F.lit(CLASS)) & (F.size("antecedent") <= most_tokens))
+        .filter(F.startswith(F.element_at("consequent", 1), F.lit(CLASS)))
+        .filter(F.lit(True) if most_tokens is None else F.size("antecedent") <= most_tokens)
         .select(F.array_sort("antecedent").alias("items"),
                 F.expr(f"substring(consequent[0], {len(CLASS) + 1})").alias("verdict"), "confidence", "support")
     )
@@ -130,7 +131,7 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, min_support: float = MIN_SUPPORT,
-          min_confidence: float = MIN_CONFIDENCE, most_tokens: int = MOST_TOKENS) -> DataFrame:
+          min_confidence: float = MIN_CONFIDENCE, most_tokens: int | None = None) -> DataFrame:
     """``pages`` (url, ...) with host, path, policy rule, verdict, mined rule and its confidence."""
     pages = without(pages, *COLUMNS)
     host, path = host_and_path(F.col("url"))
@@ -141,7 +142,7 @@ def judge(pages: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, min_supp
     labelled = parsed.filter(F.col("_policy").isNotNull()).select(
         F.col("_tokens").alias("tokens"), F.col("_policy").alias("verdict"))
     rules = mine(labelled, min_support, min_confidence, most_tokens).persist()
-    # At most 13 / min_support tokens are frequent, so the index's vocabulary is bounded.
+    # At most (mean tokens of a URL) / min_support tokens are frequent, so the index's vocabulary is bounded.
     vocabulary = sorted(r[0] for r in rules.select(F.explode("items")).distinct().collect())
     indexed = F.array(*map(F.lit, vocabulary)).cast("array<string>")
     known = parsed.withColumn("_known", F.to_json(F.array_sort(F.array_intersect("_tokens", indexed))))
