@@ -56,17 +56,12 @@ def seeds(rows: DataFrame, id_column: str, masks: Sequence[str] = MASKS) -> Data
     return placed.select(id_column, "_at", F.explode(hashes).alias("_seed"))
 
 
-def windows(rows: DataFrame, id_column: str, sizes: Sequence[int]) -> DataFrame:
-    """``rows`` (id, _hashes) as (id, _at, _seed), a row for each run of tokens of one of ``sizes``."""
-    placed = rows.filter(F.size("_hashes") >= min(sizes)).select(
-        id_column, "_hashes", F.explode(F.sequence(F.lit(0), F.size("_hashes") - min(sizes))).alias("_at"))
-
-    def window(size: int) -> Column:
-        under = [F.get("_hashes", F.col("_at") + i) for i in range(size)]
-        return F.when(F.col("_at") + size <= F.size("_hashes"), F.xxhash64(F.lit(size), *under))
-
-    hashes = F.array_compact(F.array(*map(window, sizes)))
-    return placed.select(id_column, "_at", F.explode(hashes).alias("_seed"))
+def windows(rows: DataFrame, id_column: str, size: int) -> DataFrame:
+    """``rows`` (id, _hashes) as (id, _at, _seed), a row for each run of ``size`` tokens."""
+    placed = rows.filter(F.size("_hashes") >= size).select(
+        id_column, "_hashes", F.explode(F.sequence(F.lit(0), F.size("_hashes") - size)).alias("_at"))
+    under = [F.get("_hashes", F.col("_at") + i) for i in range(size)]
+    return placed.select(id_column, "_at", F.xxhash64(F.lit(size), *under).alias("_seed"))
 
 
 def hits(docs: DataFrame, items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
@@ -82,8 +77,8 @@ def hits(docs: DataFrame, items: DataFrame, masks: Sequence[str] = MASKS) -> Dat
     both = found(seeds(docs, "doc_id", masks), seeds(items, "item_id", masks))
     short = items.filter(F.size("_hashes").between(1, max(map(len, masks)) - 1))
     for size in sorted(r[0] for r in short.select(F.size("_hashes")).distinct().collect()):
-        own = windows(short.filter(F.size("_hashes") == size), "item_id", [size])
-        both = both.union(found(windows(docs, "doc_id", [size]), own))
+        own = windows(short.filter(F.size("_hashes") == size), "item_id", size)
+        both = both.union(found(windows(docs, "doc_id", size), own))
     return both.distinct()
 
 
