@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwatch.llm import cascade, decontaminate, fm, jaccard, langid, licenses, lm, mixing, pii, urls
+from tillwatch.llm import cascade, decontaminate, exact, fm, jaccard, langid, licenses, lm, mixing, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op10_join_ngrams(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.classes(table(spark, directory, "documents"))
 
 
+def op13_deduplicate(spark: SparkSession, directory: str) -> DataFrame:
+    return exact.classes(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pseudonymise": op1_pseudonymise,
     "op2_identify_language": op2_identify_language,
@@ -72,9 +76,11 @@ QUERIES: dict[str, Query] = {
     "op8_scan_licenses": op8_scan_licenses,
     "op9_filter_urls": op9_filter_urls,
     "op10_join_ngrams": op10_join_ngrams,
+    "op13_deduplicate": op13_deduplicate,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mix_sources": mixing.SQL,
     "op7_judge_quality": cascade.SQL,
+    "op13_deduplicate": exact.SQL,
 }
