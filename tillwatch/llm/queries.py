@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwatch.llm import cascade, decontaminate, exact, fm, jaccard, langid, licenses, lm, mixing, pii, urls
+from tillwatch.llm import cascade, decontaminate, exact, fm, jaccard, langid, licenses, lm, mixing, pii, repair, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op10_join_ngrams(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.classes(table(spark, directory, "documents"))
 
 
+def op12_repair_conversations(spark: SparkSession, directory: str) -> DataFrame:
+    conversations = table(spark, directory, "conversations")
+    return repair.report(repair.damaged(conversations), conversations)
+
+
 def op13_deduplicate(spark: SparkSession, directory: str) -> DataFrame:
     return exact.classes(table(spark, directory, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_scan_licenses": op8_scan_licenses,
     "op9_filter_urls": op9_filter_urls,
     "op10_join_ngrams": op10_join_ngrams,
+    "op12_repair_conversations": op12_repair_conversations,
     "op13_deduplicate": op13_deduplicate,
 }
 
