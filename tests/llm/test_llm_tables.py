@@ -17,7 +17,8 @@ from tillwatch.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, small, name):
     engine = duckdb.connect()
-    engine.sql(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    for name in ("documents", "benchmark"):
+        engine.sql(f"CREATE VIEW {name} AS SELECT * FROM '{small}/{name}.parquet'")
     df, relation = QUERIES[name](spark, small), engine.sql(ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(relation.columns)
     order = sorted(df.columns)

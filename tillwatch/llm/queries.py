@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwatch.llm import cascade, decontaminate, exact, fm, jaccard, langid, licenses, lm, mixing, pii, repair, urls
+from tillwatch.llm import cascade, decontaminate, exact, fm, jaccard, langid, licenses, lm, mixing, pii, repair, search, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op10_join_ngrams(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.classes(table(spark, directory, "documents"))
 
 
+def op11_rank_documents(spark: SparkSession, directory: str) -> DataFrame:
+    return search.search(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 def op12_repair_conversations(spark: SparkSession, directory: str) -> DataFrame:
     conversations = table(spark, directory, "conversations")
     return repair.report(repair.damaged(conversations), conversations)
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_scan_licenses": op8_scan_licenses,
     "op9_filter_urls": op9_filter_urls,
     "op10_join_ngrams": op10_join_ngrams,
+    "op11_rank_documents": op11_rank_documents,
     "op12_repair_conversations": op12_repair_conversations,
     "op13_deduplicate": op13_deduplicate,
 }
@@ -88,5 +93,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_mix_sources": mixing.SQL,
     "op7_judge_quality": cascade.SQL,
+    "op11_rank_documents": search.SQL,
     "op13_deduplicate": exact.SQL,
 }
