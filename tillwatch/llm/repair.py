@@ -100,13 +100,10 @@ def forward(elements: Sequence[Element], low: int, high: int, entry: int) -> tup
     costs[entry] = 0
     for i in range(low, high):
         step, ranks = elements[i]
-        found = []
-        for after in STATES:
-            found.append(min(
-                (costs[s] + step[s][after], order[s], ranks[s][after]) for s in STATES))
+        reached = [(costs[s], order[s], step[s], ranks[s]) for s in STATES if costs[s] < NEVER]
+        found = [min([(c + s[after], o, r[after]) for c, o, s, r in reached]) for after in STATES]
         costs = [min(f[0], NEVER) for f in found]
-        keys = sorted((f[0] >= NEVER, f[1:], after) for after, f in enumerate(found))
-        for place, (_, _, after) in enumerate(keys):
+        for place, after in enumerate(sorted(STATES, key=lambda s: (found[s][0] >= NEVER, found[s][1:]))):
             order[after] = place
     return costs, order
 
@@ -259,30 +256,35 @@ def pieces(rows: DataFrame, ranges: int | None = None) -> DataFrame:
         codes = bytearray()
         seen = 0
 
-        def piece(edge: bool) -> pa.RecordBatch:
-            costs, ranks = summed_up(bytes(codes)) if edge else ([], [])
-            made = [[part], [bytes(codes)], [edge], [sum(costs, [])], [sum(ranks, [])]]
+        def made(heads: pa.RecordBatch, ends: list[bytes], edges: list[bool]) -> pa.RecordBatch:
+            sums = [summed_up(c) if edge else ([], []) for c, edge in zip(ends, edges)]
+            added = [[part] * len(ends), ends, edges, [sum(c, []) for c, _ in sums], [sum(r, []) for _, r in sums]]
             kinds = [pa.int32(), pa.binary(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays(
-                [*head.columns, *[pa.array(m, k) for m, k in zip(made, kinds)]], names=schema.fieldNames())
+                [*heads.columns, *[pa.array(m, k) for m, k in zip(added, kinds)]], names=schema.fieldNames())
 
         for batch in batches:
             if not len(batch):
                 continue
             places = batch.select(key.fieldNames())
             own = batch.column("_code").to_numpy().astype(np.uint8).tobytes()
-            starts = [0, *(np.flatnonzero(differs(batch.column("conv_id"))) + 1).tolist()]
-            for start, end in zip(starts, [*starts[1:], len(batch)]):
-                fresh = head is None or not places.column(0)[start].equals(head.column(0)[0])
-                if fresh:
-                    if head is not None:
-                        yield piece(seen == 0)
-                        seen += 1
-                    # A copy, so that the batch can go.
-                    head, codes = pa.RecordBatch.from_pylist(places.slice(start, 1).to_pylist(), places.schema), bytearray()
-                codes += own[start:end]
+            borders = (np.flatnonzero(differs(batch.column("conv_id"))) + 1).tolist()
+            if head is not None and not places.column(0)[0].equals(head.column(0)[0]):
+                borders.insert(0, 0)
+            ended = [own[start:end] for start, end in zip([0, *borders], [*borders, len(own)])]
+            if head is None:
+                head = places.slice(0, 1)
+            codes += ended[0]
+            if borders:
+                ended[0] = bytes(codes)
+                starts = places.take(pa.array(borders))
+                yield made(head, ended[:1], [seen == 0])
+                if len(borders) > 1:
+                    yield made(starts.slice(0, len(borders) - 1), ended[1:-1], [False] * (len(borders) - 1))
+                seen += len(borders)
+                head, codes = starts.slice(len(borders) - 1), bytearray(ended[-1])
         if head is not None:
-            yield piece(True)
+            yield made(head, [bytes(codes)], [True])
 
     ordered = rows.repartitionByRange(*([ranges] if ranges else []), *ORDER).sortWithinPartitions(*ORDER)
     return ordered.select(*ORDER, "_code").mapInArrow(cut, schema)
