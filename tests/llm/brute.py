@@ -43,15 +43,15 @@ def near_copies(rows, threshold=0.8):
     return {i: (find(i), links[i]) for i in sets}
 
 
-def leaks(docs, items, stretch=13, substitutions=2, shortest=9):
-    """Pairs (doc_id, item_id) that agree on a stretch; all alignments."""
+def leaks(docs, items, stretch=13, substitutions=2, mask=9):
+    """Pairs (doc_id, item_id) that agree on a stretch; all alignments. Items shorter than the mask have to be unchanged."""
     found = set()
     for item, item_text in items:
         b = tokens(item_text)
-        if len(b) < shortest:
+        if not b:
             continue
         size = min(stretch, len(b))
-        need = size - size * substitutions // stretch
+        need = size - size * substitutions // stretch if len(b) >= mask else size
         for doc, text in docs:
             a = tokens(text)
             if not set(a) & set(b):

@@ -48,6 +48,10 @@ def test_leaks_against_all_alignments(spark, small):
         before, after = docs[k][1], docs[k + 30][1]
         part = " ".join(text.split(" ")[rng.randint(0, 8):])
         docs.append((10_000 + k, f"{before} {changed(part, 0.02 * (k % 10), rng)} {after}"))
+    for k, (_, text) in enumerate(items[:24]):
+        short = " ".join(text.split(" ")[:1 + k % 8])
+        items.append((500 + k, short))
+        docs += [(20_000 + k, f"{docs[k][1]} {changed(short, 0.1 * (k % 3), rng)}"), (30_000 + k, short.upper())]
     got = decontaminate.contaminated(
         spark.createDataFrame(docs, "doc_id long, text string"),
         spark.createDataFrame(items, "item_id long, text string")).collect()
@@ -55,6 +59,17 @@ def test_leaks_against_all_alignments(spark, small):
     assert len(got) > 20 and all(r.n_same <= r.n_tokens for r in got)
 
 
+def test_rows_that_share_an_id_are_judged_alone(spark):
+    text = "these are the fifteen words of an item that some document has copied as a whole"
+    docs = spark.createDataFrame(
+        [(i, f"row {n} has nothing of it") for n in range(30) for i in (None, 7)] + [(None, f"so {text}"), (7, text)],
+        "doc_id long, text string")
+    bench = spark.createDataFrame([(1, text), (None, text)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()), key=repr)
+    assert got == sorted([(None, 1), (None, None), (7, 1), (7, None)], key=repr)
+    assert decontaminate.clean(docs, bench).count() == 60
+
+
 def test_leaks_without_broadcast(spark, small, monkeypatch):
     tables = [spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark")]
     before = sorted(map(tuple, decontaminate.contaminated(*tables).collect()))
