@@ -17,8 +17,8 @@ from tillwatch.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, small, name):
     engine = duckdb.connect()
-    for name in ("documents", "benchmark"):
-        engine.sql(f"CREATE VIEW {name} AS SELECT * FROM '{small}/{name}.parquet'")
+    for view in ("documents", "benchmark"):
+        engine.sql(f"CREATE VIEW {view} AS SELECT * FROM '{small}/{view}.parquet'")
     df, relation = QUERIES[name](spark, small), engine.sql(ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(relation.columns)
     order = sorted(df.columns)
@@ -231,29 +231,36 @@ def test_ranges_are_even_for_all_weights(spark):
     docs = spark.range(20_000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "word").otherwise("#### word").alias("text"),
         F.lit("all").alias("source"))
-    keyed = mixing.keyed(docs, mixing.SEED, 20).groupBy("_range").count().toPandas()
+    keyed = mixing.keyed(docs, mixing.SEED, 20, ["doc_id"]).groupBy("_range").count().toPandas()
     assert len(keyed) == 20 and keyed["count"].max() < 3 * 1000
 
 
-def test_mix_takes_smallest_keys_and_fills_the_rest(spark):
+def test_mix_takes_smallest_keys_and_one_more(spark):
     rng = random.Random(8)
     rows = [(i, "word " * rng.choice([1, 3, 10, 40, 200]), f"s{i % 3}") for i in range(300)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    keyed = got.withColumn("draw", -F.ln(mixing.unit_hash(F.col("doc_id"), mixing.SEED))).toPandas()
+    name = F.concat("doc_id", F.lit(":"), F.md5("text"))
+    keyed = got.withColumn("draw", -F.ln(mixing.unit_hash(name, mixing.SEED))).toPandas()
     for _, g in keyed.groupby("source"):
         passes, g = g.target.iloc[0] // g.source_size.iloc[0], g.sort_values("draw")
-        rest, skips, drawn = g.target.iloc[0] - passes * g.source_size.iloc[0], 0, []
-        for size in g["size"]:
-            fits = size <= rest if skips < mixing.SKIPS else size / 2 <= rest
-            drawn.append(fits)
-            if fits:
-                rest -= size
-            elif rest > 0:
-                skips += 1
-            if skips > mixing.SKIPS or rest <= 0:
-                break
-        drawn += [False] * (len(g) - len(drawn))
-        assert (g.taken == g["size"] * (passes + np.array(drawn))).all()
+        rest = g.target.iloc[0] - passes * g.source_size.iloc[0]
+        drawn = (g["size"].cumsum() <= rest).values
+        left, sizes = rest - g["size"][drawn].sum(), g["size"].where(~drawn)
+        best = (sizes - left).abs()
+        if best.min() < left:
+            drawn[np.flatnonzero(best == best.min())[0]] = True
+        assert (g.taken == g["size"] * (passes + drawn)).all()
+
+
+@pytest.mark.parametrize("sources", [3, 300, 2000])
+def test_every_source_comes_near_its_target(spark, sources):
+    docs = spark.range(12_000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("s"), F.col("id") % sources).alias("source"),
+        F.repeat(F.lit("word "), (F.pmod(F.xxhash64("id"), F.lit(9)) ** 4 + 1).cast("int")).alias("text"))
+    got = mixing.mix(docs, carried=["source"], ranges=40).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).toPandas()
+    off = (got.taken - got.target).abs()
+    assert len(got) == sources and (off <= got.most / 2).all() and off.mean() < 0.05 * got.target.mean()
 
 
 def filled(sizes, weights, total):

@@ -6,17 +6,21 @@ drawn without replacement with probability by quality weight: each document
 has an exponential key, -ln(u) / weight, and the smallest keys come first.
 
 No task holds a source. The keys are cut into ranges by the number of documents;
-words are summed for each source and range, the sums are added up along the
-ranges, and only the documents of one range of one source are sorted together.
+words are summed for each source and range, and the sums are added up along the
+ranges. What lies in ranges before the one in which a budget ends is drawn, what
+lies behind is not, and only the documents of that one range are sorted, which
+gives the last key that is drawn. So texts are read once and never shuffled.
 
-Documents are taken whole. One that is longer than what is left of the budget is
-skipped, up to ``SKIPS`` times, and later ones of its range fill the rest; the
-last one is taken if at least half of it fits.
+Documents are taken whole, the drawn ones as long as they fit. One more is taken,
+the one whose size is nearest to what is left of the budget, if that brings the
+source nearer to its target. The first that did not fit is among those to choose
+from, so a source misses its target by no more than half of that document.
 
 Defined cases: null and empty texts have no words, and none are taken; a null
-source is a source of its own, last in order; rows with one doc_id share their
-key and are ordered by size; equal rows are interchangeable; an empty table
-gives an empty mix. Input columns with the name of a result column are replaced.
+source is a source of its own, last in order; keys are made of identifier and
+text, so rows that share one of them are drawn apart; equal rows share their key
+and are told apart by their place; an empty table gives an empty mix. Input
+columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -25,14 +29,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwatch.llm.shared import unit_hash, without, word_count
+from tillwatch.llm.shared import staged, unit_hash, without, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5  # of all words
 MOST_PASSES = 2.0
 ROWS_IN_RANGE = 5_000  # of all sources together
 RANGE_WEIGHTS = (1.0, 0.3, 0.1)  # ranges are even for documents of about these weights
-SKIPS = 2
 SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.1
 SEED = "mix"
@@ -74,45 +77,59 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return levels.select("_key", "source_size", target.alias("target"))
 
 
-def keyed(docs: DataFrame, seed: str, ranges: int) -> DataFrame:
-    """``docs`` with words, source key, exponential key and the key's range, which rises with the key."""
+def keyed(docs: DataFrame, seed: str, ranges: int, carried: Sequence[str]) -> DataFrame:
+    """``carried`` columns of ``docs`` with words, source key, exponential key and its range, which rises with the key."""
     place = sum((F.lit(1.0) - F.exp(-F.col("_draw") * w) for w in RANGE_WEIGHTS), F.lit(0.0)) / len(RANGE_WEIGHTS)
-    return (
-        docs.withColumn("size", word_count(F.col("text")))
-        .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("x")))  # null sorts last
-        .withColumn("_draw", -F.ln(unit_hash(F.col("doc_id"), seed)) / quality_weight(F.col("text")))
-        .withColumn("_range", F.floor(place * ranges).cast("int"))
-    )
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit(""))))
+    made = docs.select(
+        *dict.fromkeys([*carried, "doc_id"]), word_count(F.col("text")).alias("size"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("x")).alias("_key"),  # null sorts last
+        (-F.ln(unit_hash(name, seed)) / quality_weight(F.col("text"))).alias("_draw"))
+    return made.withColumns({
+        "_range": F.floor(place * ranges).cast("int"), "_place": F.monotonically_increasing_id()})
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most_passes: float = MOST_PASSES,
-        seed: str = SEED, ranges: int | None = None) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target`` and ``taken`` words."""
+        seed: str = SEED, ranges: int | None = None, carried: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target`` and ``taken`` words.
+
+    ``carried`` are the columns of ``docs`` in the result, by default all of them.
+    """
     docs = without(docs, *COLUMNS)
+    carried = docs.columns if carried is None else list(carried)
     ranges = ranges or max(1, -(-docs.count() // ROWS_IN_RANGE))
-    rows = keyed(docs, seed, ranges)
+    rows = staged(keyed(docs, seed, ranges, carried), "keyed")
     sums = rows.groupBy("_key", "_range").agg(F.sum("size").alias("_words"))
-    along = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("_start", F.coalesce(F.sum("_words").over(along), F.lit(0))).drop("_words")
     sizes = sums.groupBy("_key").agg(F.sum("_words").alias("source_size"))
-    plan = starts.join(targets(sizes, weights, share, most_passes), "_key")
-
-    together = Window.partitionBy("_key", "_range")
-    inside = together.orderBy("_draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     passes = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    placed = rows.join(plan, ["_key", "_range"]).withColumns({
-        "_passes": passes, "_rest": F.col("target") - passes * F.col("source_size"), "_after": F.lit(True),
-        "_drawn": F.lit(False), "_start": F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))})
-    size, start, rest, after = F.col("size"), F.col("_start"), F.col("_rest"), F.col("_after")
-    for skips in range(SKIPS + 1):
-        # ``_start`` counts what is taken before a document, if it comes after all that were skipped.
-        fits = start + (size if skips < SKIPS else size / 2.0) <= rest
-        skipped = F.max(F.when(after & (start < rest) & ~fits, size)).over(together)
-        placed = placed.withColumns({
-            "_drawn": F.col("_drawn") | (after & fits), "_after": after & (start >= rest) & skipped.isNotNull(),
-            "_start": start - F.coalesce(skipped, F.lit(0))})
-    taken = (size * (F.col("_passes") + F.col("_drawn").cast("long"))).cast("long")
-    return placed.withColumn("taken", taken).select(*docs.columns, *COLUMNS)
+    plan = targets(sizes, weights, share, most_passes).withColumn("_passes", passes).withColumn(
+        "_rest", F.col("target") - F.col("_passes") * F.col("source_size"))
+
+    # The range of each source in which its budget ends.
+    along = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_words").over(along), F.lit(0))).join(plan, "_key")
+    ends = starts.filter(F.col("_start") <= F.col("_rest")).groupBy("_key").agg(
+        F.max_by(F.struct("_range", "_start", "_rest"), "_range").alias("_end")).select("_key", "_end.*")
+
+    # The last key that is drawn there, and what is then left.
+    own = rows.select("_key", "_range", "doc_id", "size", "_draw", "_place").join(ends, ["_key", "_range"])
+    order = ["_draw", "doc_id", "size", "_place"]
+    inside = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    drawn = own.withColumn("_upto", F.col("_start") + F.sum("size").over(inside)).filter("_upto <= _rest")
+    cuts = drawn.groupBy("_key").agg(F.max(F.struct(*order)).alias("_cut"), F.max("_upto").alias("_upto"))
+    # A row for each source; staged, so that its plan is not repeated in that of the texts.
+    cut = staged(plan.join(ends.drop("_rest"), "_key", "left").join(cuts, "_key", "left").select(
+        "_key", "source_size", "target", "_passes", F.col("_range").alias("_end"), "_cut",
+        (F.col("_rest") - F.coalesce("_upto", "_start")).alias("_left")), "mix_cuts")
+
+    is_drawn = (F.col("_range") < F.col("_end")) | (
+        (F.col("_range") == F.col("_end")) & F.coalesce(F.struct(*order) <= F.col("_cut"), F.lit(False)))
+    missed = F.abs(F.col("_left") - F.col("size"))
+    others = rows.join(cut, "_key").filter(~is_drawn & (missed < F.col("_left")))
+    nearest = others.groupBy("_key").agg(F.min(F.struct(missed.alias("_missed"), *order)).alias("_nearest"))
+    decided = staged(cut.join(nearest.select("_key", F.col("_nearest._place").alias("_one_more")), "_key", "left"), "mix_plan")
+    times = F.col("_passes") + F.coalesce(is_drawn | F.col("_place").eqNullSafe(F.col("_one_more")), F.lit(False)).cast("long")
+    return rows.join(decided, "_key").withColumn("taken", (F.col("size") * times).cast("long")).select(*carried, *COLUMNS)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
@@ -125,8 +142,8 @@ def repeated(mixed: DataFrame) -> DataFrame:
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-    -ln((('0x' || substr(md5(coalesce(cast(doc_id AS varchar), '') || ':mix'), 1, 13))::BIGINT + 0.5::DOUBLE)
-        / 4503599627370496::DOUBLE)
+    -ln((('0x' || substr(md5(coalesce(cast(doc_id AS varchar), '') || ':' || md5(coalesce(text, '')) || ':mix'), 1, 13))::BIGINT
+        + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
     / (1.0::DOUBLE - coalesce(least(1.0::DOUBLE, 5.0::DOUBLE
         * (length(text) - length(translate(text, '#*$%&|<>', ''))) / nullif(length(text), 0)), 0.0::DOUBLE)
         * 0.9::DOUBLE) AS draw
@@ -148,22 +165,16 @@ targets AS (
     ELSE weight * max(CASE WHEN cap / weight > level THEN level END) OVER () END AS target
   FROM levels),
 placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
-    floor((3.0::DOUBLE - exp(-d.draw) - exp(-d.draw * 0.3::DOUBLE) - exp(-d.draw * 0.1::DOUBLE)) / 3.0::DOUBLE
-      * ceil((SELECT count(*) FROM documents) / 5000.0::DOUBLE)) AS range,
-    coalesce(floor(t.target / nullif(t.source_size, 0)), 0) AS passes,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  SELECT d.doc_id, d.source, d.draw, d.size, t.source_size, t.target, coalesce(floor(t.target / nullif(t.source_size, 0)), 0) AS passes,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
-l0 AS (SELECT *, target - passes * source_size AS rest, start + size <= target - passes * source_size AS d0 FROM placed),
-s0 AS (SELECT *, max(CASE WHEN start < rest AND NOT d0 THEN size END) OVER (PARTITION BY source, range) AS c0 FROM l0),
-l1 AS (SELECT *, start >= rest AND c0 IS NOT NULL AS a1, start - coalesce(c0, 0) AS b1 FROM s0),
-s1 AS (
-  SELECT *, max(CASE WHEN a1 AND b1 < rest AND b1 + size > rest THEN size END) OVER (PARTITION BY source, range) AS c1
-  FROM l1),
-l2 AS (SELECT *, a1 AND b1 >= rest AND c1 IS NOT NULL AS a2, b1 - coalesce(c1, 0) AS b2 FROM s1)
+drawn AS (SELECT *, target - passes * source_size AS rest, upto <= target - passes * source_size AS fits FROM placed),
+lefts AS (SELECT *, rest - coalesce(max(CASE WHEN fits THEN upto END) OVER (PARTITION BY source), 0) AS rem FROM drawn),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY source, fits ORDER BY abs(rem - size), draw, doc_id, size) = 1
+    AND NOT fits AND abs(rem - size) < rem AS one_more
+  FROM lefts)
 SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
-  cast(size * (passes + CASE WHEN d0 OR a1 AND b1 + size <= rest OR a2 AND b2 + size / 2.0 <= rest THEN 1 ELSE 0 END)
-    AS bigint) AS taken
-FROM l2
+  cast(size * (passes + CASE WHEN fits OR one_more THEN 1 ELSE 0 END) AS bigint) AS taken
+FROM nearest
 """

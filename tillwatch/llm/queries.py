@@ -31,7 +31,7 @@ def op3_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
-    return mixing.mix(table(spark, directory, "documents")).select("doc_id", *mixing.COLUMNS)
+    return mixing.mix(table(spark, directory, "documents"), carried=["doc_id"])
 
 
 def op5_score_likelihood(spark: SparkSession, directory: str) -> DataFrame:
