@@ -45,7 +45,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     if "n_chars" in docs.columns:
         length = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
         replaced = replaced.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return replaced.select(*docs.columns)
+    return staged(replaced.select(*docs.columns), "pseudonyms")  # its plan is long; nothing after it repeats it
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
