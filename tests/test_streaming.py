@@ -441,3 +441,19 @@ def test_arguments_need_a_source():
     cfg = app.stream_config(app.arguments(["--root", "x", "--servers", "h:1", "--max-per-trigger", "5"]))
     assert cfg.source == "kafka" and set(cfg.locations.values()) == {"h:1"}
     assert cfg.reader_options == {"maxOffsetsPerTrigger": "5"}
+
+
+def test_nothing_stays_cached_after_ten_batches(spark, inputs, tmp_path):
+    cfg = config(inputs, tmp_path / "app", deduplicate_within="1 day")
+    run_entities(spark, cfg)
+    raw = topics.decode(
+        topics.read_messages(spark, S.TXN_TOPIC, source="files", location=str(inputs / S.TXN_TOPIC), streaming=False),
+        S.TXN_SCHEMA, raw=True)
+    clean = cleaning.clean_transactions(handlers.tag_before_cleaning(raw))
+    spark.catalog.clearCache()
+    handle = handlers.transaction_handler(cfg, **RULES)
+    for batch_id in range(10):
+        handle(clean.filter(F.abs(F.hash("value")) % 10 == batch_id), batch_id)
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    assert len(numbered_directories(spark, cfg.points.path, "batch_id")) == 10

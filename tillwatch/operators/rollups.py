@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillwatch import schemas as S
 from tillwatch.functions import features as X
@@ -10,6 +11,7 @@ from tillwatch.functions.cleaners import banded
 from tillwatch.operators.enrich import UNKNOWN_CATEGORY, category_of_row
 from tillwatch.operators.latest import instant
 from tillwatch.operators.validation import flagged_only
+from tillwatch.sources.static import local_table
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "count": F.count, "avg": F.avg}
 
@@ -38,13 +40,34 @@ def _as_points(totals: DataFrame, ts: Column, *carried: str) -> DataFrame:
     return totals.select(*carried, ts.alias("ts"), F.inline(pairs)).select("series", "ts", "value", *carried)
 
 
-def batch_totals(scored: DataFrame, probability: str = "fraud_probability") -> DataFrame:
-    """All that is reported of a batch as a whole, in one pass and one row: totals, score buckets, last transaction."""
+def _batch_totals(probability: str) -> list[Column]:
     bucket = score_bucket(F.col(probability))
     last = F.max_by(F.struct("event_ts", "event_id", "amount_minor"), F.struct(instant("event_ts"), "event_id"))
-    return scored.agg(
-        *_txn_totals(), last.alias("last"),
-        *[F.count_if(bucket == i).alias(f"bucket_{i}") for i in range(S.SCORE_BUCKETS)])
+    return [*_txn_totals(), last.alias("last"),
+            *[F.count_if(bucket == i).alias(f"bucket_{i}") for i in range(S.SCORE_BUCKETS)]]
+
+
+def batch_totals(scored: DataFrame, probability: str = "fraud_probability") -> DataFrame:
+    """All that is reported of a batch as a whole, in one pass and one row: totals, score buckets, last transaction."""
+    return scored.agg(*_batch_totals(probability))
+
+
+def observed(scored: DataFrame, metrics: Observation, probability: str = "fraud_probability") -> DataFrame:
+    """``scored``, whose totals are taken by the first action that reads all of it."""
+    return scored.observe(metrics, *_batch_totals(probability))
+
+
+def observed_totals(spark: SparkSession, metrics: Observation) -> DataFrame:
+    """What ``batch_totals`` gives, from metrics that an action has taken; one row."""
+    values = metrics.get
+    last = values["last"]
+    fields = [StructField(name, LongType()) for name in (S.SERIES_COUNT, S.SERIES_PREDICTED, S.SERIES_AMOUNT)]
+    buckets = [StructField(f"bucket_{i}", LongType()) for i in range(S.SCORE_BUCKETS)]
+    own = [StructField("event_ts", StringType()), StructField("event_id", StringType()), StructField("amount_minor", LongType())]
+    row = local_table(
+        spark, [(*[values[f.name] for f in [*fields, *buckets]], *([None] * 3 if last is None else last))],
+        StructType([*fields, *buckets, *own]))
+    return row.select(*[f"`{f.name}`" for f in [*fields, *buckets]], F.struct(*[f.name for f in own]).alias("last"))
 
 
 def batch_points(scored: DataFrame, ts: Column, *carried: str, totals: DataFrame | None = None) -> DataFrame:

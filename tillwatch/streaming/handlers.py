@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tillwatch import schemas as S
@@ -43,14 +43,19 @@ def _distinct(batch: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def score_batch(
-    batch: DataFrame, config: StreamConfig, scorer: flows.Scorer, columns: dict[str, list[str]] | None
+    batch: DataFrame, config: StreamConfig, scorer: flows.Scorer, columns: dict[str, list[str]] | None,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
-    """The batch with its entities as of now, scored."""
+    """The batch with its entities as of now, scored.
+
+    Cards are kept in memory for the join and for the ids of the users if the
+    caller gives a list to put them in, and unpersists what is in it.
+    """
     spark = batch.sparkSession
     wanted = columns or {}
-    # Read once, for the join and for the ids of the users.
-    cards = config.cards.latest(spark, _distinct(batch, "card_ref", "card_ref"), wanted.get("cards")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    cards = config.cards.latest(spark, _distinct(batch, "card_ref", "card_ref"), wanted.get("cards"))
+    if held is not None:
+        held.append(cards.persist(StorageLevel.MEMORY_AND_DISK))
     users = config.users.latest(spark, _distinct(cards, "party_id", "party_id"), wanted.get("users"))
     merchants = config.merchants.latest(spark, _distinct(batch, "merchant_ref", "merchant_id"), wanted.get("merchants"))
     return scorer(enrich(batch, cards, users, merchants))
@@ -61,13 +66,22 @@ def batch_counters(scored: DataFrame) -> DataFrame:
     values = {"category": category_of_row(), "channel": F.coalesce(F.col("channel_code"), F.lit(UNKNOWN_CATEGORY))}
     flagged = flagged_only(scored).select(
         F.to_date("trans_date_trans_time").alias("_date"), *[value.alias(name) for name, value in values.items()])
-    both = flagged.groupBy("_date", *values).agg(F.count("*").alias("_n"))
-    pairs = F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value")) for name in values])
-    counts = both.select("_date", "_n", F.inline(pairs)).groupBy("_date", "dimension", "value").agg(
-        F.sum("_n").alias("n"))
+    counts = _by_dimension(flagged, "_date")
     return counts.select(day_key(F.col("_date")).alias("day"), "dimension", "value", "n")
 
 
+def alert_counters(alerts: DataFrame) -> DataFrame:
+    """The same from the alerts that a batch has written."""
+    return _by_dimension(alerts, "day")
+
+
+def _by_dimension(flagged: DataFrame, day: str) -> DataFrame:
+    names = ("category", "channel")
+    both = flagged.groupBy(day, *names).agg(F.count("*").alias("_n"))
+    pairs = F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value")) for name in names])
+    return both.select(day, "_n", F.inline(pairs)).groupBy(day, "dimension", "value").agg(F.sum("_n").alias("n"))
+
+
 def daily_counters(counters: DataFrame) -> DataFrame:
     """Totals over the batches' partial counts."""
     return counters.groupBy("day", "dimension", "value").agg(F.sum("n").alias("n"))
@@ -111,7 +125,7 @@ def transaction_handler(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        scored = totals = None
+        held, spark = [batch], batch.sparkSession
         try:
             if batch.isEmpty():
                 return
@@ -126,16 +140,20 @@ def transaction_handler(
                 seen = config.seen.read(batch.sparkSession).filter(F.col("batch_id") < batch_id)
                 fresh = unseen(accepted.filter(with_id), seen, config.deduplicate_within)
                 accepted = fresh.unionByName(accepted.filter(~with_id))
-            scored = score_batch(accepted.drop("is_valid", "missing", "value"), config, score, columns).select(*REPORTED)
-            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+            scored = score_batch(
+                accepted.drop("is_valid", "missing", "value"), config, score, columns, held).select(*REPORTED)
+            if config.deduplicate_within:
+                held.append(scored.persist(StorageLevel.MEMORY_AND_DISK))  # read for the alerts and for the event ids
 
+            # The totals are taken by the pass that writes the alerts; nothing else reads the scored rows.
+            metrics = Observation(f"batch {batch_id}")
             day = day_key(F.col("trans_date_trans_time")).alias("day")
-            config.alerts.write(rollups.alerts(scored, day), batch_id)
-            config.counters.write(batch_counters(scored), batch_id)
+            config.alerts.write(rollups.alerts(rollups.observed(scored, metrics), day), batch_id)
+            config.counters.write(alert_counters(config.alerts.read_batch(spark, batch_id)), batch_id)
             if config.deduplicate_within:
                 ids = scored.select("event_id", F.col("trans_date_trans_time").alias("event_time"))
                 config.seen.write(ids.filter("event_id IS NOT NULL"), batch_id)
-            totals = rollups.batch_totals(scored).persist()  # one row, read by two writes
+            totals = rollups.observed_totals(spark, metrics)
             amount = (F.col("last.amount_minor") / 100.0).alias("latest_transaction_amount")
             config.latest.write(totals.select("last.event_ts", "last.event_id", amount), batch_id)
             try:
@@ -147,9 +165,8 @@ def transaction_handler(
             except Exception:
                 log.exception("batch %s: series points were not written", batch_id)
         finally:
-            for held in (totals, scored, batch):
-                if held is not None:
-                    held.unpersist()
+            for df in held:
+                df.unpersist()
 
     return handle
 

@@ -76,6 +76,10 @@ class BatchTable:
         columns = df.select(*self.schema.fieldNames())
         columns.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
+    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What one batch has written."""
+        return spark.read.schema(self.schema).parquet(f"{self.path}/{BATCH}={batch_id}")
+
     def snapshots(self, spark: SparkSession) -> list[int]:
         return numbered_directories(spark, self.snapshot_path, "upto") if self.snapshot_path else []
 
