@@ -86,12 +86,20 @@ def fit_ensemble(
         estimator.setRawPredictionCol(f"{name}_raw")
         estimator.setPredictionCol(f"{name}_prediction")
     try:
-        members = {name: Pipeline(stages=[est]).fit(prepared) for name, est in estimators.items()}
+        members = {name: _without_summary(Pipeline(stages=[est]).fit(prepared)) for name, est in estimators.items()}
     finally:
         prepared.unpersist()
     return Ensemble(preprocessor, members)
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """Drop the training summaries: they hold the session, which tasks cannot be sent once it has observed metrics."""
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     """Load a saved ensemble; the same objects again in this process, until it is saved anew."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MEMBERS[-1]}/metadata")

@@ -702,3 +702,9 @@ s AS (
       (1 / (1 + exp(-(coalesce(amount_major, 0) * 0.004 + coalesce(risk_score_merchant, 0) * 0.5 - 2.0)))
       + 1 / (1 + exp(-(risk_score_online * 2.2 - 1.0)))) / 2 AS p FROM j))"""], SCORED_SELECT),
 }
+
+
+# The SQL of the queries in ``live``.
+from tillwatch.plans import live_oracle  # noqa: E402
+
+ORACLE_SQL |= live_oracle.SQL

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillwatch import schemas as S
 from tillwatch.functions import features as X
@@ -17,24 +15,10 @@ from tillwatch.operators.latest import instant, latest_by_key
 from tillwatch.plans import flows
 from tillwatch.plans.dataset import Dataset
 from tillwatch.plans.panels import panels
-from tillwatch.session import apply_runtime_conf
+from tillwatch.plans.registry import QUERIES, query  # noqa: F401
 from tillwatch.sources import static, tables, topics
 from tillwatch.streaming import handlers
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def query(fn: Callable[[Dataset], DataFrame]) -> Callable[[Dataset], DataFrame]:
-    """Register a query over a dataset under its function name, in a UTC session."""
-
-    def run(spark: SparkSession, directory: str) -> DataFrame:
-        return fn(Dataset(apply_runtime_conf(spark), directory))
-
-    QUERIES[fn.__name__] = run
-    return fn
-
-
 def _ntz(name: str):
     return F.col(name).cast("timestamp_ntz").alias(name)
 
@@ -737,3 +721,7 @@ def opaque_flow_score(d: Dataset) -> DataFrame:
     scored = flows.score_transactions(d.event_txns(), *d.entities(columns), scorer=scorer)
     return scored.select(
         "event_id", rounded(F.col("fraud_probability"), 6).alias("fraud_probability"), "predicted_fraud")
+
+
+# Registered beside these; they use some of the helpers above.
+from tillwatch.plans import live  # noqa: E402,F401

@@ -80,6 +80,10 @@ class BatchTable:
         """What one batch has written."""
         return spark.read.schema(self.schema).parquet(f"{self.path}/{BATCH}={batch_id}")
 
+    def tried(self, spark: SparkSession) -> bool:
+        """Whether anything was ever written."""
+        return path_exists(spark, self.path)
+
     def snapshots(self, spark: SparkSession) -> list[int]:
         return numbered_directories(spark, self.snapshot_path, "upto") if self.snapshot_path else []
 
