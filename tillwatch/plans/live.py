@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tillwatch import schemas as S
-from tillwatch.operators import rollups
+from tillwatch.operators import corrections as C, dyadic, enrich as E, rollups
+from tillwatch.operators.joins import asof_lookup, lookup
 from tillwatch.plans import queries as base
 from tillwatch.plans.dataset import Dataset
 from tillwatch.plans.registry import query
-from tillwatch.sources import tables, topics
+from tillwatch.sources import bucketed, tables, topics
 from tillwatch.sources.workspace import new_folder, written
 from tillwatch.streaming import handlers, queries as streams, state
 from tillwatch.streaming.config import StreamConfig
+from tillwatch.streaming.series import SeriesStore
 from tillwatch.streaming.stores import BatchTable
 
 
@@ -97,3 +101,96 @@ def counters_after_failure(d: Dataset) -> DataFrame:
     except StreamingQueryException:
         streams.wait({S.TXN_TOPIC: streams.start_transactions(d.spark, config)}, poll_seconds=0.1)
     return handlers.daily_counters(config.counters.read(d.spark))
+
+
+# ------------------------------------------------------------------ corrections
+@query
+def asof_corrected(d: Dataset) -> DataFrame:
+    """Lines with the card version in force, a tenth of the versions known only after a first result."""
+    txns = d.line_txns().select("event_id", "card_ref", "ts", "amount_minor")
+    stored = new_folder(d.spark, "facts")
+    months = txns.withColumn(C.BUCKET, F.date_trunc("month", "ts"))
+    months.repartition(C.BUCKET).write.partitionBy(C.BUCKET).parquet(stored)
+    facts = d.spark.read.parquet(stored).withColumn(C.BUCKET, F.col(C.BUCKET).cast("timestamp"))
+    versions = d.card_versions().select(
+        "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor")
+    is_late = F.pmod(F.xxhash64("card_event_id"), F.lit(10)) == 0
+    known, late = versions.filter(~is_late), versions.filter(is_late)
+    keys = d.line_keys()["card_ref"]
+    first = written(asof_lookup(
+        facts.drop(C.BUCKET), known, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month", skew_from=keys), "first")
+    changed = written(C.changed_intervals(known, late, "card_ref", "valid_from", ["card_event_id"]), "changed")
+    named = C.changed_partitions(changed, "card_ref", "month", facts.agg(F.max("ts")))
+    near = facts.filter(F.col(C.BUCKET).isin(named)) if named else facts.limit(0)
+    again = written(C.corrections(near, changed, "card_ref", "ts").withColumnRenamed(C.FROM, "valid_from"), "corrections")
+    return first.join(again.select("event_id"), "event_id", "left_anti").unionByName(again)
+
+
+# --------------------------------------------------------------------- buckets
+BUCKETS = 8
+
+
+@query
+def enrich_txn_bucketed(d: Dataset) -> DataFrame:
+    """The lookups from tables in buckets by key: the entities are written once, and not shuffled again."""
+    txns = d.event_txns()
+    cards, users, merchants = d.entities()
+    found = {"card_found": F.lit(True), "user_found": F.lit(True), "merchant_found": F.lit(True)}
+    # A card's user is joined when the card is written; columns of the transaction or the nearer entity win.
+    cards = cards.withColumn("card_found", found["card_found"]).drop(*E.ORDER_COLUMNS)
+    users = users.withColumn("user_found", found["user_found"]).drop(*E.ORDER_COLUMNS)
+    users = users.drop(*[c for c in users.columns if c in cards.columns and c != "party_id"])
+    holders = lookup(cards, users, "party_id")
+    merchants = merchants.withColumn("merchant_found", found["merchant_found"]).drop(*E.ORDER_COLUMNS)
+    merchants = merchants.withColumnRenamed("merchant_id", "merchant_ref")
+    held = {"card_ref": holders, "merchant_ref": merchants}
+    out = txns
+    for key, entity in held.items():
+        entity = entity.drop(*[c for c in entity.columns if c in out.columns and c != key])
+        table = bucketed.write_bucketed(entity, key, BUCKETS, key)
+        out = bucketed.join_bucketed(out, d.spark, table, key)
+    flags = {name: F.coalesce(name, F.lit(False)) for name in found}
+    return out.withColumns(flags).select(*base._enriched_columns())
+
+
+# ---------------------------------------------------------------------- series
+def _series_store(d: Dataset) -> SeriesStore:
+    """The points of the scored events, the days in two batches, the second of them written twice."""
+    store = SeriesStore(new_folder(d.spark, "series"))
+    points = written(base._points(d), "points")
+    even = F.datediff(F.col("ts"), F.lit("1970-01-01")) % 2 == 0
+    for batch_id, part in ((0, points.filter(even)), (1, points.filter(~even)), (1, points.filter(~even))):
+        store.write(part, batch_id)
+    return store
+
+
+@query
+def stored_series_range(d: Dataset) -> DataFrame:
+    """A day and a half of one stored series."""
+    store = _series_store(d)
+    first = store.read(d.spark).agg(F.min("ts")).first()[0]
+    rows = store.read(d.spark, S.SERIES_AMOUNT, first + timedelta(hours=36), first + timedelta(hours=72))
+    return rows.select("ts", "value")
+
+
+@query
+def stored_retention(d: Dataset) -> DataFrame:
+    """Stored series after the hours out of retention were dropped."""
+    store = _series_store(d)
+    store.retain(d.spark, S.SERIES_RETENTION_MS)
+    return rollups.retained(store.read(d.spark))
+
+
+@query
+def dyadic_ranges(d: Dataset) -> DataFrame:
+    """Sum, maximum and last value of each series over a range for each nation, from nodes at powers of two."""
+    folder = new_folder(d.spark, "nodes")
+    dyadic.nodes(base._points(d)).write.partitionBy("level").parquet(folder)
+    stored = d.spark.read.parquet(folder)
+    start = stored.filter("level = 0").agg(F.min("last_unit")).scalar()
+    nations = tables.read_table(d.spark, d.directory, "nation").select(F.col("n_nationkey").cast("bigint").alias("range_id"))
+    series = stored.filter(f"level = {dyadic.LEVELS}").select("series").distinct()
+    ranges = nations.join(F.broadcast(series)).select(
+        "range_id", "series", (start + F.col("range_id") * 40_003).alias("_from"),
+        (start + F.col("range_id") * 40_003 + (F.col("range_id") + 1) * 30_011).alias("_to"))
+    return dyadic.over_ranges(stored, ranges)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwatch.plans.oracle import EVENT_FORMULAS, HISTOGRAM, ORACLE_SQL, _with
+from tillwatch.plans.oracle import AS_OF, EVENT_FORMULAS, HISTOGRAM, ORACLE_SQL, _points, _with
 
 SQL = {
     "latest_cards_from_state": ORACLE_SQL["latest_by_key_cards"],
@@ -18,4 +18,17 @@ SQL = {
             unnest([coalesce(category, 'UNK'), channel_code]) AS value
           FROM s WHERE predicted_fraud = 1)
         GROUP BY 1, 2, 3"""),
+    "asof_corrected": AS_OF,
+    "enrich_txn_bucketed": ORACLE_SQL["enrich_txn"],
+    "stored_series_range": _with([*EVENT_FORMULAS, _points("1 second")], """
+        SELECT ts, value FROM points WHERE series = 'ts:txn:amount_minor'
+          AND ts BETWEEN (SELECT min(ts) FROM points) + INTERVAL 36 HOUR AND (SELECT min(ts) FROM points) + INTERVAL 72 HOUR"""),
+    "stored_retention": ORACLE_SQL["retention_10m"],
+    "dyadic_ranges": _with([*EVENT_FORMULAS, _points("1 second")], """
+        SELECT range_id, series, count(*) AS n, CAST(sum(value) AS BIGINT) AS sum, max(value) AS max, arg_max(value, ts) AS last
+        FROM points JOIN (
+          SELECT CAST(n_nationkey AS BIGINT) AS range_id, u + n_nationkey * 40003 AS a,
+            u + n_nationkey * 40003 + (n_nationkey + 1) * 30011 AS b
+          FROM nation, (SELECT CAST(epoch(min(ts)) AS BIGINT) AS u FROM points)) ON epoch(ts) >= a AND epoch(ts) < b
+        GROUP BY 1, 2"""),
 }
