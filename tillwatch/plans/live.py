@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tillwatch import schemas as S
-from tillwatch.operators import corrections as C, dyadic, enrich as E, rollups
+from tillwatch.operators import bloom, corrections as C, cutoff, dyadic, enrich as E, offsets, rollups, variants
 from tillwatch.operators.joins import asof_lookup, lookup
 from tillwatch.plans import queries as base
 from tillwatch.plans.dataset import Dataset
@@ -156,7 +156,7 @@ def enrich_txn_bucketed(d: Dataset) -> DataFrame:
 # ---------------------------------------------------------------------- series
 def _series_store(d: Dataset) -> SeriesStore:
     """The points of the scored events, the days in two batches, the second of them written twice."""
-    store = SeriesStore(new_folder(d.spark, "series"))
+    store = SeriesStore(new_folder(d.spark, "series"), "day")
     points = written(base._points(d), "points")
     even = F.datediff(F.col("ts"), F.lit("1970-01-01")) % 2 == 0
     for batch_id, part in ((0, points.filter(even)), (1, points.filter(~even)), (1, points.filter(~even))):
@@ -175,7 +175,7 @@ def stored_series_range(d: Dataset) -> DataFrame:
 
 @query
 def stored_retention(d: Dataset) -> DataFrame:
-    """Stored series after the hours out of retention were dropped."""
+    """Stored series after the days out of retention were dropped."""
     store = _series_store(d)
     store.retain(d.spark, S.SERIES_RETENTION_MS)
     return rollups.retained(store.read(d.spark))
@@ -194,3 +194,48 @@ def dyadic_ranges(d: Dataset) -> DataFrame:
         "range_id", "series", (start + F.col("range_id") * 40_003).alias("_from"),
         (start + F.col("range_id") * 40_003 + (F.col("range_id") + 1) * 30_011).alias("_to"))
     return dyadic.over_ranges(stored, ranges)
+
+
+# --------------------------------------------------- filters, offsets, cut-offs
+@query
+def orphan_cards_filtered(d: Dataset) -> DataFrame:
+    """Transactions without a card, most others told by a filter before any shuffle."""
+    found = bloom.orphans(d.event_txns(), d.cards(columns=[]), "card_ref", "card_ref")
+    return found.select("event_id", "card_ref")
+
+
+def _offsets(d: Dataset) -> DataFrame:
+    """Order lines as messages: line numbers as partitions, the first with the most; keys as offsets, with planted faults."""
+    lines = tables.read_table(d.spark, d.directory, "lineitem").select(
+        F.col("l_linenumber").cast("int").alias("kafka_partition"), F.col("l_orderkey").cast("bigint").alias("kafka_offset"))
+    again = lines.filter("kafka_offset % 97 = 5")
+    return lines.filter("kafka_offset % 50 NOT IN (7, 8)").unionByName(again)
+
+
+@query
+def offset_faults(d: Dataset) -> DataFrame:
+    """Ranges of offsets that are missing or came more than once."""
+    return offsets.faults(_offsets(d), block=2048)
+
+
+def _labelled(d: Dataset) -> DataFrame:
+    return base._rule_scored_lines(d).select("fraud_probability", (F.col("amount_sign") == -1).cast("int").alias("label"))
+
+
+@query
+def rule_score_auc(d: Dataset) -> DataFrame:
+    """Area under the curve of the rule score for reversals, and the best cut-off."""
+    return cutoff.auc_and_cutoff(_labelled(d), "fraud_probability", "label").select(
+        F.floor(F.col("auc") * 1_000_000).alias("auc_millionths"), "cutoff", "true_positives", "false_positives")
+
+
+@query
+def undeclared_fields(d: Dataset) -> DataFrame:
+    """Fields of the messages as they came, with their types."""
+    return variants.field_types(tables.event_messages(d.spark, d.directory), "value")
+
+
+@query
+def mistyped_fields(d: Dataset) -> DataFrame:
+    """Values whose type is not the declared one."""
+    return variants.mistyped(tables.event_messages(d.spark, d.directory), "value", S.TXN_SCHEMA, ["message_id"])
