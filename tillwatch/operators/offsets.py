@@ -3,7 +3,7 @@
 Offsets are cut into blocks, so that a hot partition is shared out. Each block
 finds its own gaps and repeats and its first and last offset; the gaps between
 blocks follow from one row for each block. Across micro-batches the last offset
-of each partition is carried on as one more row.
+of each partition is carried on.
 """
 
 from __future__ import annotations
@@ -23,8 +23,11 @@ def faults(messages: DataFrame, carried: DataFrame | None = None, block: int = B
     rows = messages.select(PARTITION, OFFSET).filter(f"{PARTITION} IS NOT NULL AND {OFFSET} IS NOT NULL")
     if carried is not None:
         ends = carried.select(PARTITION, F.col("last_offset").alias("_end"))
-        rows = rows.join(ends, PARTITION, "left").filter(f"_end IS NULL OR {OFFSET} > _end").drop("_end")
-        rows = rows.unionByName(ends.withColumnRenamed("_end", OFFSET))
+        rows = rows.join(ends, PARTITION, "left").filter(f"_end IS NULL OR {OFFSET} > _end")
+        opening = rows.groupBy(PARTITION).agg(F.max("_end").alias("_end"), F.min(OFFSET).alias("_first")).filter(
+            "_first > _end + 1").select(
+            PARTITION, (F.col("_end") + 1).alias("first_offset"), (F.col("_first") - 1).alias("last_offset"))
+        rows = rows.drop("_end")
     # Repeats are combined before the shuffle, so a message that came very often is one row of each task.
     counted = rows.groupBy(PARTITION, OFFSET).agg(F.count("*").alias("_n")).withColumn(
         "_block", F.floor(F.col(OFFSET) / block))
@@ -37,6 +40,8 @@ def faults(messages: DataFrame, carried: DataFrame | None = None, block: int = B
     between = blocks.withColumn("_next", F.lead("_first").over(along)).filter("_next > _last + 1").select(
         PARTITION, (F.col("_last") + 1).alias("first_offset"), (F.col("_next") - 1).alias("last_offset"))
     missing = inner.unionByName(between)
+    if carried is not None:
+        missing = missing.unionByName(opening)
 
     island = (F.col(OFFSET) - F.row_number().over(within)).alias("_island")
     islands = counted.filter("_n > 1").select(PARTITION, "_block", OFFSET, island).groupBy(
@@ -56,6 +61,6 @@ def faults(messages: DataFrame, carried: DataFrame | None = None, block: int = B
 
 def ends(messages: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """(kafka_partition, last_offset): what the next batch carries on from."""
-    last = messages.filter(f"{OFFSET} IS NOT NULL").groupBy(PARTITION).agg(F.max(OFFSET).alias("last_offset"))
+    last = messages.filter(f"{PARTITION} IS NOT NULL AND {OFFSET} IS NOT NULL").groupBy(PARTITION).agg(F.max(OFFSET).alias("last_offset"))
     both = last if carried is None else last.unionByName(carried.select(PARTITION, "last_offset"))
     return both.groupBy(PARTITION).agg(F.max("last_offset").alias("last_offset"))
