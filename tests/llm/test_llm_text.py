@@ -1,8 +1,10 @@
 """Language, quality and licence operators, the language model and the arrays they use."""
 
+import math
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -186,40 +188,67 @@ def test_licence_scan_of_a_long_line():
     assert licenses.evaluated("MIT and\nISC") is None and licenses.evaluated("see MIT\nISC", 4) == ({"mit"}, True)
 
 
-def test_contexts_stop_at_the_text():
-    around = lm.contexts(np.array([1, 2, 3, 4]), np.array([0, 0, 0, 1]))
-    m = lm.MARGIN
-    assert around.tolist() == [[m, m, 2, 3], [m, 1, 3, m], [1, 2, m, m], [m, m, m, m]]
-
-
-def test_log_probabilities_one_by_one():
-    weights = lm.start()
-    tokens, texts = np.array([5, 9, 5, 200]), np.array([0, 0, 0, 0])
-    got = lm.log_probs(weights, tokens, texts)
-    for i, around in enumerate(lm.contexts(tokens, texts)):
-        hidden = np.tanh(sum(weights["embed"][k, t] for k, t in enumerate(around)) + weights["bias"])
-        logits = (hidden @ weights["out"] + weights["out_bias"]).astype(float)
-        assert got[i] == pytest.approx(logits[tokens[i]] - np.log(np.exp(logits).sum()), abs=1e-4)
+def test_sides_stop_at_the_text():
+    left, right = lm.sides(np.array([1, 2, 3, 4]), np.array([0, 0, 0, 1]), 9)
+    assert left.tolist() == [9, 1, 2, 9] and right.tolist() == [2, 3, 9, 9]
 
 
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
-    around, target = rng.integers(0, lm.TOKENS, (7, 4)), rng.integers(0, lm.TOKENS, 7)
-    weights = {k: v.astype(float) for k, v in lm.start().items()}
-    loss = lambda w: -lm.forward(w, around)[1][np.arange(7), target].mean()
-    squares = {k: np.zeros_like(v) for k, v in weights.items()}
-    lm.fit({k: v.copy() for k, v in weights.items()}, squares, around, target)
-    for k, at in (("embed", (1, around[0, 1], 3)), ("out", (2, target[0])), ("bias", (4,)), ("out_bias", (target[1],))):
+    places = rng.integers(0, 4, (6, 6, 5)).astype(float)
+    weights = {k: v.astype(float) for k, v in lm.start(5).items()}
+    loss = lambda w: -(places * lm.forward(w)[1]).sum() / places.sum()
+    slopes = lm.gradients(weights, places)
+    for k, at in (("left", (1, 3)), ("right", (5, 2)), ("out", (2, 4)), ("bias", (4,)), ("out_bias", (0,))):
         moved = {n: v.copy() for n, v in weights.items()}
-        moved[k][at] += 1e-5
-        assert abs((loss(moved) - loss(weights)) / 1e-5) == pytest.approx(np.sqrt(squares[k][at]), rel=1e-2)
-
-
-def test_trained_scores_beat_word_frequencies_and_tell_order(spark, small):
+        moved[k][at] += 1e-6
+        assert (loss(moved) - loss(weights)) / 1e-6 == pytest.approx(slopes[k][at], rel=1e-3, abs=1e-7)
+
+
+def test_likelihood_against_a_plain_version(spark, small):
+    """Words, classes and counts from Python's own containers, the network one place at a time."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").toPandas()
+    texts = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in docs.text]
+    counts = Counter(w for t in texts for w in t)
+    total = sum(counts.values())
+    one = lambda word: piece([word])
+    own = sorted((w for w, n in counts.items() if n >= lm.OWN_SHARE * total), key=lambda w: int(one(w).word_hashes[0]))
+    kind = {w: own.index(w) if w in own else len(own) + int(lm.endings(one(w))[0]) for w in counts}
+    n = len(own) + lm.CLASSES
+    sizes = Counter()
+    for w, c in counts.items():
+        sizes[kind[w]] += c
+    places = np.zeros((n + 1, n + 1, n), np.float32)
+    for t in texts:
+        line = [n, *(kind[w] for w in t), n]
+        for a, b, c in zip(line, line[1:], line[2:]):
+            places[a, c, b] += 1
+    weights = lm.train(places)
+    got = QUERIES["op5_score_likelihood"](spark, small).toPandas().set_index("doc_id")
+    assert len(got) == len(docs)
+    for doc_id, t in zip(docs.doc_id, texts):
+        line, want = [n, *(kind[w] for w in t), n], 0.0
+        for a, b, c, w in zip(line, line[1:], line[2:], t):
+            logits = np.tanh(weights["left"][a] + weights["right"][c] + weights["bias"]).astype(float) @ weights["out"]
+            logits = logits + weights["out_bias"]
+            want += logits[b] - np.log(np.exp(logits).sum())
+            want += 0.0 if w in own else math.log(counts[w] / sizes[kind[w]])
+        assert got.n_tokens[doc_id] == len(t)
+        assert got.log_prob[doc_id] == pytest.approx(want, abs=1e-4 * max(len(t), 1))
+    alone = sum(c * math.log(c / total) for c in counts.values())
+    assert got.log_prob.sum() > alone  # better than the words' frequencies
+
+
+def test_likelihood_does_not_hang_on_tasks_and_tells_order(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
-    known = lm.vocabulary(docs)
-    got = lm.score(docs, lm.train(docs, known), known).toPandas()
-    ids = [lm.tokens_of(p, known) for _, p in pieces(pa.array(docs.toPandas().text))]
-    counts = np.bincount(np.concatenate(ids), minlength=lm.TOKENS)
-    entropy = np.sum(counts / counts.sum() * np.log(np.maximum(counts, 1) / counts.sum()))
-    assert got.log_prob.sum() / got.n_tokens.sum() > entropy and got.n_tokens.sum() == counts.sum()
+    few = {r.doc_id: r.log_prob for r in lm.scored(docs.repartition(2)).collect()}
+    assert few == {r.doc_id: r.log_prob for r in lm.scored(docs.repartition(7, "text")).collect()}
+    rng = np.random.default_rng(3)
+    mixed = docs.toPandas().dropna()
+    mixed["text"] = [" ".join(rng.permutation(t.split())) for t in mixed.text]
+    mixed = mixed[mixed.text.str.split().str.len() > 50]
+    model = lm.learn(docs)
+    worse = lm.score(spark.createDataFrame(mixed), model, ["doc_id"]).collect()
+    assert np.mean([few[r.doc_id] > r.log_prob for r in worse]) > 0.9
+    unseen = lm.score(spark.createDataFrame([(1, "zzqjx")], "doc_id long, text string"), model).first()
+    assert unseen.log_prob < math.log(1e-3)

@@ -35,7 +35,7 @@ def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op5_score_likelihood(spark: SparkSession, directory: str) -> DataFrame:
-    return lm.scored(table(spark, directory, "documents").select("doc_id", "text")).drop("text")
+    return lm.scored(table(spark, directory, "documents"), carried=["doc_id"])
 
 
 def op6_score_quality(spark: SparkSession, directory: str) -> DataFrame:
