@@ -252,3 +252,12 @@ def test_likelihood_does_not_hang_on_tasks_and_tells_order(spark, small):
     assert np.mean([few[r.doc_id] > r.log_prob for r in worse]) > 0.9
     unseen = lm.score(spark.createDataFrame([(1, "zzqjx")], "doc_id long, text string"), model).first()
     assert unseen.log_prob < math.log(1e-3)
+
+
+def test_quality_with_text_ids_and_one_id_on_many_rows(spark):
+    good, bad = "a calm sentence with words in it. ", "$$ ## buy buy buy ## $$ "
+    rows = [(f"d{i}", (good if i % 2 else bad) * (1 + i % 5)) for i in range(200)] + [("d1", good)] * 3000
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    marks = spark.createDataFrame([(f"d{i}", i % 2) for i in range(200)], "doc_id string, quality int")
+    got = fm.score(docs, fm.learn(docs, marks)).groupBy("text").agg({"predicted": "max"}).collect()
+    assert all(r[1] == int(good in r.text) for r in got)

@@ -7,7 +7,8 @@ a text cost linear time by the sum-of-squares identity: half of the square of
 the summed vectors less the sum of the squared ones.
 
 It is trained in numpy by Adam on at most about ``SAMPLE_ROWS`` labelled rows,
-drawn by a hash of the id. Scoring is spread over the table.
+drawn by a hash of the id; of rows with one id the least text is taken. Scoring is
+spread over the table.
 
 Defined cases: null and empty texts have only the features of empty structure
 and get a score like all others; with no labelled rows every score is 0.5; texts
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from tillwatch.llm.arrays import Piece, pieces, segment_sums
 from tillwatch.llm.cascade import IS_LETTER, IS_SYMBOL, n_dup_lines, n_repeat_words
@@ -160,7 +161,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         F.min("quality").alias("quality"))
     share = sample_rows / max(marked.count(), 1)
     drawn = lambda df: df.filter(unit_hash(F.col("doc_id"), "quality") < share)
-    rows = drawn(docs.select("doc_id", "text")).join(drawn(marked), "doc_id").select("doc_id", "quality", "text")
+    # One text of each identifier, as many rows may have the same one.
+    texts = drawn(docs.select("doc_id", "text")).groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.join(drawn(marked), "doc_id").select("doc_id", "quality", "text")
+    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("quality", IntegerType()),
+                         StructField("number", ArrayType(IntegerType())), StructField("value", ArrayType(FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.int32()), *lists],
                                                  names=["doc_id", "quality", "number", "value"])
 
-    taken = rows.mapInArrow(run, "doc_id long, quality int, number array<int>, value array<float>")
+    taken = rows.mapInArrow(run, schema)
     got = taken.toArrow().sort_by("doc_id")  # bounded by the sample and the number of features
     pairs = list(zip(got["number"].to_numpy(), got["value"].to_numpy()))
     return train([(np.asarray(n), np.asarray(v)) for n, v in pairs], got["quality"].to_numpy().astype(float))
