@@ -13,7 +13,9 @@ Defined cases: a null URL or one without ``://`` has an empty host and path and
 no tokens, so no rule fits and it is allowed; with no labelled URLs nothing is
 mined and all the rest is allowed; ties between mined rules go to confidence,
 support, fewer tokens, then text order. Repeated rows are kept. All of a URL is
-tokens; FP-growth drops those below the support before it builds its trees.
+tokens; FP-growth drops those below the support before it builds its trees. Tokens
+that stand in the same labelled URLs are mined as one, so a long common path adds
+one token and not a factor of two for each segment; the rules are then unfolded.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwatch.llm.shared import ascii_lower, without
+from tillwatch.llm.shared import ascii_lower, staged, without
 from tillwatch.operators.joins import lookup
 
 # The policy, as (verdict, host and path).
@@ -83,15 +85,45 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.array_compact(found))).otherwise(F.array().cast("array<string>"))
 
 
+def twins(labelled: DataFrame, min_support: float) -> dict[str, list[str]]:
+    """Frequent tokens that stand in the same labelled URLs as others, under the least of them.
+
+    At most (mean tokens of a URL) / min_support tokens are frequent.
+    """
+    least = min_support * labelled.count() * (1 - 1e-9)
+    baskets = labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("n"))
+    where = [F.bit_xor(F.xxhash64(F.lit(seed), "tokens", "verdict")).alias(f"where_{seed}") for seed in (1, 2)]
+    alike = (
+        baskets.select("*", F.explode(F.array_distinct("tokens")).alias("token"))
+        .groupBy("token").agg(F.sum("n").alias("n"), *where).filter(F.col("n") >= least)
+        .groupBy("n", "where_1", "where_2").agg(F.array_sort(F.collect_list("token")).alias("same"))
+        .filter(F.size("same") > 1).select("same").collect()
+    )
+    return {r.same[0]: list(r.same) for r in alike}
+
+
+def unfolded(items: Column, same: dict[str, list[str]]) -> Column:
+    """All token sets that ``items`` stands for."""
+    names = F.create_map(*[c for k, v in same.items() for c in (F.lit(k), F.array(*map(F.lit, v)))])
+    choices = F.transform(items, lambda t: F.coalesce(F.try_element_at(names, t), F.array(t)))
+    return F.transform(
+        F.reduce(choices, F.array(F.array().cast("array<string>")), lambda sets, one: F.flatten(
+            F.transform(sets, lambda s: F.transform(one, lambda t: F.concat(s, F.array(t)))))), lambda s: F.array_sort(s))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
          most_tokens: int | None = None) -> DataFrame:
     """``labelled`` (tokens, verdict) as rules (rule_id, items, verdict, confidence, support).
 
     A rule goes if it is no surer than the same verdict without one of its tokens.
     Rules have any number of tokens unless ``most_tokens`` is given. Support bounds the
-    single tokens; tokens that are frequent together have a rule for each subset of them.
+    single tokens; tokens that are frequent together, but not always together, have a
+    rule for each subset of them.
     """
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(CLASS), "verdict"))).alias("items"))
+    same = twins(labelled, min_support)
+    spare = F.array(*[F.lit(t) for first, all_ in same.items() for t in all_ if t != first]).cast("array<string>")
+    baskets = labelled.select(
+        F.concat(F.array_except("tokens", spare), F.array(F.concat(F.lit(CLASS), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules
@@ -108,9 +140,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
                   & (F.col("_sure") >= F.col("confidence")), "left_semi")
         .select("items", "verdict").distinct()
     )
+    rules = rules.join(redundant, ["items", "verdict"], "left_anti")
+    if same:
+        rules = rules.withColumn("items", F.explode(unfolded(F.col("items"), same)))
     return (
-        rules.join(redundant, ["items", "verdict"], "left_anti")
-        .withColumn("rule_id", F.concat_ws(" ", F.concat_ws(" + ", "items"), F.lit("=>"), "verdict"))
+        rules.withColumn("rule_id", F.concat_ws(" ", F.concat_ws(" + ", "items"), F.lit("=>"), "verdict"))
     )
 
 
@@ -141,7 +175,7 @@ def judge(pages: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, min_supp
                                  "_tokens": tokens(F.col("url"), F.col("host"), F.col("path"))})
     labelled = parsed.filter(F.col("_policy").isNotNull()).select(
         F.col("_tokens").alias("tokens"), F.col("_policy").alias("verdict"))
-    rules = mine(labelled, min_support, min_confidence, most_tokens).persist()
+    rules = staged(mine(labelled, min_support, min_confidence, most_tokens), "rules")
     # At most (mean tokens of a URL) / min_support tokens are frequent, so the index's vocabulary is bounded.
     vocabulary = sorted(r[0] for r in rules.select(F.explode("items")).distinct().collect())
     indexed = F.array(*map(F.lit, vocabulary)).cast("array<string>")
