@@ -437,3 +437,25 @@ def test_deep_tokens_and_long_rules(spark):
     rows = [(five, "block")] * 30 + [([x for x in five if x != y], "allow") for y in five for _ in range(30)]
     rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.9).collect()
     assert [(r["items"], r.verdict) for r in rules] == [(five, "block")]
+
+
+def test_tables_of_numbers_are_left_alone(spark):
+    rng = random.Random(5)
+    lines = [" ".join(f"{rng.randint(10, 99)}" for _ in range(20)) for _ in range(100)]
+    lines += [" ".join(f"{rng.randint(1900, 2024)}" for _ in range(5)) for _ in range(100)]
+    lines += [" ".join(f"{rng.randint(100, 999)}" for _ in range(12)) for _ in range(100)]
+    lines += ["1234 5678 9012 3 456", "5 12 7 123 44 99 812"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert [r.text for r in pii.pseudonymise(docs).filter("n_private > 0").collect()] == []
+
+
+def test_tokens_that_stand_together_are_mined_as_one(spark):
+    path = "/".join(f"s{i}" for i in range(40))
+    pages = [(i, f"http://a{i}.example.com/en/{path}") for i in range(100)]
+    pages += [(100 + i, f"http://b{i}.com/other") for i in range(100)] + [(200, f"http://c.org/en/{path}")]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string")).collect()}
+    assert got[200].verdict == "block" and got[0].rule == "example.com/en/" and got[100].verdict == "allow"
+    rows = [(["a", "b", "c"], "block")] * 30 + [(["a", "b", "d"], "allow")] * 30 + [(["c"], "allow")] * 30
+    mined = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.9).collect()
+    assert sorted((r["items"], r.verdict) for r in mined) == [
+        (["a", "c"], "block"), (["b", "c"], "block"), (["d"], "allow")]

@@ -19,8 +19,12 @@ Defined cases: a null text stays null and has no values; an empty one stays
 empty; what has the shape of a value but fails its check stays as it is; values
 in very long texts are replaced like others. Card numbers and IBANs are looked
 for among the groups of a run of numbers, in their usual grouping first and then
-in every other one, so neighbours hide none; numbers in a run that pass as a card
-by chance are replaced too, and undoing can then find other values there. Dates that are not padded come back
+in every other one, so neighbours hide none. Numbers of tables are not cards: in
+another grouping a card needs the first digits and the length of an issuer and
+no neighbour of the size of the group next to it; in groups of the usual sizes it
+needs one of the two. Numbers that pass all this by chance are replaced. Only the
+first digit of a card stays, so undoing finds a card that needed its issuer only
+where the pseudonym has one too. Dates that are not padded come back
 padded or not as their own digits require. Repeated rows are kept; an empty
 table gives an empty one; input columns with the name of a result column go.
 """
@@ -46,6 +50,8 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
          r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)")
 CARD = r"\d(?:[ -]?\d){12,18}"
+ISSUERS = (r"4\d{12}(?:\d{3}){0,2}|(?:5[1-5]\d{2}|222[1-9]|22[3-9]\d|2[3-6]\d{2}|27[01]\d|2720)\d{12}|3[47]\d{13}"
+           r"|3(?:0[0-5]|[689]\d)\d{11}|(?:6011|65\d{2}|64[4-9]\d)\d{12}|35(?:2[89]|[3-8]\d)\d{12}|62\d{14,17}")
 CARD_SHAPES = ((4, r"\d{4}(?:[ -]\d{4}){3}"), (3, r"\d{4}[ -]\d{6}[ -]\d{4,5}"), (1, r"\d{13,19}"))  # by number of groups
 THREE_GROUPS = r"\d{3}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2}"  # numbers and dates that no hyphen may precede or follow
 THREE_PHONE = r"\d{3}[ -]\d{3}[ -]\d{4}"
@@ -276,7 +282,7 @@ def values_of_run(groups: Column) -> Column:
     """Places (at, n) of the values in a run's ``groups``, each with the separator before it.
 
     First come IBANs and cards of the usual grouping, then numbers, dates and phones of
-    three groups, then cards in any grouping, the longest first; from left to right.
+    three groups, then issuers' cards in any grouping, the longest first; from left to right.
     """
     size = F.size(groups)
 
@@ -287,6 +293,12 @@ def values_of_run(groups: Column) -> Column:
         n = F.sequence(F.least(F.lit(most), size - i), F.lit(1), F.lit(-1))
         return F.coalesce(F.get(F.filter(n, fits), F.lit(0)), F.lit(0))
 
+    def in_table(i: Column, n: Column | int) -> Column:
+        """Whether the group before or after has as many characters as the one next to it."""
+        length = lambda at: F.length(F.regexp_replace(F.get(groups, at), "^[ -]", ""))
+        return F.coalesce(length(i - 1) == length(i), F.lit(False)) | F.coalesce(
+            length(i + n) == length(i + n - 1), F.lit(False))
+
     def usual(_: Column, i: Column) -> Column:
         def is_iban(n: Column, lengths: dict[int, str] | None) -> Column:
             plain = F.replace(joined(i, n), F.lit(" "), F.lit(""))
@@ -303,7 +315,8 @@ def values_of_run(groups: Column) -> Column:
         found = F.lit(0)
         for n, pattern in reversed(CARD_SHAPES):
             digits = digits_of(joined(i, n))
-            fits = F.when(shape_of(joined(i, n), pattern), luhn_sum(digits) % 10 == 0).otherwise(False)
+            sure = ~in_table(i, n) | shape_of(digits, ISSUERS) if n > 1 else F.lit(True)
+            fits = F.when(shape_of(joined(i, n), pattern) & sure, luhn_sum(digits) % 10 == 0).otherwise(False)
             found = F.when(fits, n).otherwise(found)
         starts = F.rlike(F.get(groups, i), F.lit(r"^[ -]?[A-Z]{2}\d{2}"))
         return F.when(starts, F.when(iban_groups > 0, iban_groups).otherwise(any_iban)).otherwise(found)
@@ -326,7 +339,8 @@ def values_of_run(groups: Column) -> Column:
         def of(n: Column, i: Column) -> Column:
             def is_card(k: Column) -> Column:
                 text = joined(i, k)
-                fits = shape_of(text, CARD) & clear(better, i, k)
+                issued = F.when(shape_of(text, CARD), shape_of(digits_of(text), ISSUERS)).otherwise(False)
+                fits = issued & clear(better, i, k) & ~in_table(i, k)
                 return F.when(fits, luhn_sum(digits_of(text)) % 10 == 0).otherwise(False)
 
             return F.when(n > 0, n).otherwise(longest(i, MOST_GROUPS, is_card))
