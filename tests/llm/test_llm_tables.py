@@ -1,5 +1,6 @@
 """Operators that join and group, against plain versions and SQL."""
 
+import functools
 import random
 
 import duckdb
@@ -145,6 +146,33 @@ def test_near_copies_without_ids(spark):
     assert kept.count() == len({c for c, _ in near_copies(rows).values()})
 
 
+def test_equal_rows_are_read_once_and_kept_once(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, base)] * 300 + [(None, base.replace("w59", "x")), (7, "another text of six words"), (8, None), (8, None)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row int")
+    docs = docs.repartition(5)
+    wanted = docs.filter("doc_id is null").select(jaccard.row_hash().alias("row_id"))
+    for bound in (jaccard.BROADCAST_ROWS, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(jaccard, "BROADCAST_ROWS", bound)
+            texts = jaccard.texts_of(docs, wanted).join(wanted.distinct(), "row_id")
+            assert sorted(r.text for r in texts.collect()) == sorted({t for i, t in rows if i is None})
+    links = sorted(r.n_links for r in jaccard.classes(docs).collect())
+    assert links == [0, 0, 0] + [300] * 301
+    kept = jaccard.deduplicated(docs)
+    assert kept.columns == ["doc_id", "text", "_row"]
+    got = kept.collect()
+    assert len(got) == 3 and all(rows[r._row] == (r.doc_id, r.text) for r in got)
+
+
+def test_large_groups_of_copies_are_split(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "lookup", functools.partial(jaccard.lookup, rows_per_task=3, limit=-1))
+    rows = near_copy_rows(11) * 2
+    rows = [(i, text) for i, (_, text) in enumerate(rows)]
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == near_copies(rows) and len(got) == len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(20)] + [("s9", f"s{i}") for i in range(9)] + [("x", "x")]
     random.Random(4).shuffle(edges)

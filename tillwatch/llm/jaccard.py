@@ -23,7 +23,8 @@ to n for each tile. Exact copies cost nothing beyond their first.
 
 Defined cases: texts of one to four words have a single n-gram, all their words;
 null texts and those without words have none, have no links and are their own
-class; rows with one doc_id are separate documents of which each counts; class
+class; rows with one doc_id are separate documents of which each counts, equal ones too,
+though the text of only one of them is read again; class
 ids are the smallest doc_id of the class, null only where no member has one; an
 empty table gives an empty one; extra columns are ignored.
 """
@@ -35,10 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.llm.arrays import Piece, mixed, pieces
-from tillwatch.llm.shared import staged
+from tillwatch.llm.shared import set_aside, staged
 from tillwatch.operators.joins import lookup
 
 NGRAM = 5
@@ -50,6 +51,7 @@ TILE_GRAMS = 1 << 22
 SLICE_GRAMS = 1 << 21
 COLUMN_BLOCK = 4096
 SEED = 20
+BROADCAST_ROWS = 500_000  # row hashes of 32 characters
 
 
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
@@ -102,6 +104,11 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def row_hash() -> Column:
+    """128 bits of a row's doc_id and text as text; equal rows have the same."""
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), "doc_id", "text")), 16, "0") for seed in (1, 2)])
+
+
 def sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``docs`` (doc_id, text) as (doc_id, row_id, n, s1, s2, bands).
 
@@ -127,8 +134,8 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     names=["doc_id", "row_id", "n", "s1", "s2", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_id")).mapInArrow(
-        run, f"doc_id {kind}, row_id long, n long, s1 long, s2 long, bands array<long>")
+    return docs.select("doc_id", "text", row_hash().alias("row_id")).mapInArrow(
+        run, f"doc_id {kind}, row_id string, n long, s1 long, s2 long, bands array<long>")
 
 
 def buckets(sets: DataFrame) -> DataFrame:
@@ -282,6 +289,15 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row_id, text) of the rows in ``wanted``, one of each; equal rows meet in their own task first."""
+    texts = docs.select(row_hash().alias("row_id"), "text")
+    ids = wanted.select("row_id").distinct()
+    if ids.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(ids), "row_id", "left_semi")
+    return texts.groupBy("row_id").agg(F.first("text").alias("text"))
+
+
 def members(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
     """``docs`` (doc_id, text) as (doc_id, row_id, root, class_id, n_links, n_ngrams); ``root`` names the class."""
     bands, rows = bands_and_rows(threshold, recall)
@@ -292,8 +308,7 @@ def members(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFra
     distinct = kept.select("s1", "s2", "n", "bands").dropDuplicates(["s1", "s2"])
     work = staged(tiles(buckets(distinct)).join(sets, ["s1", "s2"]), "tiles")
     # By a hash of id and text, as many rows may have one id, null among them.
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("row_id"), "text")
-    verified = staged(verify(work.join(texts, "row_id"), n, bands, rows, threshold), "links")
+    verified = staged(verify(work.join(texts_of(docs, work), "row_id"), n, bands, rows, threshold), "links")
 
     node = lambda a, b: F.concat(F.hex(a), F.lit("-"), F.hex(b))
     edges = verified.select(node("s1", "s2").alias("a"), node("r1", "r2").alias("b"))
@@ -302,12 +317,14 @@ def members(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFra
     rooted = named.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"))
     info = lookup(rooted, ids, "root", "inner").select(
-        "s1", "s2", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "node", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = sketches.filter("n = 0").select(
-        "doc_id", "row_id", F.hex("row_id").alias("root"), F.col("doc_id").alias("class_id"),
+        "doc_id", "row_id", F.col("row_id").alias("root"), F.col("doc_id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_ngrams"))
+    # One set may have most of the rows; ``lookup`` splits such keys.
+    named_rows = kept.select("doc_id", "row_id", node("s1", "s2").alias("node"), "n")
     return (
-        kept.select("doc_id", "row_id", "s1", "s2", "n").join(info, ["s1", "s2"])
+        lookup(named_rows, info, "node", "inner", spread_by=["row_id"])
         .select("doc_id", "row_id", "root", "class_id", "n_links", F.col("n").alias("n_ngrams")).union(alone)
     )
 
@@ -322,9 +339,9 @@ def classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recal
 
 def deduplicated(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One document of each class: the one whose doc_id is the class id; of equal rows one stays."""
+    docs, back = set_aside(docs, "_row")
     firsts = members(docs, n, threshold, recall).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    stay = firsts.groupBy("root").agg(F.min("row_id").alias("_row")).select("_row").distinct()
-    kept = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stay, "_row", "left_semi")
-    # Rows already lie by their hash, so the texts are not shuffled again.
-    place = F.row_number().over(Window.partitionBy("_row", "doc_id", "text").orderBy("doc_id"))
-    return kept.withColumn("_place", place).filter("_place = 1").select(*docs.columns)
+    stay = firsts.groupBy("root").agg(F.min("row_id").alias("_row")).select("_row")
+    # Equal rows meet in their own task first, and the texts are shuffled once for both steps.
+    kept = docs.withColumn("_row", row_hash()).dropDuplicates(["_row"]).join(stay, "_row", "left_semi")
+    return kept.select(*docs.columns).withColumnsRenamed(back)
