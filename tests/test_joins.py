@@ -202,3 +202,37 @@ def test_scoring_plan_has_no_python_and_prunes_columns(spark, small):
 def test_served_entities_have_one_row_per_key(spark, small):
     for df, key in zip(Dataset(spark, small).entities(), ("card_ref", "party_id", "merchant_id")):
         assert df.groupBy(key).count().filter("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("limit", [None, 0, -1])
+def test_cards_by_way_of_orders_equal_cards_named(spark, limit):
+    """Equal orders, orders without a card and lines without an order; the lines themselves are shuffled once for card and user."""
+    lines = frame(
+        spark, "event_id string, order_ref bigint, merchant_ref string, amount_minor int",
+        *[{"event_id": str(i), "order_ref": None if i == 7 else i % 6, "merchant_ref": str(i % 3), "amount_minor": i} for i in range(40)])
+    orders = frame(spark, "order_ref bigint, card_ref string", {"order_ref": 0, "card_ref": "a"}, {"order_ref": 0, "card_ref": "a"},
+                   {"order_ref": 1, "card_ref": None}, {"order_ref": 2, "card_ref": "b"}, {"order_ref": 3, "card_ref": "gone"},
+                   {"order_ref": 4, "card_ref": "a"})
+    cards = frame(spark, "card_ref string, party_id string", {"card_ref": "a", "party_id": "p"}, {"card_ref": "b"})
+    users = frame(spark, "party_id string, age int", {"party_id": "p", "age": 3})
+    merchants = frame(spark, "merchant_id string, category string", {"merchant_id": "1", "category": "FOOD"})
+    options = {"rows_per_task": 2, "limit": limit}
+    found = E.enrich(lines, cards, users, merchants, through=orders, skew_from={"card_ref": orders.select("card_ref")}, **options)
+    named = E.enrich(lines.join(orders, "order_ref"), cards, users, merchants, **options)
+    assert as_set(found.select(*named.columns)) == as_set(named) and found.count() == 40
+    if limit == -1:
+        facts = [line for line in plan(found).splitlines() if "hashpartitioning(order_ref" in line]
+        assert len(facts) == 2
+
+
+def test_many_narrow_rows_are_shuffled_though_spark_thinks_them_few(spark, tmp_path):
+    wide = spark.range(20_000).selectExpr("id", "repeat(cast(id AS string), 40) AS text")
+    wide.write.parquet(str(tmp_path / "wide"))
+    narrow = spark.read.parquet(str(tmp_path / "wide")).select("id")
+    from tillwatch.operators.joins import _input_bytes, plan_bytes, shuffled_unless_small
+
+    between = (plan_bytes(narrow) + _input_bytes(narrow)) // 2
+    rows = spark.range(50)
+    assert "SortMergeJoin" in plan(rows.join(shuffled_unless_small(narrow, between), "id"))
+    assert shuffled_unless_small(narrow, _input_bytes(narrow)) is narrow
+    assert as_set(rows.join(shuffled_unless_small(narrow, between), "id")) == sorted([(i,) for i in range(50)], key=repr)

@@ -48,6 +48,16 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return limit >= 0 and (plan_bytes(df) <= limit or _input_bytes(df) <= limit)
 
 
+def shuffled_unless_small(table: DataFrame, limit: int | None = None) -> DataFrame:
+    """``table`` with a hint to shuffle it, unless its whole input is within the limit for broadcasts.
+
+    Spark goes by the share that the columns read have of the compressed files. Of
+    many narrow rows that is a small part of what a broadcast holds in memory.
+    """
+    limit = broadcast_limit(table) if limit is None else limit
+    return table if _input_bytes(table) <= limit else table.hint("merge")
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
     """``(key, copies)`` of keys with more rows than one task should hold, null included.
 

@@ -41,12 +41,25 @@ class Dataset:
     def line_txns(self) -> DataFrame:
         return cleaning.clean_transactions(tables.raw_line_txns(self.spark, self.directory))
 
+    def lines(self) -> DataFrame:
+        """``line_txns`` before their card is known, clean; ``line_lookups`` has what leads to it."""
+        return cleaning.clean_transactions(tables.raw_lines(self.spark, self.directory))
+
+    def line_lookups(self) -> dict[str, object]:
+        """How the lookups get the card of ``lines``, and where to look for hot keys: cards among the orders."""
+        orders = tables.order_cards(self.spark, self.directory)
+        keys = {"card_ref": orders.select("card_ref"), "merchant_ref": self._line_merchants()}
+        return {"through": orders, "skew_from": keys}
+
+    def _line_merchants(self) -> DataFrame:
+        lines = tables.read_table(self.spark, self.directory, "lineitem")
+        return lines.select(F.col("l_suppkey").cast("string").alias("merchant_ref"))
+
     def line_keys(self) -> dict[str, DataFrame]:
         """The keys of ``line_txns``, a row for each line, to find hot ones in without the cleaning."""
-        lines = tables.read_table(self.spark, self.directory, "lineitem")
         return {
             "card_ref": tables.raw_line_txns(self.spark, self.directory).select("card_ref"),
-            "merchant_ref": lines.select(F.col("l_suppkey").cast("string").alias("merchant_ref")),
+            "merchant_ref": self._line_merchants(),
         }
 
     def entities(self, columns: Mapping[str, Sequence[str]] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

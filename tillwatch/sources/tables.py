@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwatch.operators.joins import shuffled_unless_small
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -170,40 +172,71 @@ def raw_event_txns(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+# What is told of an order line without its order: numbers first, then what is only text or constant.
+_LINE_VALUES = [
+    "l_shipdate + make_dt_interval(0, cast(l_quantity AS int) % 24, l_linenumber) AS ts",
+    "CASE WHEN l_tax = 0 THEN -cast(floor(l_extendedprice + 0.5D) AS int) "
+    "ELSE cast(floor(l_extendedprice + 0.5D) AS int) END AS amount_minor",
+    "CASE WHEN l_tax > 0.06D THEN NULL ELSE floor(l_extendedprice + 0.5D) / 100 END AS amount_major",
+    "CASE l_returnflag WHEN 'R' THEN -1 ELSE 1 END AS amount_sign",
+    "CASE l_returnflag WHEN 'R' THEN ' pos' WHEN 'A' THEN 'Ecom' END AS channel_code",
+    "CASE l_linestatus WHEN 'O' THEN 'chip ' END AS entry_mode",
+    "l_discount * 12 - 0.1D AS risk_score_online",
+    "l_discount",
+]
+_LINE_TEXTS = [
+    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS event_id",
+    f"date_format(ts, \"{ISO}\") AS event_ts",
+    "cast(unix_seconds(cast(ts AS timestamp)) AS int) AS event_epoch_sec",
+    "cast(l_suppkey AS string) AS merchant_ref",
+    "amount_minor",
+    "amount_major",
+    "concat('AUTH-', l_partkey) AS auth_code",
+    "amount_sign",
+    "'vnd' AS currency",
+    "channel_code",
+    "entry_mode",
+    "risk_score_online",
+    "CASE WHEN l_discount = 0 THEN NULL WHEN l_discount > 0.09D THEN 27 ELSE hour(ts) END AS hour_of_day",
+    "0 AS is_unusual_hour",
+    "cast(NULL AS double) AS distance_from_home_km",
+    "cast(NULL AS string) AS amount_category",
+    "cast(NULL AS int) AS exceeds_daily_limit",
+    "cast(NULL AS double) AS amount_deviation_ratio",
+    "cast(NULL AS int) AS days_since_card_issued",
+    "ts",
+]
+
+
+def _line_values(spark: SparkSession, directory: str) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return read_table(spark, directory, "lineitem").selectExpr(*keys, *_LINE_VALUES)
+
+
+def raw_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """The transactions of ``raw_line_txns`` before their card is known: ``order_ref`` leads to it by ``order_cards``.
+
+    Lines without an order are among them.
+    """
+    return _line_values(spark, directory).selectExpr("l_orderkey AS order_ref", *_LINE_TEXTS)
+
+
+def order_cards(spark: SparkSession, directory: str) -> DataFrame:
+    """(order_ref, card_ref): the card of each order, that of its customer."""
+    return read_table(spark, directory, "orders").selectExpr(
+        "o_orderkey AS order_ref", "cast(o_custkey AS string) AS card_ref")
+
+
 def raw_line_txns(spark: SparkSession, directory: str) -> DataFrame:
     """One transaction per order line, with the card of the order's customer.
 
     Both sides are scans, so a hot order key is left to adaptive skew handling.
+    Texts are made after the join, which moves the numbers they are made of.
     """
-    lines = read_table(spark, directory, "lineitem")
-    orders = read_table(spark, directory, "orders").select("o_orderkey", "o_custkey")
-    timed = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-        "ts", F.expr("l_shipdate + make_dt_interval(0, cast(l_quantity AS int) % 24, l_linenumber)")
-    )
-    return timed.selectExpr(
-        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS event_id",
-        f"date_format(ts, \"{ISO}\") AS event_ts",
-        "cast(unix_seconds(cast(ts AS timestamp)) AS int) AS event_epoch_sec",
-        "cast(o_custkey AS string) AS card_ref",
-        "cast(l_suppkey AS string) AS merchant_ref",
-        "CASE WHEN l_tax = 0 THEN -cast(floor(l_extendedprice + 0.5D) AS int) "
-        "ELSE cast(floor(l_extendedprice + 0.5D) AS int) END AS amount_minor",
-        "CASE WHEN l_tax > 0.06D THEN NULL ELSE floor(l_extendedprice + 0.5D) / 100 END AS amount_major",
-        "concat('AUTH-', l_partkey) AS auth_code",
-        "CASE l_returnflag WHEN 'R' THEN -1 ELSE 1 END AS amount_sign",
-        "'vnd' AS currency",
-        "CASE l_returnflag WHEN 'R' THEN ' pos' WHEN 'A' THEN 'Ecom' END AS channel_code",
-        "CASE l_linestatus WHEN 'O' THEN 'chip ' END AS entry_mode",
-        "l_discount * 12 - 0.1D AS risk_score_online",
-        "CASE WHEN l_discount = 0 THEN NULL WHEN l_discount > 0.09D THEN 27 ELSE hour(ts) END AS hour_of_day",
-        "0 AS is_unusual_hour",
-        "cast(NULL AS double) AS distance_from_home_km",
-        "cast(NULL AS string) AS amount_category",
-        "cast(NULL AS int) AS exceeds_daily_limit",
-        "cast(NULL AS double) AS amount_deviation_ratio",
-        "cast(NULL AS int) AS days_since_card_issued",
-        "ts",
-    )
+    orders = shuffled_unless_small(read_table(spark, directory, "orders").select("o_orderkey", "o_custkey"))
+    lines = _line_values(spark, directory).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    before = _LINE_TEXTS[:3]
+    return lines.selectExpr(*before, "cast(o_custkey AS string) AS card_ref", *_LINE_TEXTS[len(before):])
 
 
 def event_messages(spark: SparkSession, directory: str) -> DataFrame:
