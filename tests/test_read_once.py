@@ -19,3 +19,9 @@ def plan(df):
 @pytest.mark.parametrize("name", ["panel_amount", "retention_batches", "trailing_batches"])
 def test_views_read_points_and_not_the_lines_again(spark, small, name):
     assert "l_orderkey" not in plan(QUERIES[name](spark, small))
+
+
+def test_labelled_rows_are_read_once(spark):
+    rows = spark.range(1000).selectExpr("(id % 7) / 7.0D AS score", "cast(id % 3 = 0 AS int) AS label")
+    found = cutoff.auc_and_cutoff(rows, "score", "label")
+    assert "Range (" not in plan(found) and found.first()["auc"] == pytest.approx(0.5, abs=0.01)

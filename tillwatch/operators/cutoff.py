@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tillwatch.sources.workspace import written
+
 RANGES = 1024
 
 
@@ -20,12 +22,14 @@ def running_counts(rows: DataFrame, score: str, label: str, ranges: int = RANGES
 
     Rows without a score or a label are left out. Scores are between 0 and 1 for
     even ranges; others are right, too, and meet in the first or the last one.
+    The counts are written once, as they are read for the ranges, within them and
+    for the totals; the rows are read once.
     """
     known = rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     place = F.floor(F.col("_score") * ranges)
-    counted = known.groupBy(F.col(score).cast("double").alias("_score")).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")).withColumn(
-        "_range", F.least(F.greatest(place, F.lit(0)), F.lit(ranges - 1)))
+    scores = known.groupBy(F.col(score).cast("double").alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+    counted = written(scores, "scores").withColumn("_range", F.least(F.greatest(place, F.lit(0)), F.lit(ranges - 1)))
     sums = counted.groupBy("_range").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
     over = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)  # ``ranges`` rows at most
     starts = sums.select("_range", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"{c}0") for c in ("_p", "_n")])
