@@ -25,3 +25,15 @@ def test_labelled_rows_are_read_once(spark):
     rows = spark.range(1000).selectExpr("(id % 7) / 7.0D AS score", "cast(id % 3 = 0 AS int) AS label")
     found = cutoff.auc_and_cutoff(rows, "score", "label")
     assert "Range (" not in plan(found) and found.first()["auc"] == pytest.approx(0.5, abs=0.01)
+
+
+def test_files_of_messages_grow_in_number_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(live, "MESSAGES_IN_FILE", 10)
+    assert [live._files(spark.range(n)) for n in (0, 1, 10, 11, 95)] == [1, 1, 1, 2, 10]
+    assert [live._files(spark.range(n), 3) for n in (0, 30, 31, 95)] == [3, 3, 6, 12]
+
+
+def test_more_files_give_the_same_counters(spark, small, monkeypatch):
+    expected = as_set(QUERIES["counters_after_failure"](spark, small))
+    monkeypatch.setattr(live, "MESSAGES_IN_FILE", 40)
+    assert expected and as_set(QUERIES["counters_after_failure"](spark, small)) == expected

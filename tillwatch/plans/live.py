@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.errors import StreamingQueryException
@@ -81,6 +82,15 @@ class FailingConfig(StreamConfig):
         return FailsOnce(table.path, table.schema, table.snapshot_path)
 
 
+MESSAGES_IN_FILE = 200_000
+TXN_BATCHES = 3
+
+
+def _files(rows: DataFrame, batches: int = 1) -> int:
+    """How many files to write messages into: as many in each batch, none with many more than ``MESSAGES_IN_FILE``."""
+    return batches * max(1, -(-rows.count() // (batches * MESSAGES_IN_FILE)))
+
+
 @query
 def counters_after_failure(d: Dataset) -> DataFrame:
     """Events as JSON files through the streams, with a failure between two writes and a restart from the checkpoint."""
@@ -91,15 +101,19 @@ def counters_after_failure(d: Dataset) -> DataFrame:
         rows = reader(d.spark, d.directory)
         fields = [name for name in S.TOPIC_SCHEMAS[topic].fieldNames() if name in rows.columns]
         messages = topics.encode(rows.select(*fields), S.TOPIC_KEYS[topic]).select("value")
-        messages.repartition(3 if topic == S.TXN_TOPIC else 1).write.text(f"{folder}/in/{topic}")
+        files[topic] = _files(rows, TXN_BATCHES if topic == S.TXN_TOPIC else 1)
+        messages.repartition(files[topic]).write.text(f"{folder}/in/{topic}")
     config = FailingConfig(f"{folder}/app", {t: f"{folder}/in/{t}" for t in readers}, source="files", available_now=True,
-                           count_malformed=True, reader_options={"maxFilesPerTrigger": "1"})
+                           count_malformed=True)
+    # An entity is one micro-batch, whatever its files; transactions are ``TXN_BATCHES``.
+    each = {topic: n // (TXN_BATCHES if topic == S.TXN_TOPIC else 1) for topic, n in files.items()}
+    configs = {t: replace(config, reader_options={"maxFilesPerTrigger": str(n)}) for t, n in each.items()}
     entities = (S.USER_TOPIC, S.MERCHANT_TOPIC, S.CARD_TOPIC)
-    streams.wait({topic: streams.start_upserts(d.spark, config, topic) for topic in entities}, poll_seconds=0.1)
+    streams.wait({topic: streams.start_upserts(d.spark, configs[topic], topic) for topic in entities}, poll_seconds=0.1)
     try:
-        streams.wait({S.TXN_TOPIC: streams.start_transactions(d.spark, config)}, poll_seconds=0.1)
+        streams.wait({S.TXN_TOPIC: streams.start_transactions(d.spark, configs[S.TXN_TOPIC])}, poll_seconds=0.1)
     except StreamingQueryException:
-        streams.wait({S.TXN_TOPIC: streams.start_transactions(d.spark, config)}, poll_seconds=0.1)
+        streams.wait({S.TXN_TOPIC: streams.start_transactions(d.spark, configs[S.TXN_TOPIC])}, poll_seconds=0.1)
     return handlers.daily_counters(config.counters.read(d.spark))
 
 
