@@ -37,3 +37,23 @@ def test_more_files_give_the_same_counters(spark, small, monkeypatch):
     expected = as_set(QUERIES["counters_after_failure"](spark, small))
     monkeypatch.setattr(live, "MESSAGES_IN_FILE", 40)
     assert expected and as_set(QUERIES["counters_after_failure"](spark, small)) == expected
+
+
+@pytest.mark.parametrize("key_type, time_type", [("string", "timestamp_ntz"), ("int", "timestamp_ntz"), ("string", "timestamp")])
+def test_timeline_carries_a_key_and_time_once_and_keeps_their_types(spark, key_type, time_type):
+    at = [dt.datetime(2024, 1, 1, h) for h in range(6)]
+    facts = spark.createDataFrame([("1", at[3], "x"), ("1", at[0], "y"), (None, at[2], "z"), ("2", None, "w")],
+                                  "k string, t timestamp_ntz, id string")
+    versions = spark.createDataFrame([("1", at[1], "a"), ("1", at[2], "b"), ("2", at[1], "c")], "k string, s timestamp_ntz, v string")
+    versions = versions.select(F.col("k").cast(key_type), F.col("s").cast(time_type), "v")
+    found = asof_lookup(facts.select(F.col("k").cast(key_type), "t", "id"), versions, "k", "t", "s", ["v"])
+    assert found.schema["t"].dataType.simpleString() == "timestamp_ntz"
+    assert as_set(found.select("id", "t", "v")) == as_set(frame(
+        spark, "id string, t timestamp_ntz, v string", {"id": "x", "t": at[3], "v": "b"}, {"id": "y", "t": at[0]},
+        {"id": "z", "t": at[2]}, {"id": "w"}))
+    if time_type == "timestamp_ntz":
+        assert "struct(id" in plan(found)
+
+
+def test_lines_that_need_no_correction_are_told_by_a_filter(spark, small):
+    assert "_block" in plan(QUERIES["asof_corrected"](spark, small))

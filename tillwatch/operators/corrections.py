@@ -62,7 +62,9 @@ def corrections(
     columns = [c for c in facts.columns if c != BUCKET]
     touched = touched_buckets(changed, key, bucket, facts.agg(F.max(fact_time)))
     near = facts.join(touched, [key, BUCKET], "left_semi").select(*columns)
-    found = asof_lookup(near, changed, key, fact_time, FROM, [FROM], bucket=bucket, rows_per_task=rows_per_task)
+    # Hot keys are looked for among all facts, which needs no join.
+    found = asof_lookup(near, changed, key, fact_time, FROM, [FROM], bucket=bucket, rows_per_task=rows_per_task,
+                        skew_from=facts.select(key))
     return found.filter(F.col(FROM).isNotNull() & (F.col(TO).isNull() | (F.col(fact_time) < F.col(TO)))).drop(TO)
 
 

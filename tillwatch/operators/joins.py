@@ -207,9 +207,17 @@ def asof_lookup(
         facts, entries = facts.withColumn("_salt", F.lit(0)), known.withColumn("_salt", F.lit(0))
 
     place = [key, "_bucket", "_salt"]
+    # Key and time of a fact are on the timeline already, unless those of the versions are of another type.
+    told = {}
+    if fact.schema[key].dataType == versions.schema[key].dataType:
+        told[key] = F.col(key)
+    if fact_time != key and fact.schema[fact_time].dataType == versions.schema[version_time].dataType:
+        told[fact_time] = F.col("_time").alias(fact_time)
+    rest = [c for c in fact.columns if c not in told]
     timeline = entries.select(*place, "_time", "_version", F.lit(0).alias("_kind")).unionByName(
         facts.select(
-            *place, F.col(fact_time).alias("_time"), F.struct(*fact.columns).alias("_fact"), F.lit(1).alias("_kind")
+            *place, F.col(fact_time).alias("_time"), (F.struct(*rest) if rest else F.lit(1)).alias("_fact"),
+            F.lit(1).alias("_kind")
         ),
         allowMissingColumns=True,
     )
@@ -220,5 +228,5 @@ def asof_lookup(
     return (
         timeline.withColumn("_version", in_force)
         .filter(F.col("_kind") == 1)
-        .select("_fact.*", *[F.col(f"_version.{c}").alias(c) for c in version_columns])
+        .select(*[told.get(c, F.col(f"_fact.`{c}`")) for c in fact.columns], *[F.col(f"_version.{c}").alias(c) for c in version_columns])
     )

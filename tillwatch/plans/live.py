@@ -97,6 +97,7 @@ def counters_after_failure(d: Dataset) -> DataFrame:
     folder = new_folder(d.spark, "stream")
     readers = {S.USER_TOPIC: tables.raw_users, S.MERCHANT_TOPIC: tables.raw_merchants, S.CARD_TOPIC: tables.raw_cards,
                S.TXN_TOPIC: tables.raw_event_txns}
+    files = {}
     for topic, reader in readers.items():
         rows = reader(d.spark, d.directory)
         fields = [name for name in S.TOPIC_SCHEMAS[topic].fieldNames() if name in rows.columns]
@@ -130,14 +131,15 @@ def asof_corrected(d: Dataset) -> DataFrame:
         "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor")
     is_late = F.pmod(F.xxhash64("card_event_id"), F.lit(10)) == 0
     known, late = versions.filter(~is_late), versions.filter(is_late)
-    keys = d.line_keys()["card_ref"]
+    keys = facts.select("card_ref")
     first = written(asof_lookup(
         facts.drop(C.BUCKET), known, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month", skew_from=keys), "first")
     changed = written(C.changed_intervals(known, late, "card_ref", "valid_from", ["card_event_id"]), "changed")
     named = C.changed_partitions(changed, "card_ref", "month", facts.agg(F.max("ts")))
     near = facts.filter(F.col(C.BUCKET).isin(named)) if named else facts.limit(0)
     again = written(C.corrections(near, changed, "card_ref", "ts").withColumnRenamed(C.FROM, "valid_from"), "corrections")
-    return first.join(again.select("event_id"), "event_id", "left_anti").unionByName(again)
+    # Most lines were not looked up again: a filter tells them, and they are not shuffled.
+    return bloom.orphans(first, again, "event_id", "event_id").unionByName(again)
 
 
 # --------------------------------------------------------------------- buckets
