@@ -61,3 +61,7 @@ def test_timeline_carries_a_key_and_time_once_and_keeps_their_types(spark, key_t
 
 def test_lines_that_need_no_correction_are_told_by_a_filter(spark, small):
     assert "_block" in plan(QUERIES["asof_corrected"](spark, small))
+
+
+def test_models_read_written_features(spark, small):
+    assert "l_orderkey" not in plan(QUERIES["ml_ensemble_score"](spark, small))
