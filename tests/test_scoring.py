@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import as_set, column, frame
 from tillwatch.operators import ml, scoring
-from tillwatch.plans.queries import NumpyLogit
+from tillwatch.plans.queries import QUERIES, NumpyLogit
 from tillwatch.sources import artifacts
 
 
@@ -61,6 +61,33 @@ def test_ensemble_takes_thousands_of_categories(spark):
     assert 4_000 < bounded < 6_000 and ml._bounded(rows, 5_000).count() == bounded
 
 
+def test_models_are_fitted_to_all_rows(spark, small, monkeypatch):
+    """Neither the query nor, unless asked, the fit leaves rows out."""
+    monkeypatch.setattr(ml, "_bounded", lambda rows, max_rows: rows.limit(0))
+    rows = spark.range(300).selectExpr("cast(id % 2 AS int) AS label", "cast(id % 2 AS double) AS x")
+    scored = ml.fit_ensemble(rows, "label", ["x"], trees=2, depth=1).score(rows)
+    assert scored.filter("(fraud_probability >= 0.5) <> (label = 1)").count() == 0
+    asked = []
+    fit = ml.fit_ensemble
+    monkeypatch.setattr(ml, "fit_ensemble", lambda *a, **b: asked.append(b) or fit(*a, **b, trees=1, depth=1))
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    assert QUERIES["ml_ensemble_score"](spark, small).count() == lines and asked == [{}]
+
+
+def test_columns_of_one_value_are_left_out_where_they_tell_nothing(spark, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "cast(id % 2 AS int) AS label", "cast(id % 2 AS double) + rand(4) AS x", "1.5D AS same",
+        "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS kind")
+    fitted = ml.fit_ensemble(rows, "label", ["x", "same"], ["kind"], trees=2, depth=2)
+    widths = {name: model.stages[0].numFeatures for name, model in fitted.members.items()}
+    assert widths == {"boosted": 3, "forest": 258, "linear": 3}
+    fitted.save(str(tmp_path / "slim"))
+    loaded = ml.load_ensemble(spark, str(tmp_path / "slim"))
+    assert as_set(loaded.score(rows)) == as_set(fitted.score(rows))
+    flat = rows.select("label", "same")
+    assert ml.fit_ensemble(flat, "label", ["same"], trees=1, depth=1).score(flat).filter("fraud_probability > 0").count() == 400
+
+
 def test_an_ensemble_saved_anew_is_loaded_anew(spark, tmp_path):
     rows = spark.range(100).selectExpr("cast(id % 2 AS int) AS label", "cast(id AS double) AS x")
     path = str(tmp_path / "model")

@@ -8,13 +8,15 @@ from functools import lru_cache
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import FeatureHasher, Imputer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.operators.scoring import mean_probability
 
 MEMBERS = ("boosted", "forest", "linear")
+VARYING = "varying_features"
 
 
 @dataclass(frozen=True)
@@ -53,14 +55,18 @@ def fit_ensemble(
     trees: int = 20,
     depth: int = 5,
     seed: int = 7,
-    max_rows: int = 2_000_000,
+    max_rows: int | None = None,
     hash_width: int = 256,
 ) -> Ensemble:
-    """Fit the preprocessor and the three classifiers on about ``max_rows`` labelled rows of ``df`` at most.
+    """Fit the preprocessor and the three classifiers on all labelled rows of ``df``, or on about ``max_rows`` if given.
 
     Categories are hashed into ``hash_width`` indicator columns. So there may be
     any number of them, no list of them is made, and the linear model sees them as
-    indicators. The prepared rows are persisted for the iterative fits, spilling to disk.
+    indicators. Columns of a single value tell boosted trees and the linear model
+    nothing and are left out for them, whose many passes carry each column; a
+    forest draws its columns from all. ``df`` is read about ten times, so write
+    it first if it is costly: each classifier keeps rows in a form of its own,
+    on disk where memory ends, and no other copy of them is kept.
     """
     imputed = [f"{name}_filled" for name in numeric]
     stages = [Imputer(inputCols=list(numeric), outputCols=imputed, strategy="mean")]
@@ -72,26 +78,34 @@ def fit_ensemble(
         inputs.append("_categories")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
 
-    rows = _bounded(df.select(F.col(label).cast("double").alias("label"), *numeric, *categorical), max_rows)
-    preprocessor = Pipeline(stages=stages).fit(rows)
-    prepared = preprocessor.transform(rows).select("label", "features").persist()
+    rows = df.select(F.col(label).cast("double").alias("label"), *numeric, *categorical)
+    if max_rows is not None:
+        rows = _bounded(rows, max_rows)
+    assembled = Pipeline(stages=stages).fit(rows)
+    preprocessor = PipelineModel([*assembled.stages, _varying_only(assembled.transform(rows))])
+    prepared = preprocessor.transform(rows).select("label", "features", VARYING)
 
     estimators = {
-        "boosted": GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed),
+        "boosted": GBTClassifier(featuresCol=VARYING, maxIter=trees, maxDepth=depth, seed=seed),
         "forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),
-        "linear": LogisticRegression(maxIter=25, regParam=0.01),
+        "linear": LogisticRegression(featuresCol=VARYING, maxIter=25, regParam=0.01),
     }
     for name, estimator in estimators.items():
         estimator.setProbabilityCol(f"{name}_probability")
         estimator.setRawPredictionCol(f"{name}_raw")
         estimator.setPredictionCol(f"{name}_prediction")
-    try:
-        members = {name: _without_summary(Pipeline(stages=[est]).fit(prepared)) for name, est in estimators.items()}
-    finally:
-        prepared.unpersist()
+    members = {name: _without_summary(Pipeline(stages=[est]).fit(prepared)) for name, est in estimators.items()}
     return Ensemble(preprocessor, members)
 
 
+def _varying_only(prepared: DataFrame) -> VectorSlicer:
+    """Takes the features that have more than one value in ``prepared``; the first one if none has."""
+    least, greatest = prepared.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("of")).select(
+        "of.min", "of.max").first()
+    varying = [i for i, (a, b) in enumerate(zip(least.toArray(), greatest.toArray())) if a != b]
+    return VectorSlicer(inputCol="features", outputCol=VARYING, indices=varying or [0])
+
+
 def _without_summary(model: PipelineModel) -> PipelineModel:
     """Drop the training summaries: they hold the session, which tasks cannot be sent once it has observed metrics."""
     for stage in model.stages:
