@@ -87,6 +87,22 @@ def test_corrections_read_changed_partitions_only(spark, tmp_path):
     assert sorted(r.id for r in C.corrections(near, changed, "k", "ts").collect()) == list(range(70, 100))
 
 
+@pytest.mark.parametrize("key_type, most_blocks", [("string", 1000), ("string", 0), ("int", 1000)])
+def test_facts_to_look_up_again_are_told_by_a_filter(spark, monkeypatch, key_type, most_blocks):
+    """Not by shuffling all facts, unless the places are too many for one or keys have to be brought to one type."""
+    monkeypatch.setattr(bloom, "MOST_BLOCKS", most_blocks)
+    facts = spark.createDataFrame([(i, str(i % 20) if i % 50 else None, T0 + timedelta(days=i) if i % 70 else None) for i in range(400)],
+                                  "id long, k string, ts timestamp_ntz")
+    changed = spark.createDataFrame([("3", T0 + timedelta(days=50), "x", T0 + timedelta(days=200)), ("8", T0 + timedelta(days=300), "y", None)],
+                                    f"k string, {C.FROM} timestamp_ntz, name string, {C.TO} timestamp_ntz")
+    again = C.corrections(facts, changed.withColumn("k", F.col("k").cast(key_type)), "k", "ts", skew_from=facts.select("k"))
+    told = key_type == "string" and most_blocks > 0
+    assert ("_maybe" in plan_of(again) or "_block" in plan_of(again)) == told and ("LeftSemi" in plan_of(again)) != told
+    expected = [(i, "x" if i % 20 == 3 else "y") for i in range(400)
+                if i % 50 and i % 70 and (i % 20 == 3 and 50 <= i < 200 or i % 20 == 8 and i >= 300)]
+    assert sorted((r.id, r.name) for r in again.select("id", "name").collect()) == expected
+
+
 # --------------------------------------------------------------------- buckets
 def test_bucketed_entities_are_not_shuffled(spark):
     cards = spark.createDataFrame([(str(i), f"card {i}") for i in range(50)], "k string, name string")
@@ -166,6 +182,16 @@ def test_too_many_keys_are_joined_at_once(spark, monkeypatch):
     assert sorted(r.id for r in bloom.orphans(facts, keys, "ref", "k").collect()) == [2, 3]
 
 
+def test_more_keys_fill_the_blocks_before_they_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "MOST_BLOCKS", 100)
+    keys = spark.range(0, 1600, 2).selectExpr("cast(id AS string) AS k")
+    facts = spark.range(1600).selectExpr("id", "cast(id AS string) AS ref")
+    marked = bloom.told(facts, keys, "ref", "k")
+    assert 800 <= marked.filter("_maybe").count() < 900
+    assert sorted(r.id for r in bloom.orphans(facts, keys, "ref", "k").collect()) == list(range(1, 1600, 2))
+    assert bloom.told(facts, spark.range(1601).selectExpr("cast(id AS string) AS k"), "ref", "k") is None
+
+
 # --------------------------------------------------------------------- offsets
 def plain_faults(rows, ends=()):
     seen = defaultdict(lambda: defaultdict(int))

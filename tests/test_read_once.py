@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import as_set, frame
-from tillwatch.operators import cutoff
+from tillwatch.operators import cutoff, joins
 from tillwatch.operators.joins import asof_lookup
 from tillwatch.plans import live
 from tillwatch.plans.queries import QUERIES
+from tillwatch.sources import workspace
 
 
 def plan(df):
@@ -65,3 +66,45 @@ def test_lines_that_need_no_correction_are_told_by_a_filter(spark, small):
 
 def test_models_read_written_features(spark, small):
     assert "l_orderkey" not in plan(QUERIES["ml_ensemble_score"](spark, small))
+
+
+def test_timelines_of_large_inputs_are_sorted_by_as_many_tasks_as_fit(spark, tmp_path, monkeypatch):
+    at = [dt.datetime(2024, 1, 1, h) for h in range(24)]
+    rows = [(str(i % 7), at[i % 24], i) for i in range(500)]
+    spark.createDataFrame(rows, "k string, t timestamp_ntz, n int").write.parquet(str(tmp_path / "facts"))
+    spark.createDataFrame([(str(i % 9), at[i % 20], i) for i in range(60)], "k string, s timestamp_ntz, v int").write.parquet(
+        str(tmp_path / "versions"))
+    facts, versions = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "versions"))
+    usual = asof_lookup(facts, versions, "k", "t", "s", ["v"])
+    assert joins.sorted_tasks(facts, versions) is None and "REPARTITION_BY_NUM" not in plan(usual) and "_salt" not in plan(usual)
+    size = joins._input_bytes(facts) + joins._input_bytes(versions)
+    monkeypatch.setattr(joins, "FEW_BYTES", size)
+    monkeypatch.setattr(joins, "SORTED_BYTES", size // 13 + 1)
+    assert joins.sorted_tasks(facts, versions) == 13
+    assert joins.sorted_tasks(spark.createDataFrame([("1",)], "k string")) is None  # of no known size
+    many = asof_lookup(facts, versions, "k", "t", "s", ["v"])
+    assert "hashpartitioning(k" in plan(many) and ", 13), REPARTITION_BY_NUM" in plan(many)
+    assert as_set(many) == as_set(usual)
+    assert as_set(asof_lookup(facts, versions, "k", "t", "s", ["v"], rows_per_task=20)) == as_set(usual)
+
+
+def test_settings_of_a_query_hold_within_it_alone(spark):
+    names = [workspace.CLEANUP, workspace.TASK_BYTES]
+    before = [spark.conf.get(name, None) for name in names]
+    with pytest.raises(ValueError), workspace.shuffles_dropped(spark), workspace.tasks_of(spark, 1000):
+        assert [spark.conf.get(name) for name in names] == ["true", "1000"]
+        with workspace.tasks_of(spark, 2000):
+            assert spark.conf.get(workspace.TASK_BYTES) == "1000"
+        raise ValueError
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
+def test_keys_are_counted_only_where_a_hash_of_them_has_many_rows(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 10 = 0 THEN 'hot' WHEN id % 10 < 3 THEN NULL ELSE cast(id AS string) END AS k")
+    assert sorted(joins.hot_keys(rows, "k", 250), key=repr) == [("hot", 2), (None, 3)]
+    monkeypatch.setattr(joins, "KEY_HASHES", 1)
+    assert sorted(joins.hot_keys(rows, "k", 250), key=repr) == [("hot", 2), (None, 3)]
+    monkeypatch.setattr(joins, "KEY_HASHES", 4096)
+    grouped, whole = [], type(rows).groupBy
+    monkeypatch.setattr(type(rows), "groupBy", lambda self, *by: grouped.append(by) or whole(self, *by))
+    assert joins.hot_keys(rows, "k", 1000) == [] and len(grouped) == 1

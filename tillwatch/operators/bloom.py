@@ -4,8 +4,9 @@ The filter is in blocks of 64 bits: a key's hash names a block and four bits of
 it. Blocks are made by the tasks that read the keys, are combined by ``bit_or``,
 and are broadcast; the number of them follows from an exact count of keys. Rows
 that the filter does not know are orphans and are shuffled no more; only the
-others are joined with the keys. Keys that are too many for a broadcast
-(``MOST_BLOCKS``) are joined at once.
+others are joined with the keys. There are ``MOST_BLOCKS`` blocks at most: more
+keys fill them further, which tells fewer rows, and keys that would fill them
+(``MOST_KEYS_IN_BLOCK``: a sixth of the other rows pass) are joined at once.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwatch.operators.joins import lookup
 
 KEYS_IN_BLOCK = 4
+MOST_KEYS_IN_BLOCK = 16
 BITS = 4
 MOST_BLOCKS = 4_000_000  # 16 bytes each
 
@@ -37,9 +39,10 @@ def key_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
 
 def told(facts: DataFrame, keys: DataFrame, fact_key: str, table_key: str) -> DataFrame | None:
     """``facts`` with ``_maybe``, whether the filter knows their key; None if the keys are too many for one."""
-    blocks = max(1, keys.count() // KEYS_IN_BLOCK)
-    if blocks > MOST_BLOCKS:
+    n = keys.count()
+    if n > MOST_BLOCKS * MOST_KEYS_IN_BLOCK:
         return None
+    blocks = min(max(1, n // KEYS_IN_BLOCK), MOST_BLOCKS)
     block, bits = block_and_bits(F.col(fact_key), blocks)
     made = key_filter(keys, table_key, blocks).withColumnRenamed("_bits", "_of_keys")
     marked = facts.withColumns({"_block": block, "_bits": bits}).join(F.broadcast(made), "_block", "left")

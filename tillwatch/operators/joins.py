@@ -19,6 +19,11 @@ from tillwatch.operators.latest import latest_by_key
 from tillwatch.sources.static import local_table
 
 ROWS_PER_TASK = 5_000_000
+KEY_HASHES = 4096
+SORTED_BYTES = 4 * 2**20  # of files, whose rows one task of a timeline sorts in memory
+FEW_BYTES = 64 * 2**20  # Spark's own choice of tasks is left for inputs of less
+MOST_TASKS = 10_000
+UNKNOWN_BYTES = 2**62  # Spark gives more than this for inputs whose size it does not know
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -37,6 +42,12 @@ def _input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def sorted_tasks(*inputs: DataFrame) -> int | None:
+    """How many tasks sort what is read for ``inputs`` without spilling; None where that is little or not known. No job is run."""
+    size = sum(_input_bytes(df) for df in inputs)
+    return min(math.ceil(size / SORTED_BYTES), MOST_TASKS) if FEW_BYTES <= size < UNKNOWN_BYTES else None
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether a lookup table is small enough that no keys need salting; no job is run.
 
@@ -61,10 +72,16 @@ def shuffled_unless_small(table: DataFrame, limit: int | None = None) -> DataFra
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
     """``(key, copies)`` of keys with more rows than one task should hold, null included.
 
-    Only the key column is read, and counts are combined before the shuffle. The
-    counts are exact, so every such key is found; there are at most as many as
+    Only the key column is read. Rows are counted by a hash of the key first, which
+    shuffles next to nothing, and then by key where a hash has so many. The counts
+    are exact, so every such key is found; there are at most as many as
     ``rows_per_task`` fits into the number of rows.
     """
+    hashed = F.pmod(F.xxhash64(key), F.lit(KEY_HASHES))
+    crowded = df.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task).collect()
+    if not crowded:
+        return []
+    df = df.filter(hashed.isin([row["_hash"] for row in crowded]))
     counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
     return [(row["_key"], math.ceil(row["_n"] / rows_per_task)) for row in counts.collect()]
 
@@ -180,7 +197,8 @@ def asof_lookup(
     be it hot among facts or among versions, the timeline is cut into time
     buckets, each opened by the last version from before it, and a bucket with
     too many facts is salted with its versions copied. So no task has to hold
-    the whole history of such a key. ``skew_from`` is as in ``lookup``.
+    the whole history of such a key. ``skew_from`` is as in ``lookup``. Tasks are
+    as many as the input needs for each to sort its part in memory.
     """
     version_columns = [c for c in versions.columns if c != key]
     hot = {item: copies for item, copies in hot_keys(versions, key, rows_per_task)}
@@ -204,9 +222,9 @@ def asof_lookup(
         crowded = hot_keys(hot_facts.select(group), "_group", rows_per_task)
         facts, entries = _spread(facts, "_group", crowded, fact.columns), _replicate(entries, "_group", crowded)
     else:
-        facts, entries = facts.withColumn("_salt", F.lit(0)), known.withColumn("_salt", F.lit(0))
+        entries = known
 
-    place = [key, "_bucket", "_salt"]
+    place = [key, "_bucket", "_salt"] if hot else [key]
     # Key and time of a fact are on the timeline already, unless those of the versions are of another type.
     told = {}
     if fact.schema[key].dataType == versions.schema[key].dataType:
@@ -221,8 +239,12 @@ def asof_lookup(
         ),
         allowMissingColumns=True,
     )
+    tasks = sorted_tasks(fact, versions)
+    if tasks:
+        timeline = timeline.repartition(tasks, *place)
+    within = ", ".join(f"`{c}`" for c in place)
     in_force = F.expr(
-        f"last(_version, true) over (partition by `{key}`, _bucket, _salt "
+        f"last(_version, true) over (partition by {within} "
         "order by _time nulls first, _kind rows between unbounded preceding and current row)"
     )
     return (

@@ -15,7 +15,7 @@ from tillwatch.plans import queries as base
 from tillwatch.plans.dataset import Dataset
 from tillwatch.plans.registry import query
 from tillwatch.sources import bucketed, tables, topics
-from tillwatch.sources.workspace import new_folder, written
+from tillwatch.sources.workspace import new_folder, shuffles_dropped, tasks_of, written
 from tillwatch.streaming import handlers, queries as streams, state
 from tillwatch.streaming.config import StreamConfig
 from tillwatch.streaming.series import SeriesStore
@@ -119,27 +119,37 @@ def counters_after_failure(d: Dataset) -> DataFrame:
 
 
 # ------------------------------------------------------------------ corrections
+CODEC = "zstd"  # of tables as large as the lines
+SORTED_TWICE = 32 * 2**20  # of a shuffle, which one task sorts for a join and again by month
+
+
 @query
 def asof_corrected(d: Dataset) -> DataFrame:
     """Lines with the card version in force, a tenth of the versions known only after a first result."""
-    txns = d.line_txns().select("event_id", "card_ref", "ts", "amount_minor")
-    stored = new_folder(d.spark, "facts")
-    months = txns.withColumn(C.BUCKET, F.date_trunc("month", "ts"))
-    months.repartition(C.BUCKET).write.partitionBy(C.BUCKET).parquet(stored)
-    facts = d.spark.read.parquet(stored).withColumn(C.BUCKET, F.col(C.BUCKET).cast("timestamp"))
-    versions = d.card_versions().select(
-        "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor")
-    is_late = F.pmod(F.xxhash64("card_event_id"), F.lit(10)) == 0
-    known, late = versions.filter(~is_late), versions.filter(is_late)
-    keys = facts.select("card_ref")
-    first = written(asof_lookup(
-        facts.drop(C.BUCKET), known, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month", skew_from=keys), "first")
-    changed = written(C.changed_intervals(known, late, "card_ref", "valid_from", ["card_event_id"]), "changed")
-    named = C.changed_partitions(changed, "card_ref", "month", facts.agg(F.max("ts")))
-    near = facts.filter(F.col(C.BUCKET).isin(named)) if named else facts.limit(0)
-    again = written(C.corrections(near, changed, "card_ref", "ts").withColumnRenamed(C.FROM, "valid_from"), "corrections")
-    # Most lines were not looked up again: a filter tells them, and they are not shuffled.
-    return bloom.orphans(first, again, "event_id", "event_id").unionByName(again)
+    with shuffles_dropped(d.spark):
+        txns = d.line_txns().select("event_id", "card_ref", "ts", "amount_minor")
+        stored = new_folder(d.spark, "facts")
+        months = txns.withColumn(C.BUCKET, F.date_trunc("month", "ts"))
+        # Tasks that join the lines with their orders write a file for each month, which spares shuffling them by month.
+        with tasks_of(d.spark, SORTED_TWICE):
+            months.write.partitionBy(C.BUCKET).parquet(stored, compression=CODEC)
+        facts = d.spark.read.parquet(stored).withColumn(C.BUCKET, F.col(C.BUCKET).cast("timestamp"))
+        versions = d.card_versions().select(
+            "card_ref", "valid_from", F.col("event_id").alias("card_event_id"), "daily_limit_minor")
+        is_late = F.pmod(F.xxhash64("card_event_id"), F.lit(10)) == 0
+        known, late = versions.filter(~is_late), versions.filter(is_late)
+        keys = facts.select("card_ref")
+        first = written(asof_lookup(
+            facts.drop(C.BUCKET), known, "card_ref", "ts", "valid_from", ["card_event_id"], bucket="month", skew_from=keys),
+            "first", CODEC)
+        changed = written(C.changed_intervals(known, late, "card_ref", "valid_from", ["card_event_id"]), "changed", CODEC)
+        named = C.changed_partitions(changed, "card_ref", "month", facts.agg(F.max("ts")))
+        near = facts.filter(F.col(C.BUCKET).isin(named)) if named else facts.limit(0)
+        # Lines of a card are together in the first result, so it is cheaper to count them there.
+        found = C.corrections(near, changed, "card_ref", "ts", skew_from=first.select("card_ref"))
+        again = written(found.withColumnRenamed(C.FROM, "valid_from"), "corrections", CODEC)
+        # Most lines were not looked up again: a filter tells them, and they are not shuffled.
+        return bloom.orphans(first, again, "event_id", "event_id").unionByName(again)
 
 
 # --------------------------------------------------------------------- buckets
